@@ -118,8 +118,12 @@ def region_cover(regions: DataFrame, key: str, group: str, vertices: str, depth:
             rows = []
             for r, g, outline in zip(pdf.r, pdf.g, pdf.v):
                 xs, ys = np.array([p["x"] for p in outline], float), np.array([p["y"] for p in outline], float)
-                edges = [{"x1": a, "y1": b, "x2": c, "y2": d} for a, b, c, d in zip(xs, ys, np.roll(xs, -1), np.roll(ys, -1)) if b != d]
-                rows += [(r, g, level, cx, cy, inside, None if inside else edges) for level, cx, cy, inside in cover_outline(xs, ys, depth)]
+                edges = [(a, b, c, d) for a, b, c, d in zip(xs, ys, np.roll(xs, -1), np.roll(ys, -1)) if b != d]
+                for level, cx, cy, inside in cover_outline(xs, ys, depth):
+                    x0, y0, y1 = cx * 2.0**level, cy * 2.0**level, (cy + 1) * 2.0**level
+                    # Of a boundary cell's test, only edges count that a ray to the right from the cell may meet.
+                    met = [dict(zip(("x1", "y1", "x2", "y2"), e)) for e in edges if max(e[0], e[2]) >= x0 and max(e[1], e[3]) >= y0 and min(e[1], e[3]) <= y1]
+                    rows.append((r, g, level, cx, cy, inside, None if inside else met))
             yield pd.DataFrame(rows, columns=["r", "g", "level", "cx", "cy", "interior", "edges"])
 
     return corner.mapInPandas(cells, schema)
