@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessella.llm import labels, vectors
+from tessella.llm import clusters, labels, vectors
 from tessella.llm.sql import SQL  # noqa: F401
 from tessella.session import table
 
@@ -16,10 +16,16 @@ def p1_found(spark: SparkSession, sf: str) -> DataFrame:
     return found.select(F.col("k").alias("prediction_id"), F.col("entry").alias("label_id"))
 
 
+def p3_found(spark: SparkSession, sf: str) -> DataFrame:
+    """Pairs of cells in one group of mutually similar exprs."""
+    pairs = clusters.similar_pairs(table(spark, sf, "normalized_expression"), "cell_key", "exprs")
+    return pairs.select(F.col("key_1").alias("cell_key_1"), F.col("key_2").alias("cell_key_2"))
+
+
 def p5_found(spark: SparkSession, sf: str) -> DataFrame:
     """The five cells with the most similar exprs for each probe cell."""
     near = vectors.most_similar(table(spark, sf, "normalized_expression"), "cell_key", "exprs", table(spark, sf, "probe_cells"), "cell_key")
     return near.select(F.least("query", "neighbour").alias("cell_key_1"), F.greatest("query", "neighbour").alias("cell_key_2")).distinct()
 
 
-QUERIES = {"p1_found": p1_found, "p5_found": p5_found}
+QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p5_found": p5_found}
