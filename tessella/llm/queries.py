@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessella.llm import clusters, labels, vectors
+from tessella.llm import clusters, labels, leakage, vectors
 from tessella.llm.sql import SQL  # noqa: F401
 from tessella.session import table
 
@@ -28,4 +28,10 @@ def p5_found(spark: SparkSession, sf: str) -> DataFrame:
     return near.select(F.least("query", "neighbour").alias("cell_key_1"), F.greatest("query", "neighbour").alias("cell_key_2")).distinct()
 
 
-QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p5_found": p5_found}
+def p8_found(spark: SparkSession, sf: str) -> DataFrame:
+    """Posts that hold a stretch of an evaluation item's passage."""
+    found = leakage.leaked_items(table(spark, sf, "documents"), "doc_id", "text", table(spark, sf, "eval_items"), "item_id", "passage")
+    return found.select(F.col("item").alias("item_id"), F.col("doc").alias("doc_id"))
+
+
+QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p5_found": p5_found, "p8_found": p8_found}
