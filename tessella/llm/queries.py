@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessella.llm import clusters, labels, leakage, vectors
+from tessella.llm import clusters, labels, leakage, quality, vectors
+from tessella.llm.quality_examples import EXAMPLES
 from tessella.llm.sql import SQL  # noqa: F401
 from tessella.session import table
 
@@ -34,4 +35,15 @@ def p8_found(spark: SparkSession, sf: str) -> DataFrame:
     return found.select(F.col("item").alias("item_id"), F.col("doc").alias("doc_id"))
 
 
-QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p5_found": p5_found, "p8_found": p8_found}
+def p9_found(spark: SparkSession, sf: str) -> DataFrame:
+    """Posts whose own text is mostly a list, a table or junk."""
+    kinds = quality.classify(table(spark, sf, "documents"), "doc_id", "text", EXAMPLES)
+    return kinds.where(F.col("kind") != "prose").select(F.col("doc").alias("doc_id"), "kind")
+
+
+def p9_statistics(spark: SparkSession, sf: str) -> DataFrame:
+    """The statistics of every post's own text, with its kind."""
+    return quality.classify(table(spark, sf, "documents"), "doc_id", "text", EXAMPLES).withColumnRenamed("doc", "doc_id")
+
+
+QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p5_found": p5_found, "p8_found": p8_found, "p9_found": p9_found, "p9_statistics": p9_statistics}
