@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessella.llm import clusters, labels, leakage, quality, vectors
+from tessella.llm import clusters, labels, leakage, packing, percentiles, quality, vectors
 from tessella.llm.quality_examples import EXAMPLES
 from tessella.llm.sql import SQL  # noqa: F401
 from tessella.session import table
@@ -17,6 +17,29 @@ def p1_found(spark: SparkSession, sf: str) -> DataFrame:
     return found.select(F.col("k").alias("prediction_id"), F.col("entry").alias("label_id"))
 
 
+SHARES = [0.05, 0.25, 0.5, 0.75, 0.95]
+
+
+def _named(spark: SparkSession, sf: str, found: DataFrame) -> DataFrame:
+    return found.join(F.broadcast(table(spark, sf, "features")), "position").drop("position")  # one row per marker
+
+
+def _values(spark: SparkSession, sf: str) -> DataFrame:
+    return percentiles.marker_values(table(spark, sf, "normalized_expression"), table(spark, sf, "metadata_clusters"), table(spark, sf, "features"))
+
+
+def p2_percentiles(spark: SparkSession, sf: str) -> DataFrame:
+    """Exact percentiles of exprs by cluster and marker."""
+    found = percentiles.percentiles(_values(spark, sf), ["cluster", "position"], "v", SHARES)
+    return _named(spark, sf, found).select("cluster", "marker", "n", "share", F.round("value", 6).alias("value"))
+
+
+def p2_combined(spark: SparkSession, sf: str) -> DataFrame:
+    """Percentiles of all days from the days' summaries, with their error bound."""
+    days = percentiles.summaries(_values(spark, sf), ["cluster", "position"], "run_day", "v")
+    return _named(spark, sf, percentiles.combine(days, ["cluster", "position"], "run_day", SHARES)).select("cluster", "marker", "n", "share", "value", "rank_error")
+
+
 def p3_found(spark: SparkSession, sf: str) -> DataFrame:
     """Pairs of cells in one group of mutually similar exprs."""
     pairs = clusters.similar_pairs(table(spark, sf, "normalized_expression"), "cell_key", "exprs")
@@ -29,6 +52,12 @@ def p5_found(spark: SparkSession, sf: str) -> DataFrame:
     return near.select(F.least("query", "neighbour").alias("cell_key_1"), F.greatest("query", "neighbour").alias("cell_key_2")).distinct()
 
 
+def p7_packing(spark: SparkSession, sf: str) -> DataFrame:
+    """Posts packed into containers of 2,048 tokens."""
+    packed = packing.pack_documents(table(spark, sf, "documents"), "doc_id", "text")
+    return packed.withColumnRenamed("doc", "doc_id")
+
+
 def p8_found(spark: SparkSession, sf: str) -> DataFrame:
     """Posts that hold a stretch of an evaluation item's passage."""
     found = leakage.leaked_items(table(spark, sf, "documents"), "doc_id", "text", table(spark, sf, "eval_items"), "item_id", "passage")
@@ -46,4 +75,14 @@ def p9_statistics(spark: SparkSession, sf: str) -> DataFrame:
     return quality.classify(table(spark, sf, "documents"), "doc_id", "text", EXAMPLES).withColumnRenamed("doc", "doc_id")
 
 
-QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p5_found": p5_found, "p8_found": p8_found, "p9_found": p9_found, "p9_statistics": p9_statistics}
+QUERIES = {
+    "p1_found": p1_found,
+    "p2_percentiles": p2_percentiles,
+    "p2_combined": p2_combined,
+    "p3_found": p3_found,
+    "p5_found": p5_found,
+    "p7_packing": p7_packing,
+    "p8_found": p8_found,
+    "p9_found": p9_found,
+    "p9_statistics": p9_statistics,
+}
