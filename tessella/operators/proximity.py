@@ -19,21 +19,18 @@ def finite(c: Column | str) -> Column:
     return F.coalesce(F.abs(c) < float("inf"), F.lit(False))
 
 
-def near_pairs(points: DataFrame, key: str, x: str, y: str, group: str, radius: float, cell_factor: float = 4.0) -> DataFrame:
-    """Pairs of different points of one group whose positions are at most ``radius`` apart.
-
-    Every point goes to its own grid cell (side ``cell_factor * radius``) and, if it lies within ``radius`` of the
-    border, as a copy to the cells before it, so each pair meets in exactly one cell: that of its earlier member.
-    Own points and copies are one shuffle, which both sides of the self-join read.
-
-    Rows with a null key or group, or a null or non-finite position, take no part. Repeated rows count once; a key
-    with several positions pairs by any of them, and may then give a pair more than once per pair of positions.
-    Other columns are ignored, whatever their names. Returns ``key_1 < key_2``.
+def pairs_within(points: DataFrame, radius: float, keep: list[str] | None = None, above: float | None = None, cell_factor: float = 4.0) -> DataFrame:
+    """Pairs of points of one group at most ``radius`` apart, each once: ``k_1, k_2, d`` and both sides' ``keep``.
+
+    ``points`` has ``g, k, x, y`` and the columns ``keep``, without nulls in the first four and with finite
+    positions. With ``above``, only distances strictly between ``above`` and ``radius`` count. Every point goes to its
+    own grid cell (side ``cell_factor * radius``) and, if it lies within ``radius`` of the border, as a copy to the
+    cells before it, so each pair meets in exactly one cell: that of its earlier member. Own points and copies are one
+    shuffle, which both sides of the self-join read. Which end is ``_1`` is not defined; repeated rows count once.
     """
+    keep = keep or []
     side = float(cell_factor * radius)
-    p = points.select(F.col(f"`{group}`").alias("g"), F.col(f"`{key}`").alias("k"), F.col(f"`{x}`").cast("double").alias("x"), F.col(f"`{y}`").cast("double").alias("y"))
-    p = p.where(F.col("g").isNotNull() & F.col("k").isNotNull() & finite("x") & finite("y"))
-    p = p.withColumns({"cx": F.floor(F.col("x") / side), "cy": F.floor(F.col("y") / side)})
+    p = points.select("g", "k", "x", "y", *keep).withColumns({"cx": F.floor(F.col("x") / side), "cy": F.floor(F.col("y") / side)})
     # Slightly wider than the radius: rounding must not lose a copy; the join tests the distance itself.
     reach = radius * (1 + 1e-9) + 1e-9
     left = F.col("x") - F.col("cx") * side <= reach
@@ -47,15 +44,35 @@ def near_pairs(points: DataFrame, key: str, x: str, y: str, group: str, radius:
         F.array(to(0, 0, 0), F.when(left, to(-1, 0, 1)), F.when(low, to(0, -1, 1)), F.when(left & low, to(-1, -1, 1)), F.when(left & high, to(-1, 1, 1))),
         lambda c: c.isNotNull(),
     )
-    placed = p.select("g", "k", "x", "y", F.explode(places).alias("c")).select("g", "k", "x", "y", "c.cx", "c.cy", "c.copy")
+    placed = p.select("g", "k", "x", "y", *keep, F.explode(places).alias("c")).select("g", "k", "x", "y", *keep, "c.cx", "c.cy", "c.copy")
     # Partitioned by cell once; dropping repeated rows needs no further shuffle, and both sides reuse the exchange.
     placed = placed.repartition("g", "cx", "cy").dropDuplicates(["g", "cx", "cy", "k", "x", "y", "copy"])
     a, b = placed.alias("a"), placed.alias("b")
     # One expression over both sides, so that no part of it is pushed below the shared exchange.
     own_first = F.col("a.copy") + (1 - F.col("b.copy")) * (F.col("a.k") >= F.col("b.k")).cast("int") == 0
-    close = F.sqrt((F.col("a.x") - F.col("b.x")) * (F.col("a.x") - F.col("b.x")) + (F.col("a.y") - F.col("b.y")) * (F.col("a.y") - F.col("b.y"))) <= radius
+    d = F.sqrt((F.col("a.x") - F.col("b.x")) * (F.col("a.x") - F.col("b.x")) + (F.col("a.y") - F.col("b.y")) * (F.col("a.y") - F.col("b.y")))
+    close = d <= radius if above is None else (d < radius) & (d > above)
     same = (F.col("a.g") == F.col("b.g")) & (F.col("a.cx") == F.col("b.cx")) & (F.col("a.cy") == F.col("b.cy"))
-    return a.join(b, same & own_first & close & (F.col("a.k") != F.col("b.k"))).select(F.least("a.k", "b.k").alias("key_1"), F.greatest("a.k", "b.k").alias("key_2"))
+    pairs = a.join(b, same & own_first & close & (F.col("a.k") != F.col("b.k")))
+    return pairs.select(F.col("a.g").alias("g"), F.col("a.k").alias("k_1"), F.col("b.k").alias("k_2"), d.alias("d"), *[F.col(f"a.{c}").alias(f"{c}_1") for c in keep], *[F.col(f"b.{c}").alias(f"{c}_2") for c in keep])
+
+
+def located(points: DataFrame, key: str, x: str, y: str, group: str, keep: dict[str, str] | None = None) -> DataFrame:
+    """``g, k, x, y`` and renamed ``keep`` columns of the rows with a key, a group and a finite position."""
+    named = [F.col(f"`{c}`").alias(n) for n, c in (keep or {}).items()]
+    p = points.select(F.col(f"`{group}`").alias("g"), F.col(f"`{key}`").alias("k"), F.col(f"`{x}`").cast("double").alias("x"), F.col(f"`{y}`").cast("double").alias("y"), *named)
+    return p.where(F.col("g").isNotNull() & F.col("k").isNotNull() & finite("x") & finite("y"))
+
+
+def near_pairs(points: DataFrame, key: str, x: str, y: str, group: str, radius: float) -> DataFrame:
+    """Pairs of different points of one group whose positions are at most ``radius`` apart: ``key_1 < key_2``.
+
+    Rows with a null key or group, or a null or non-finite position, take no part. Repeated rows count once; a key
+    with several positions pairs by any of them, and may then give a pair more than once per pair of positions.
+    Other columns are ignored, whatever their names; an empty table gives no pairs.
+    """
+    pairs = pairs_within(located(points, key, x, y, group), radius)
+    return pairs.select(F.least("k_1", "k_2").alias("key_1"), F.greatest("k_1", "k_2").alias("key_2"))
 
 
 def _cross(x0: float, y0: float, x1: float, y1: float, e: np.ndarray) -> bool:
@@ -140,8 +157,7 @@ def points_in_regions(points: DataFrame, key: str, x: str, y: str, regions: Data
     cover = materialize(region_cover(regions, region_key, group, vertices, depth), "cover")
     stats = cover.groupBy("level").count().collect()  # one row per power of two: a few
     levels = sorted(r["level"] for r in stats)
-    p = points.select(F.col(f"`{group}`").alias("g"), F.col(f"`{key}`").alias("k"), F.col(f"`{x}`").cast("double").alias("x"), F.col(f"`{y}`").cast("double").alias("y"))
-    p = p.where(F.col("g").isNotNull() & F.col("k").isNotNull() & finite("x") & finite("y"))
+    p = located(points, key, x, y, group)
     side = F.pow(F.lit(2.0), F.col("level"))
     p = p.select("*", F.explode(F.array(*[F.lit(v) for v in levels]).cast("array<int>")).alias("level"))
     p = p.withColumns({"cx": F.floor(F.col("x") / side), "cy": F.floor(F.col("y") / side)})
