@@ -195,3 +195,84 @@ def similar_pairs(vectors: DataFrame, key: str, vector: str, dim: int = 32, leas
     a, b = m.select(F.col("k").alias("key_1"), "c", F.col("u").alias("u1")), m.select(F.col("k").alias("key_2"), "c", F.col("u").alias("u2"))
     cosine = F.aggregate(F.zip_with("u1", "u2", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
     return a.join(b, "c").where(F.col("key_1") < F.col("key_2")).select("key_1", "key_2", cosine.alias("cosine")).where(F.col("cosine") >= least_cosine - 1e-12)
+
+
+def hierarchy_levels(tree: DataFrame, nodes: DataFrame, distances: list[float]) -> DataFrame:
+    """Components of the forest at each distance, finest first: ``k, c1, ..., cL``.
+
+    A level's components are those of the level below, joined by the edges in between; each tree edge is used once.
+    """
+    labels = nodes.select("k", F.col("k").alias("c0"))
+    below = -1.0
+    for i, t in enumerate(distances, 1):
+        ends = labels.select("k", f"c{i - 1}")
+        e = tree.where((F.col("w") > below) & (F.col("w") <= t))
+        e = e.join(ends.withColumnsRenamed({"k": "a", f"c{i - 1}": "x"}), "a").join(ends.withColumnsRenamed({"k": "b", f"c{i - 1}": "y"}), "b").select(F.col("x").alias("a"), F.col("y").alias("b"), "w")
+        _, found = boruvka(e)
+        up = found.select(F.col("k").alias(f"c{i - 1}"), F.col("c").alias(f"c{i}"))
+        labels = materialize(labels.join(up, f"c{i - 1}", "left").withColumn(f"c{i}", F.coalesce(f"c{i}", f"c{i - 1}")), "levels")
+        below = t
+    return labels.drop("c0")
+
+
+def condense(labels: DataFrame, distances: list[float], min_size: int) -> DataFrame:
+    """The cluster of each node by stability: ``k, cluster, stability, level`` (null cluster: noise).
+
+    A component of at least ``min_size`` nodes lives on while one such component is left of it at the next finer
+    level; where it falls into two or more, new clusters begin. A cluster's stability is its size times the span of
+    1 / distance it lives for; it is selected if that is no less than what the clusters within it reach together.
+    ``level`` is the finest one at which a node is still in such a component: its persistence.
+    """
+    depth = len(distances)
+    span = [1 / distances[0], *[1 / distances[i - 1] - 1 / distances[i] for i in range(1, depth)]]
+    tables = []
+    for i in range(1, depth + 1):
+        parent = F.first(f"c{i + 1}") if i < depth else F.lit(None)
+        own_life = F.count(F.lit(1)) * span[i - 1]
+        t = labels.groupBy(F.col(f"c{i}").alias("c")).agg(F.count(F.lit(1)).alias("size"), parent.alias("up"), own_life.alias("life")).where(F.col("size") >= min_size)
+        if tables:
+            inside = tables[-1].groupBy(F.col("up").alias("c")).agg(F.count(F.lit(1)).alias("kids"), F.sum("own").alias("kid_own"), F.sum("sub").alias("kid_sub"), F.sum(F.greatest("own", "sub")).alias("kid_best"))
+            t = t.join(inside, "c", "left").na.fill(0, ["kids", "kid_own", "kid_sub", "kid_best"])
+            t = t.withColumn("own", F.col("life") + F.when(F.col("kids") == 1, F.col("kid_own")).otherwise(0.0)).withColumn("sub", F.when(F.col("kids") == 1, F.col("kid_sub")).otherwise(F.col("kid_best")))
+        else:
+            t = t.withColumns({"kids": F.lit(0), "own": F.col("life"), "sub": F.lit(0.0)})
+        tables.append(materialize(t.select("c", "size", "up", "kids", "own", "sub"), "condensed"))
+    picked = None
+    for i in range(depth, 0, -1):
+        t = tables[i - 1]
+        chosen = F.when(F.col("own") >= F.col("sub"), F.struct(F.col("c").alias("cluster"), F.col("own").alias("stability")))
+        if picked is None:
+            t = t.select("c", chosen.alias("pick"))
+        else:
+            above = picked.join(tables[i].select("c", "kids"), "c").select(F.col("c").alias("up"), F.col("pick").alias("held"), F.col("kids").alias("up_kids"))
+            t = t.join(above, "up", "left").select("c", F.coalesce("held", F.when(F.coalesce("up_kids", F.lit(2)) != 1, chosen)).alias("pick"))
+        picked = materialize(t, "picked")
+        labels = labels.join(picked.select(F.col("c").alias(f"c{i}"), F.col("pick").alias(f"p{i}"), F.lit(i).alias(f"l{i}")), f"c{i}", "left")
+    cluster = F.coalesce(*[F.col(f"p{i}") for i in range(depth, 0, -1)])
+    level = F.coalesce(*[F.col(f"l{i}") for i in range(1, depth + 1)])
+    return labels.select("k", cluster.alias("p"), level.alias("level")).select("k", "p.cluster", "p.stability", "level")
+
+
+def describe_clusters(vectors: DataFrame, key: str, vector: str, dim: int = 32, least_cosine: float = 0.9, min_samples: int = 3, min_size: int = 3, levels: int = 6, exemplars: int = 3) -> DataFrame:
+    """Each key with its cluster: ``k, cluster, size, stability, exemplar`` (1, 2, ... for the most typical members).
+
+    Keys without a cluster are noise (null cluster) and are there too. The most persistent members, those that stay
+    in their cluster down to the smallest distance, are its exemplars; the nearer to a neighbour the better, then the
+    smaller key. The hierarchy is taken at ``levels`` distances, each half the one before. Copies of a vector are in
+    the same cluster. Vectors that take no part (null, of another length, zero, not finite) give no row, repeated
+    rows count once, an empty table gives no rows.
+    """
+    distances = sorted((1 - least_cosine) / 2**i for i in range(levels))
+    reps, tree, nodes = similarity_forest(vectors, key, vector, dim, least_cosine, min_samples)
+    tree = materialize(tree, "tree")
+    found = condense(hierarchy_levels(tree, nodes, distances), distances, min_size)
+    nearest = tree.select(F.explode(F.array("a", "b")).alias("k"), "w").groupBy("k").agg(F.min("w").alias("w"))
+    of_rep = materialize(reps.join(found, "k", "left").join(nearest, "k", "left").select("e", F.col("k").alias("rep"), "last", "cluster", "stability", "level", "w"), "found")
+    shared = ["cluster", "stability", "level", "w"]
+    single = of_rep.where(F.col("rep") == F.col("last")).select(F.col("rep").alias("k"), *shared)
+    copies = usable(vectors, key, vector, dim).join(of_rep.where(F.col("rep") != F.col("last")).select("e", *shared), "e").select("k", *shared).distinct()
+    every = materialize(single.unionByName(copies), "every")
+    sizes = every.where(F.col("cluster").isNotNull()).groupBy("cluster").agg(F.count(F.lit(1)).alias("size"))
+    order = Window.partitionBy("cluster").orderBy("level", "w", "k")
+    typical = every.where(F.col("cluster").isNotNull()).withColumn("exemplar", F.row_number().over(order)).where(F.col("exemplar") <= exemplars).select("k", "exemplar")
+    return every.join(sizes, "cluster", "left").join(typical, "k", "left").select("k", "cluster", "size", "stability", "exemplar")

@@ -46,6 +46,12 @@ def p3_found(spark: SparkSession, sf: str) -> DataFrame:
     return pairs.select(F.col("key_1").alias("cell_key_1"), F.col("key_2").alias("cell_key_2"))
 
 
+def p3_clusters(spark: SparkSession, sf: str) -> DataFrame:
+    """Every cell with its cluster, the cluster's size and stability, and the rank of its most typical cells."""
+    found = clusters.describe_clusters(table(spark, sf, "normalized_expression"), "cell_key", "exprs")
+    return found.select(F.col("k").alias("cell_key"), "cluster", "size", F.round("stability", 4).alias("stability"), "exemplar")
+
+
 def p5_found(spark: SparkSession, sf: str) -> DataFrame:
     """The five cells with the most similar exprs for each probe cell."""
     near = vectors.most_similar(table(spark, sf, "normalized_expression"), "cell_key", "exprs", table(spark, sf, "probe_cells"), "cell_key")
@@ -80,6 +86,7 @@ QUERIES = {
     "p2_percentiles": p2_percentiles,
     "p2_combined": p2_combined,
     "p3_found": p3_found,
+    "p3_clusters": p3_clusters,
     "p5_found": p5_found,
     "p7_packing": p7_packing,
     "p8_found": p8_found,
