@@ -127,8 +127,8 @@ def boruvka(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
         # Two components that chose each other share an edge: the smaller becomes the root.
         back = chosen.select(F.col("c").alias("p"), F.col("p").alias("pp"))
         up = chosen.select("c", "p").join(back, "p", "left").select("c", F.when((F.col("pp") == F.col("c")) & (F.col("c") < F.col("p")), F.col("c")).otherwise(F.col("p")).alias("p"))
+        up = materialize(up, "up")
         while True:
-            up = materialize(up, "up")
             onward = up.select(F.col("c").alias("p"), F.col("p").alias("pp"))
             nxt = up.join(onward, "p", "left").select("c", F.col("pp").alias("q"), "p")
             jumped = materialize(nxt, "jump")
@@ -136,7 +136,7 @@ def boruvka(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
                 break
             up = jumped.select("c", F.col("q").alias("p"))
         roots = up.select(F.col("c"), F.col("p").alias("root"))
-        nodes = materialize(nodes.join(roots, "c", "left").select("k", F.coalesce("root", "c").alias("c")), "nodes")
+        nodes = nodes.join(roots, "c", "left").select("k", F.coalesce("root", "c").alias("c"))  # one small join a round, run at the end
         r1, r2 = roots.select(F.col("c").alias("x"), F.col("root").alias("rx")), roots.select(F.col("c").alias("y"), F.col("root").alias("ry"))
         e = materialize(
             e.join(r1, "x").join(r2, "y").where(F.col("rx") != F.col("ry")).groupBy(F.least("rx", "ry").alias("x"), F.greatest("rx", "ry").alias("y")).agg(F.min("edge").alias("edge")), "edges"
@@ -147,7 +147,7 @@ def boruvka(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
         for f in forest[1:]:
             parts = parts.union(f)
         tree = parts.distinct().select(F.col("edge.a").alias("a"), F.col("edge.b").alias("b"), F.col("edge.w").alias("w"))
-    return tree, nodes
+    return tree, materialize(nodes, "nodes") if forest else nodes
 
 
 def similarity_forest(vectors: DataFrame, key: str, vector: str, dim: int = 32, least_cosine: float = 0.985, min_samples: int = 2, cells: int = 3, max_pivots: int = 32_768, seed: int = 0) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -253,7 +253,7 @@ def condense(labels: DataFrame, distances: list[float], min_size: int) -> DataFr
     return labels.select("k", cluster.alias("p"), level.alias("level")).select("k", "p.cluster", "p.stability", "level")
 
 
-def describe_clusters(vectors: DataFrame, key: str, vector: str, dim: int = 32, least_cosine: float = 0.9, min_samples: int = 3, min_size: int = 3, levels: int = 6, exemplars: int = 3) -> DataFrame:
+def describe_clusters(vectors: DataFrame, key: str, vector: str, dim: int = 32, least_cosine: float = 0.9, min_samples: int = 3, min_size: int = 3, levels: int = 4, exemplars: int = 3) -> DataFrame:
     """Each key with its cluster: ``k, cluster, size, stability, exemplar`` (1, 2, ... for the most typical members).
 
     Keys without a cluster are noise (null cluster) and are there too. The most persistent members, those that stay
