@@ -25,4 +25,24 @@ def p6_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {"p4_found": p4_found, "p6_found": p6_found}
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "p4_found": f"""
+with p as (
+  select distinct cell_key as k, "Sample Name" as s, "Cell X Position" as x, "Cell Y Position" as y from cell_seg_data
+  where cell_key is not null and "Sample Name" is not null and isfinite("Cell X Position") and isfinite("Cell Y Position")),
+q as (select *, floor(x / 5) as cx, floor(y / 5) as cy from p),
+around as (select q.*, cx + dx as ex, cy + dy as ey from q, (select unnest([-1, 0, 1]) as dx), (select unnest([-1, 0, 1]) as dy)),
+near as (
+  select distinct a.k as key_1, b.k as key_2 from q a join around b on a.s = b.s and a.cx = b.ex and a.cy = b.ey
+  where a.k < b.k and sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) <= {NEAR_RADIUS}),
+v as (select region_id, sample_id, vertices, unnest(range(len(vertices))) as i from tissue_regions where len(vertices) >= 3),
+edges as (
+  select region_id, sample_id, vertices[i + 1].x as x1, vertices[i + 1].y as y1, vertices[(i + 1) % len(vertices) + 1].x as x2, vertices[(i + 1) % len(vertices) + 1].y as y2 from v),
+m as (select distinct cell_key as k, sample_id, x, y from metadata_clusters where cell_key is not null and sample_id is not null and isfinite(x) and isfinite(y)),
+inside as (
+  select region_id as key_1, k as key_2 from edges join m using (sample_id)
+  where (y1 > y) <> (y2 > y) and x < (x2 - x1) * (y - y1) / (y2 - y1) + x1
+  group by region_id, k, x, y having count(*) % 2 = 1)
+select 'near' as kind, key_1, key_2 from near union all select distinct 'inside', key_1, key_2 from inside
+""",
+}
