@@ -64,26 +64,38 @@ def group_markers(values: DataFrame, sizes: DataFrame, min_group: int = 3) -> Da
     return out.withColumn("p_adj", adjusted(F.col("p_val"), "grp"))
 
 
-def morans_i(edges: DataFrame, values: DataFrame, cells: DataFrame) -> DataFrame:
-    """Moran's I of every marker over a neighbour graph: ``g, marker, i, z, p``; weights are 1 / (distance + 1e-6).
+def morans_i(edges: DataFrame, values: DataFrame, cross_product: bool = False) -> DataFrame:
+    """Spatial autocorrelation of every marker over a neighbour graph: ``g, marker, i, z, p``.
 
-    ``values`` has ``g, k, marker, v`` for all cells of the graph, ``cells`` one row ``g, n`` per group. A marker
-    without variance has I = 0 and p = 1.
+    ``values`` has ``g, k, marker, v`` for all cells of the graph; weights are 1 / (distance + 1e-6). By default the
+    neighbours' deviations are summed as they are, ``cross_product`` multiplies them with the cell's own, which is
+    Moran's I of the textbooks. A marker without variance has I = 0 and p = 1.
     """
     m = values.groupBy("g", "marker").agg(F.avg("v").alias("m"), F.sum(F.col("v") * F.col("v")).alias("s2"), F.count(F.lit(1)).alias("n"))
     m = m.withColumn("ss", F.col("s2") - F.col("n") * F.col("m") * F.col("m"))
     e = edges.select("g", "src", "dst", (1 / (F.col("d") + 1e-6)).alias("w"))
     total = e.groupBy("g").agg(F.sum("w").alias("total"))
     c = values.join(F.broadcast(m.select("g", "marker", "m")), ["g", "marker"]).select("g", "k", "marker", (F.col("v") - F.col("m")).alias("c"))
-    cross = e.join(c.withColumnsRenamed({"k": "src", "c": "c1"}), ["g", "src"]).join(c.withColumnsRenamed({"k": "dst", "c": "c2"}), ["g", "dst", "marker"])
-    sums = cross.groupBy("g", "marker").agg(F.sum(F.col("w") * F.col("c1") * F.col("c2")).alias("num"))
-    flat = F.col("ss") / F.col("n") < 1e-15
+    if cross_product:
+        lag = e.join(c.withColumnsRenamed({"k": "src", "c": "c1"}), ["g", "src"]).join(c.withColumnsRenamed({"k": "dst", "c": "c2"}), ["g", "dst", "marker"]).withColumn("c", F.col("c1") * F.col("c2"))
+    else:
+        # Only the weight that falls on each cell counts, so edges are added up before they meet the values.
+        lag = e.groupBy("g", F.col("dst").alias("k")).agg(F.sum("w").alias("w")).join(c, ["g", "k"])
+    sums = lag.groupBy("g", "marker").agg(F.sum(F.col("w") * F.col("c")).alias("num"))
+    flat = F.col("ss") < 1e-15
     i = F.when(flat, 0.0).otherwise(F.try_divide(F.col("n") * F.col("num"), F.col("total") * F.col("ss")))
-    expected = -1.0 / (F.col("n") - 1)
-    out = m.join(sums, ["g", "marker"]).join(total, "g").withColumn("i", i).withColumn("z", (F.col("i") - expected) / (0.5 / F.sqrt("n")))
+    out = m.join(sums, ["g", "marker"]).join(total, "g").withColumn("i", i).withColumn("z", (F.col("i") + 1.0 / (F.col("n") - 1)) / (0.5 / F.sqrt("n")))
     return out.select("g", "marker", "i", "z", F.when(flat, 1.0).otherwise(2 * normal_sf(F.abs("z"))).alias("p"))
 
 
+def spatially_variable(edges: DataFrame, values: DataFrame, top: int = 200) -> DataFrame:
+    """Autocorrelation of the ``top`` markers of highest variance in each sample, with adjusted p-values."""
+    var = values.groupBy("g", "marker").agg(F.var_samp("v").alias("var"))
+    kept = var.withColumn("r", F.row_number().over(Window.partitionBy("g").orderBy(F.desc("var"), "marker"))).where(F.col("r") <= top)
+    found = morans_i(edges, values.join(F.broadcast(kept.select("g", "marker")), ["g", "marker"], "left_semi"))
+    return found.withColumn("p_adj", adjusted(F.col("p"), "g"))
+
+
 def distribution_distance(values: DataFrame, group: str, value: str, first: str, second: str) -> DataFrame:
     """Greatest excess of the first sample's cumulative share over the second's (one-sided two-sample D+)."""
     v = values.where(F.col(group).isin(first, second) & F.col(value).isNotNull())

@@ -114,10 +114,10 @@ def bh_adjustment(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def morans_i(spark: SparkSession, sf: str) -> DataFrame:
-    """Moran's I of being each type of cell, over ten neighbours."""
+    """Spatial autocorrelation of being each type of cell, over ten neighbours."""
     c = cells(spark, sf)
     v = c.select("g", "k", F.explode(F.array(*[F.struct(F.lit(t).alias("marker"), (F.col("celltype") == t).cast("double").alias("v")) for t in ("B Cell", "CD8 T Cell", "Tumor Cell")])).alias("m")).select("g", "k", "m.marker", "m.v")
-    r = ranks.morans_i(neighbours.nearest(c, 10), v, c.groupBy("g").agg(F.count(F.lit(1)).alias("n")))
+    r = ranks.morans_i(neighbours.nearest(c, 10), v)
     return r.select(F.col("g").alias("sample"), "marker", F.round("i", 5).alias("i"), F.round("z", 3).alias("z"))
 
 
@@ -393,8 +393,8 @@ with {CELLS}, {_knn(10)}, m as (select unnest(['B Cell', 'CD8 T Cell', 'Tumor Ce
 v as (select g, k, marker, (celltype = marker)::int::double as v from cells, m),
 s as (select g, marker, avg(v) as m, sum(v * v) - count(*) * avg(v) * avg(v) as ss, count(*) as n from v group by 1, 2),
 e as (select g, src, dst, 1 / (d + 1e-6) as w from knn), t as (select g, sum(w) as total from e group by 1),
-x as (select e.g, a.marker, sum(w * (a.v - s.m) * (b.v - s.m)) as num from e join v a on a.k = e.src join v b on b.k = e.dst and b.marker = a.marker join s on s.g = e.g and s.marker = a.marker group by 1, 2),
-i as (select s.g, s.marker, s.n, case when ss / s.n < 1e-15 then 0.0 else s.n * num / (total * ss) end as i from s join x on x.g = s.g and x.marker = s.marker join t on t.g = s.g)
+x as (select e.g, b.marker, sum(w * (b.v - s.m)) as num from e join v b on b.k = e.dst join s on s.g = e.g and s.marker = b.marker group by 1, 2),
+i as (select s.g, s.marker, s.n, case when ss < 1e-15 then 0.0 else s.n * num / (total * ss) end as i from s join x on x.g = s.g and x.marker = s.marker join t on t.g = s.g)
 select g as sample, marker, round(i, 5) as i, round((i + 1.0 / (n - 1)) / (0.5 / sqrt(n)), 3) as z from i""",
     "ks_dplus": f"""
 with {CELLS}, s as (select x, count(*) filter (where celltype = 'B Cell') as a, count(*) filter (where celltype = 'Tumor Cell') as b from cells where celltype in ('B Cell', 'Tumor Cell') group by 1),
