@@ -105,7 +105,7 @@ class Matcher:
             for name in names[1:]:
                 alias = [w for p in parts(name) for w in p]
                 if len(alias) == 1:
-                    self.long[alias[0]] = first
+                    self.long[alias[0]] = first if self.long.get(alias[0], first) == first else []
             for name in names:
                 words = [w for p in parts(name) for w in p]
                 bare = [w for w in words if w != GENERIC]
@@ -191,7 +191,7 @@ class Matcher:
         if len(ids) == 1 and not rest:
             return next(iter(ids))
         found = self.by_set(words)
-        return found if found >= 0 else self.by_set([x for w in words for x in self.long.get(w, [w])])
+        return found if found >= 0 else self.by_set([x for w in words for x in self.long.get(w) or [w]])
 
     def match(self, value: str) -> int:
         """The id of the entry that the value means, or -1 if it means none or several."""

@@ -31,7 +31,7 @@ STATISTICS = ["n_words", "word_length", "symbol_ratio", "digit_ratio", "odd_rati
 _COMMON = frozenset(COMMON)
 _BB = re.compile(r"\[(/?)quote[^\[\]]*\]", re.I)
 _HTML = re.compile(r"<(/?)blockquote[^<>]*>", re.I)
-_QUOTED = re.compile(r"^\s*(?:>|&gt;|\|(?![^\n]*\|\s*$))")
+_QUOTED = re.compile(r"^\s*(?:(?:>|&gt;)+(?:\s|$|[^\W\d_])|\|\s(?![^\n]*\|\s*$))")
 _WROTE = re.compile(r"^\S+ wrote:\s*$")
 _SIGNATURE = re.compile(r"\n\s*(?:--\s?|_{8,}|<hr\s*/?>[^\n]*|\[size=1\][^\n]*)(?:\n|$)", re.I)
 _ITEM = re.compile(r"<li[^<>]*>|\[\*\]", re.I)
@@ -221,10 +221,11 @@ def fit_mixture(stats: DataFrame, seeds: np.ndarray, styles: np.ndarray, rounds:
     first = _sums(stats, lambda x: np.concatenate([[len(x)], x.sum(0), (x**2).sum(0)]), 1 + 2 * d)
     n = max(1.0, first[0])
     mean = first[1 : d + 1] / n
-    scale = np.maximum(np.sqrt(np.maximum(first[d + 1 :] / n - mean**2, 0)), 1e-3)
+    # A statistic that hardly varies in a small corpus must not tear the examples apart.
+    scale = np.maximum(np.sqrt(np.maximum(first[d + 1 :] / n - mean**2, 0)), np.maximum(0.2 * seeds.std(0), 1e-3))
     z = standard(seeds, mean, scale)
     mu0 = np.array([z[styles == j].mean(0) for j in range(int(styles.max()) + 1)])
-    var0, k, prior = np.full_like(mu0, 0.15), len(mu0), prior_share * n + 5
+    var0, k, prior = np.full_like(mu0, 0.15), len(mu0), prior_share * n + 25  # few documents must not pull a style away from its examples
     weight, mu, var = np.full(k, 1 / k), mu0, var0
     for _ in range(rounds):
 

@@ -42,6 +42,7 @@ EXAMPLES: dict[str, dict[str, list[str]]] = {
         "semicolons": ["sd;marker;area;flag\nNA;C11;HLA_DR;C18\n35.80;C03;C04;NA\n73.83;CD68;5415;C12\nCD79a;NA;CD68;Wextov\n2972;C01;7999;C18"],
         "csv": ["sd,flag,mean,sample,day\nNA,C04,HLA_DR,23.51,9525\n57.47,67.70,10.32,Ralmos,CD14\nCD3,PD_1,CD34,68.94,24.59\nC18,Holba,GZMB,C17,PD_1"],
         "columns": ["mean        q50         sample      flag\n726         NA          CD163       C12\nNA          C03         Quindel     2976\nNA          9029        6299        Mosver\n6759        C20         4667        C06", "Numbers from the last run:\ncluster     mean        sd\nNA          NA          Delnav\n2821        Quinfen     CD16\nCD79a       Wexmi       17.42"],
+        "numbers": ["12;7.5;640;3\n88;1.25;17;940\n5;66;713;2.5\n410;9;8;71\n6;15;230;44", "0.5,17,92.1\n3,440,8.25\n61,7,19\n2.75,31,508\n90,4,12.5", "n\tarea\tmean\n4\t57.2\t913\n18\t6\t44.1\n730\t2.9\t85"],
         "html": ["<table><tr><td>flag</td><td>n</td><td>marker</td></tr><tr><td>C18</td><td>2453</td><td>SMA</td></tr><tr><td>6319</td><td>NA</td><td>40.99</td></tr><tr><td>61.82</td><td>CD34</td><td>C05</td></tr></table>"],
     },
     "junk": {
