@@ -222,7 +222,7 @@ def fit_mixture(stats: DataFrame, seeds: np.ndarray, styles: np.ndarray, rounds:
     n = max(1.0, first[0])
     mean = first[1 : d + 1] / n
     # A statistic that hardly varies in a small corpus must not tear the examples apart.
-    scale = np.maximum(np.sqrt(np.maximum(first[d + 1 :] / n - mean**2, 0)), np.maximum(0.2 * seeds.std(0), 1e-3))
+    scale = np.maximum(np.sqrt(np.maximum(first[d + 1 :] / n - mean**2, 0)), np.maximum(0.4 * seeds.std(0), 1e-3))
     z = standard(seeds, mean, scale)
     mu0 = np.array([z[styles == j].mean(0) for j in range(int(styles.max()) + 1)])
     var0, k, prior = np.full_like(mu0, 0.15), len(mu0), prior_share * n + 25  # few documents must not pull a style away from its examples

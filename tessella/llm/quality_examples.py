@@ -7,6 +7,7 @@ EXAMPLES: dict[str, dict[str, list[str]]] = {
     "prose": {
         "sentence": ["Thanks, that was it.", "No luck so far, sorry.", "Good point, I will try that on Monday.", "Same here.", "Any news on this?", "Yes, please see my post above.", "That did not change anything for me.", "Could you send the file? http://pics.invalid/3.png"],
         "careless": ["i have the same question", "same here", "any news on this", "no luck so far, sorry", "could you post the log", "it works now, many thanks to all of you", "good point, i will try that on monday"],
+        "brief": ["same here", "me too", "no idea", "same problem here", "works now"],
         "post": [
             "It turned out that the rows were read twice, so I made the mask again last night. To be honest, the panel is not the problem, because the names were sorted differently.",
             "Has anyone seen such a bright edge in the second slide when the lamp was old? My guess is that the header had changed; if so, look at the first lines and then ask the person who stained it.\n\nThere is a strange region next to every core, which is why I asked.",
