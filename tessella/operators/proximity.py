@@ -143,7 +143,8 @@ def region_cover(regions: DataFrame, key: str, group: str, vertices: str, depth:
                     rows.append((r, g, level, cx, cy, inside, None if inside else met))
             yield pd.DataFrame(rows, columns=["r", "g", "level", "cx", "cy", "interior", "edges"])
 
-    return corner.mapInPandas(cells, schema)
+    # Outlines are few but take long: a small file must not leave them to one task.
+    return corner.repartition(regions.sparkSession.sparkContext.defaultParallelism, "r").mapInPandas(cells, schema)
 
 
 def points_in_regions(points: DataFrame, key: str, x: str, y: str, regions: DataFrame, region_key: str, group: str, vertices: str = "vertices", depth: int = 4, broadcast_rows: int = 200_000) -> DataFrame:
