@@ -8,13 +8,14 @@ from pyspark.sql import functions as F
 from tessella.session import materialize
 
 
-def nearest(points: DataFrame, k: int, with_self: bool = False) -> DataFrame:
+def nearest(points: DataFrame, k: int, with_self: bool = False, most_pairs: int = 20_000_000) -> DataFrame:
     """The ``k`` nearest points of the same group for every point: ``g, src, dst, d, rank`` (ties by ``dst``).
 
     ``points`` has ``g, k, x, y`` with unique keys and finite positions; a group of fewer points gives all others.
     The plane is cut into cells of about k / 2 points, by each group's own density; a point looks through the 3 x 3
     cells around it and is done if its k-th neighbour is nearer than the border of that window or the window holds
-    the whole group. The others, fewer each time, go on with cells four times as wide.
+    the whole group. The others, fewer each time, go on with cells four times as wide, or meet all points of their group
+    where that is at most ``most_pairs`` pairs.
     """
     g = points.groupBy("g").agg(
         F.count(F.lit(1)).alias("n"),
@@ -26,7 +27,9 @@ def nearest(points: DataFrame, k: int, with_self: bool = False) -> DataFrame:
     side = F.sqrt(area * (max(1.0, k / 2)) / F.col("n"))
     g = g.withColumn("side", F.when(side > 0, side).otherwise(1.0)).drop("qx", "qy")
     base = materialize(points.select("g", "k", "x", "y").join(g, "g").withColumn("want", F.least(F.lit(k), F.col("n") - (0 if with_self else 1))), "points")
-    todo, wide, done = base.where("want > 0"), 1.0, None
+    todo, wide, done, n = base.where("want > 0"), 1.0, None, base.count()
+    order = Window.partitionBy("g", "src").orderBy("d", "dst")
+    d = F.sqrt((F.col("qx") - F.col("x")) * (F.col("qx") - F.col("x")) + (F.col("qy") - F.col("y")) * (F.col("qy") - F.col("y")))
     while True:
         s = F.col("side") * wide
         cell = {"cx": F.floor(F.col("x") / s), "cy": F.floor(F.col("y") / s)}
@@ -38,20 +41,27 @@ def nearest(points: DataFrame, k: int, with_self: bool = False) -> DataFrame:
         q = q.select("g", F.col("k").alias("src"), F.col("x").alias("qx"), F.col("y").alias("qy"), "want", whole.alias("whole"), border.alias("border"), "cx", "cy")
         q = q.withColumn("cx", F.explode(F.transform(steps, lambda i: F.col("cx") + i))).withColumn("cy", F.explode(F.transform(steps, lambda i: F.col("cy") + i)))
         p = base.withColumns(cell).select("g", F.col("k").alias("dst"), "x", "y", "cx", "cy")
-        d = F.sqrt((F.col("qx") - F.col("x")) * (F.col("qx") - F.col("x")) + (F.col("qy") - F.col("y")) * (F.col("qy") - F.col("y")))
         near = q.join(p, ["g", "cx", "cy"]).withColumn("d", d)
         if not with_self:
             near = near.where(F.col("src") != F.col("dst"))
-        order = Window.partitionBy("g", "src").orderBy("d", "dst")
         near = near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= F.col("want")).where(F.col("rank") <= k)
         whole_src = Window.partitionBy("g", "src")
         near = near.withColumns({"got": F.count(F.lit(1)).over(whole_src), "kth": F.max("d").over(whole_src)})
         ready = F.col("whole") | ((F.col("got") >= F.col("want")) & (F.col("kth") < F.col("border")))
         part = materialize(near.where(ready).select("g", "src", "dst", "d", "rank"), "nearest")
         done = part if done is None else done.unionByName(part)
-        todo = materialize(todo.join(part.select("g", F.col("src").alias("k")).distinct(), ["g", "k"], "left_anti"), "todo")
-        if todo.isEmpty():
+        todo = materialize(todo.join(part.where("rank = 1").select("g", F.col("src").alias("k")), ["g", "k"], "left_anti"), "todo")
+        left = todo.count()
+        if left == 0:
             return done
+        if left * n <= most_pairs:
+            # The few that lie far off meet all points of their group at once instead of widening step by step.
+            q = F.broadcast(todo.select("g", F.col("k").alias("src"), F.col("x").alias("qx"), F.col("y").alias("qy"), "want"))
+            near = base.select("g", F.col("k").alias("dst"), "x", "y").join(q, "g").withColumn("d", d)
+            if not with_self:
+                near = near.where(F.col("src") != F.col("dst"))
+            last = near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).where(F.col("rank") <= F.col("want"))
+            return done.unionByName(last.select("g", "src", "dst", "d", "rank"))
         wide *= 4
 
 
