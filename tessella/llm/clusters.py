@@ -14,9 +14,13 @@ from tessella.llm.vectors import sample, unit, usable
 from tessella.session import materialize
 
 
-def distinct_vectors(vectors: DataFrame, key: str, vector: str, dim: int) -> DataFrame:
-    """The usable vectors, exact copies taken as one: ``k`` (smallest key), ``e``, ``last`` (largest key)."""
-    return usable(vectors, key, vector, dim).groupBy("e").agg(F.min("k").alias("k"), F.max("k").alias("last"))
+def distinct_vectors(vectors: DataFrame, key: str, vector: str, dim: int, counted: bool = False) -> DataFrame:
+    """The usable vectors, exact copies taken as one: ``k`` (smallest key), ``e``, ``last`` (largest key).
+
+    ``counted`` adds ``n``, the number of keys that have the vector, which takes one more shuffle.
+    """
+    v, ends = usable(vectors, key, vector, dim), [F.min("k").alias("k"), F.max("k").alias("last")]
+    return v.groupBy("e", "k").agg(F.lit(1).alias("one")).groupBy("e").agg(*ends, F.count("one").alias("n")) if counted else v.groupBy("e").agg(*ends)
 
 
 def pivot_cells(vectors: DataFrame, pivots: np.ndarray, cells: int = 3) -> DataFrame:
@@ -69,13 +73,11 @@ def spanning_edges(x: np.ndarray, core: np.ndarray, most: float) -> list[tuple[i
     return out
 
 
-def reachability_edges(placed: DataFrame, most: float, min_samples: int) -> DataFrame:
-    """Edges ``a, b, w`` whose minimum spanning forest is that of the mutual-reachability graph within cells.
+def core_distances(placed: DataFrame, reps: DataFrame, most: float, min_samples: int) -> DataFrame:
+    """``k, core``: the distance within which a vector has ``min_samples`` keys, its own and its copies' counted.
 
-    The graph has an edge for every two vectors that share a cell and differ by at most ``most`` in cosine distance;
-    its weight is the larger of that distance and both core distances (to the ``min_samples``-th nearest vector,
-    itself counted). Each cell sends its own forest only: an edge that is not in it is in no forest of the whole, so
-    near copies never become all pairs. Core distances of more than two samples take one pass over the cells before.
+    Every key of a vector (``n`` of ``reps``) is a sample, so a vector of enough copies has core distance 0. Vectors
+    without so many samples up to ``most`` in the cells they share are not there. Takes one pass over the cells.
     """
     kind = placed.schema["k"].dataType.simpleString()
 
@@ -92,13 +94,27 @@ def reachability_edges(placed: DataFrame, most: float, min_samples: int) -> Data
             rows.append(pd.DataFrame({"k": pdf.k.to_numpy()[at + r[keep]], "other": pdf.k.to_numpy()[c[keep]], "d": np.maximum(0, 1 - s[r[keep], c[keep]])}))
         return pd.concat(rows)
 
-    if min_samples > 2:
-        near = placed.groupBy("cell").applyInPandas(distances, f"k {kind}, other {kind}, d double").groupBy("k", "other").agg(F.min("d").alias("d"))
-        rank = F.row_number().over(Window.partitionBy("k").orderBy("d", "other"))
-        core = near.withColumn("r", rank).where(F.col("r") == min_samples - 1).select("k", F.col("d").alias("core"))
-        placed = placed.join(core, "k", "left").withColumn("core", F.coalesce("core", F.lit(float("inf"))))
+    copied = materialize(reps.where(F.col("n") > 1).select("k", "n"), "copied")
+    near = placed.groupBy("cell").applyInPandas(distances, f"k {kind}, other {kind}, d double").groupBy("k", "other").agg(F.min("d").alias("d"))
+    near = near.join(copied.select(F.col("k").alias("other"), F.col("n").alias("more")), "other", "left").join(copied, "k", "left")
+    reached = F.coalesce("n", F.lit(1)) + F.sum(F.coalesce("more", F.lit(1))).over(Window.partitionBy("k").orderBy("d", "other").rowsBetween(Window.unboundedPreceding, 0))
+    core = near.withColumn("reached", reached).where((F.coalesce("n", F.lit(1)) < min_samples) & (F.col("reached") >= min_samples)).groupBy("k").agg(F.min("d").alias("core"))
+    return core.union(copied.where(F.col("n") >= min_samples).select("k", F.lit(0.0)))
+
+
+def reachability_edges(placed: DataFrame, most: float, cores: DataFrame | None = None) -> DataFrame:
+    """Edges ``a, b, w`` whose minimum spanning forest is that of the mutual-reachability graph within cells.
+
+    The graph has an edge for every two vectors that share a cell and differ by at most ``most`` in cosine distance;
+    its weight is the larger of that distance and both core distances (``cores``; without them two samples are meant,
+    where a nearest neighbour is never farther than any other). Each cell sends its own forest only: an edge that is
+    not in it is in no forest of the whole, so near copies never become all pairs.
+    """
+    kind = placed.schema["k"].dataType.simpleString()
+    if cores is None:
+        placed = placed.withColumn("core", F.lit(0.0))
     else:
-        placed = placed.withColumn("core", F.lit(0.0))  # the nearest neighbour is never farther than any other
+        placed = placed.join(cores, "k", "left").withColumn("core", F.coalesce("core", F.lit(float("inf"))))
 
     def forest(pdf: pd.DataFrame) -> pd.DataFrame:
         x = np.array(pdf.v.tolist(), dtype=np.float32)
@@ -150,23 +166,32 @@ def boruvka(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     return tree, materialize(nodes, "nodes") if forest else nodes
 
 
-def similarity_forest(vectors: DataFrame, key: str, vector: str, dim: int = 32, least_cosine: float = 0.985, min_samples: int = 2, cells: int = 3, max_pivots: int = 32_768, seed: int = 0) -> tuple[DataFrame, DataFrame, DataFrame]:
+def similarity_forest(vectors: DataFrame, key: str, vector: str, dim: int = 32, least_cosine: float = 0.985, min_samples: int = 2, cells: int = 3, max_pivots: int = 32_768, seed: int = 0, counted: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The distinct vectors, the spanning forest of their mutual-reachability graph, and its components.
 
     Pivots, about four times the square root of the number of vectors and at most ``max_pivots``, are a hash sample.
+    More than two samples need ``counted``: copies count as samples, the components (``k, c, n, core``) also hold
+    vectors that only their own copies are near to, and ``n`` and ``core`` are their keys and core distance.
     """
-    reps = materialize(distinct_vectors(vectors, key, vector, dim), "vectors")
+    if min_samples > 2 and not counted:
+        raise ValueError("more than two samples to a core need counted copies")
+    reps = materialize(distinct_vectors(vectors, key, vector, dim, counted), "vectors")
     n = reps.count()
     fit, _ = sample(reps, min(max_pivots, max(16, int(4 * math.sqrt(n)))), seed)
     if not len(fit):
         none = reps.select("k").limit(0)
-        return reps, none.select(F.col("k").alias("a"), F.col("k").alias("b"), F.lit(0.0).alias("w")), none.withColumn("c", F.col("k"))
+        nodes = none.withColumn("c", F.col("k"))
+        return reps, none.select(F.col("k").alias("a"), F.col("k").alias("b"), F.lit(0.0).alias("w")), nodes.withColumns({"n": F.lit(0), "core": F.lit(0.0)}) if counted else nodes
     placed = pivot_cells(reps, fit, cells)
-    if min_samples > 2:
-        placed = materialize(placed, "placed")
-    edges = reachability_edges(placed, 1 - least_cosine, min_samples)
-    tree, nodes = boruvka(edges)
-    return reps, tree, nodes
+    if not counted:
+        tree, nodes = boruvka(reachability_edges(placed, 1 - least_cosine))
+        return reps, tree, nodes
+    placed = materialize(placed, "placed")
+    cores = materialize(core_distances(placed, reps, 1 - least_cosine, min_samples), "cores")
+    tree, nodes = boruvka(reachability_edges(placed, 1 - least_cosine, cores))
+    # A vector alone has a core distance too, if its copies are samples enough.
+    alone = cores.join(reps.where(F.col("n") > 1), "k", "left_semi").join(nodes, "k", "left_anti").select("k", F.col("k").alias("c"))
+    return reps, tree, materialize(nodes.select("k", "c").union(alone).join(reps.select("k", "n"), "k").join(cores, "k"), "weighted")
 
 
 def members(vectors: DataFrame, key: str, vector: str, dim: int, reps: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -198,11 +223,11 @@ def similar_pairs(vectors: DataFrame, key: str, vector: str, dim: int = 32, leas
 
 
 def hierarchy_levels(tree: DataFrame, nodes: DataFrame, distances: list[float]) -> DataFrame:
-    """Components of the forest at each distance, finest first: ``k, c1, ..., cL``.
+    """Components of the forest at each distance, finest first: ``k, n, core, c1, ..., cL``.
 
     A level's components are those of the level below, joined by the edges in between; each tree edge is used once.
     """
-    labels = nodes.select("k", F.col("k").alias("c0"))
+    labels = nodes.select("k", "n", "core", F.col("k").alias("c0"))
     below = -1.0
     for i, t in enumerate(distances, 1):
         ends = labels.select("k", f"c{i - 1}")
@@ -218,18 +243,19 @@ def hierarchy_levels(tree: DataFrame, nodes: DataFrame, distances: list[float])
 def condense(labels: DataFrame, distances: list[float], min_size: int) -> DataFrame:
     """The cluster of each node by stability: ``k, cluster, stability, level`` (null cluster: noise).
 
-    A component of at least ``min_size`` nodes lives on while one such component is left of it at the next finer
+    A component of at least ``min_size`` keys (``n`` of its nodes, copies counted) lives on while one such component is left of it at the next finer
     level; where it falls into two or more, new clusters begin. A cluster's stability is its size times the span of
     1 / distance it lives for; it is selected if that is no less than what the clusters within it reach together.
-    ``level`` is the finest one at which a node is still in such a component: its persistence.
+    A node is there from its core distance on. ``level`` is the finest one at which a node is still in such a component: its persistence.
     """
     depth = len(distances)
     span = [1 / distances[0], *[1 / distances[i - 1] - 1 / distances[i] for i in range(1, depth)]]
     tables = []
     for i in range(1, depth + 1):
         parent = F.first(f"c{i + 1}") if i < depth else F.lit(None)
-        own_life = F.count(F.lit(1)) * span[i - 1]
-        t = labels.groupBy(F.col(f"c{i}").alias("c")).agg(F.count(F.lit(1)).alias("size"), parent.alias("up"), own_life.alias("life")).where(F.col("size") >= min_size)
+        size = F.sum(F.when(F.col("core") <= distances[i - 1], F.col("n")).otherwise(0))
+        own_life = size * span[i - 1]
+        t = labels.groupBy(F.col(f"c{i}").alias("c")).agg(size.alias("size"), parent.alias("up"), own_life.alias("life")).where(F.col("size") >= min_size)
         if tables:
             inside = tables[-1].groupBy(F.col("up").alias("c")).agg(F.count(F.lit(1)).alias("kids"), F.sum("own").alias("kid_own"), F.sum("sub").alias("kid_sub"), F.sum(F.greatest("own", "sub")).alias("kid_best"))
             t = t.join(inside, "c", "left").na.fill(0, ["kids", "kid_own", "kid_sub", "kid_best"])
@@ -259,14 +285,15 @@ def describe_clusters(vectors: DataFrame, key: str, vector: str, dim: int = 32,
     Keys without a cluster are noise (null cluster) and are there too. The most persistent members, those that stay
     in their cluster down to the smallest distance, are its exemplars; the nearer to a neighbour the better, then the
     smaller key. The hierarchy is taken at ``levels`` distances, each half the one before. Copies of a vector are in
-    the same cluster. Vectors that take no part (null, of another length, zero, not finite) give no row, repeated
+    the same cluster, and each counts as a sample and for the size, so copies alone can be one. Vectors that take no part (null, of another length, zero, not finite) give no row, repeated
     rows count once, an empty table gives no rows.
     """
     distances = sorted((1 - least_cosine) / 2**i for i in range(levels))
-    reps, tree, nodes = similarity_forest(vectors, key, vector, dim, least_cosine, min_samples)
+    reps, tree, nodes = similarity_forest(vectors, key, vector, dim, least_cosine, min_samples, counted=True)
     tree = materialize(tree, "tree")
     found = condense(hierarchy_levels(tree, nodes, distances), distances, min_size)
-    nearest = tree.select(F.explode(F.array("a", "b")).alias("k"), "w").groupBy("k").agg(F.min("w").alias("w"))
+    copies_near = nodes.where(F.col("n") > 1).select("k", F.col("core").alias("w"))
+    nearest = tree.select(F.explode(F.array("a", "b")).alias("k"), "w").union(copies_near).groupBy("k").agg(F.min("w").alias("w"))
     of_rep = materialize(reps.join(found, "k", "left").join(nearest, "k", "left").select("e", F.col("k").alias("rep"), "last", "cluster", "stability", "level", "w"), "found")
     shared = ["cluster", "stability", "level", "w"]
     single = of_rep.where(F.col("rep") == F.col("last")).select(F.col("rep").alias("k"), *shared)

@@ -120,3 +120,16 @@ def test_clusters_by_stability(spark):
     for g in range(3):
         assert len({by[i]["cluster"] for i in range(9 * g, 9 * g + 9)}) == 1 and by[9 * g]["size"] == 9
         assert sorted(by[i]["exemplar"] for i in range(9 * g, 9 * g + 9) if by[i]["exemplar"]) == [1, 2, 3]
+
+
+def test_copies_count_in_clusters(spark):
+    x = np.concatenate([np.eye(8)[[0] * 5 + [1] * 2 + [2] * 2], np.eye(8)[3:5], np.eye(8)[[6] * 2]])
+    x[8] = x[8] + 0.05 * np.eye(8)[7]
+    x = np.concatenate([x, x[8:9]])  # 7 once, 8 and 13 copies of a vector near it
+    rows = clusters.describe_clusters(frame(spark, x), "key", "vec", 8, min_size=3).collect()
+    by = {r["k"]: r for r in rows}
+    assert len(rows) == len(by) == 14
+    assert {(by[k]["cluster"], by[k]["size"]) for k in range(5)} == {(0, 5)}  # copies alone, no other vector near
+    assert sorted(by[k]["exemplar"] for k in range(5) if by[k]["exemplar"]) == [1, 2, 3]
+    assert {(by[k]["cluster"], by[k]["size"]) for k in (7, 8, 13)} == {(7, 3)}  # two vectors, three keys
+    assert {by[k]["cluster"] for k in (5, 6, 9, 10, 11, 12)} == {None}  # two copies are too few samples
