@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
@@ -37,6 +38,8 @@ _SIGNATURE = re.compile(r"\n\s*(?:--\s?|_{8,}|<hr\s*/?>[^\n]*|\[size=1\][^\n]*)(
 _ITEM = re.compile(r"<li[^<>]*>|\[\*\]", re.I)
 _CELL = re.compile(r"</t[dh]>\s*(?=<t[dh])", re.I)
 _BREAK = re.compile(r"<br\s*/?>|</?(?:p|div|ul|ol|tr|table)(?:\s[^<>]*)?>|\[/?list[^\[\]]*\]", re.I)
+_PARAGRAPH = re.compile(rf"\n[^\S\n]*\n|{_BREAK.pattern}", re.I)
+_LEAD = re.compile(rf"(?:\s|{_BREAK.pattern})*", re.I)
 _MARKUP = re.compile(r"</?[a-z][^<>]*>|\[/?(?:b|i|u|s|url|img|size|color|code)(?:=[^\[\]]*)?\]", re.I)
 _GONE = re.compile(r"^\W*(?:(?:this |the )?(?:post|message|comment|thread|reply)?\s*(?:was |has been )?(?:deleted|removed|moderated|emptied)(?: by [\w ]{1,40})?)\W*$", re.I)
 _LINK = re.compile(r"(?:https?://|www\.)\S+")
@@ -51,14 +54,34 @@ _ENDS = (".", "!", "?", "…", ":", ".\"", "!\"")
 
 
 def without_blocks(text: str, tag: re.Pattern) -> str:
-    """A text without what stands between opening and closing tags, however deeply nested."""
-    out, depth, at = [], 0, 0
+    """A text without what stands between opening and closing tags, however deeply nested.
+
+    A closing tag belongs to the last opening tag that has none yet. An opening tag without a partner ends at the next
+    paragraph break (a blank line or a tag that breaks lines) outside of blocks that has text before and behind it;
+    where there is none, the tag alone goes, like a closing tag without a partner.
+    """
+    opened, blocks = [], []
     for m in tag.finditer(text):
-        if depth == 0:
-            out.append(text[at : m.start()])
-        depth = max(0, depth - 1) if m.group(1) else depth + 1
-        at = m.end()
-    return "".join(out) + (text[at:] if depth == 0 else "")
+        if not m.group(1):
+            opened.append(m)
+        else:
+            blocks.append(((opened.pop() if opened else m).start(), m.end()))
+    if opened:
+        whole, last, at = sorted(blocks), len(text.rstrip()), 0
+        breaks, end = [], 0
+        for m in _PARAGRAPH.finditer(text):
+            while at < len(whole) and whole[at][0] <= m.start():
+                end, at = max(end, whole[at][1]), at + 1
+            if m.start() >= end and m.end() < last:
+                breaks.append(m.start())
+        for m in opened:
+            i = bisect_left(breaks, _LEAD.match(text, m.end()).end())
+            blocks.append((m.start(), breaks[i] if i < len(breaks) else m.end()))
+    out, at = [], 0
+    for start, end in sorted(blocks):
+        out.append(text[at:start])
+        at = max(at, end)
+    return "".join(out) + text[at:]
 
 
 def own_text(text: str) -> str:

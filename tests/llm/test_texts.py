@@ -105,6 +105,15 @@ def test_own_text():
     assert quality.is_gone("[deleted]") and quality.is_gone("Post removed by moderator.") and quality.is_gone(None) and not quality.is_gone("deleted the file, thanks")
 
 
+def test_block_without_closing_tag():
+    assert quality.own_text("[quote=A]theirs\n\nCD66b: repeat\nCD15: fine") == "CD66b: repeat\nCD15: fine"
+    assert quality.own_text("Mine.<blockquote><p>theirs</p><p>own</p>") == "Mine.\n\nown"
+    assert quality.own_text("[quote]one line, no break\nanother\n\n") == "one line, no break\nanother"
+    assert quality.own_text("[quote=A][quote=B]b\n\nb[/quote] a\r\n\r\nown [quote]c[/quote]") == "own"
+    assert quality.own_text("a [/quote] b [quote]c [quote]d[/quote] e[/quote]") == "a  b"
+
+
+
 def test_statistics_of_anything():
     for t in ("", " ", "a", "\n\n", "🔬" * 10, "x" * 100_000, "a,b\nc,d"):
         x = quality.statistics(t)
