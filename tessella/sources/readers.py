@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import mmap
 import re
+import struct
+from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -135,10 +139,78 @@ def read_manifest(spark: SparkSession, **columns: str) -> DataFrame:
     return out
 
 
+def tiff_pages(data: bytes | mmap.mmap) -> list[tuple[tuple, bytes]]:
+    """``(width, height), description`` of every page of a classic or Big TIFF, wherever its directories stand.
+
+    Raises ``ValueError`` where the chain of directories leaves the file.
+    """
+    order = "<" if data[:2] == b"II" else ">"
+
+    def number(at: int, size: int) -> int:
+        if at < 0 or at + size > len(data):
+            raise ValueError("beyond the file's end")
+        return struct.unpack(order + {2: "H", 4: "I", 8: "Q"}[size], data[at : at + size])[0]
+
+    big = number(2, 2) == 43
+    word, head, entry = (8, 8, 20) if big else (4, 2, 12)
+    at, seen, pages = number(8 if big else 4, word), set(), []
+    if not at:
+        raise ValueError("no directory")
+    while at and at not in seen:
+        seen.add(at)
+        n, size, text = number(at, head), [None, None], b""
+        number(at + head + n * entry, word)  # the directory must lie within the file
+        for e in range(at + head, at + head + n * entry, entry):
+            tag, kind, count, value = number(e, 2), number(e + 2, 2), number(e + 4, word), e + 4 + word
+            if tag in (256, 257):
+                size[tag - 256] = number(value, {3: 2, 4: 4, 16: 8}.get(kind, word))
+            elif tag == 270:
+                start = value if count <= word else number(value, word)
+                if start + count > len(data):
+                    raise ValueError("beyond the file's end")
+                text = data[start : start + count]
+        pages.append((tuple(size), text))
+        at = number(at + head + n * entry, word)
+    return pages
+
+
+def image_kind(data: bytes | mmap.mmap) -> tuple[str, list[str] | None]:
+    """The kind of an image container and its channel names; those of a QPTIFF from the pages of full size."""
+    if data[:4] not in (b"II*\0", b"MM\0*", b"II+\0", b"MM\0+"):
+        return "no tiff", None
+    try:
+        pages = tiff_pages(data)
+        every, full = (b"\n".join(t for _, t in of) for of in (pages, [p for p in pages if p[0] == pages[0][0]]))
+    except ValueError:  # damaged directories: the whole content is searched
+        every = full = data
+    if re.search(rb"<OME", every):
+        return "ome", [n.decode("ISO-8859-1") for n in re.findall(rb'<(?:\w+:)?Channel\b[^>]*?\bName="([^"]*)"', every)]
+    if re.search(rb"PerkinElmer-QPI", every):
+        return "qptiff", [n.decode("ISO-8859-1") for n in re.findall(rb"<Biomarker>([^<]*)</Biomarker>", full)]
+    return "standard", None
+
+
 def image_kinds(spark: SparkSession, path: str) -> DataFrame:
-    """``path, kind, channels`` of image containers: their kind from the description inside, and its channel names."""
+    """``path, kind, channels`` of image containers: their kind from the description inside, and its channel names.
+
+    The descriptions are read page by page where they stand. Files on a disk that the executors share are mapped, not
+    loaded, and may have any size; those of other file systems come as a whole, up to Spark's limit of 2 GB. Spark
+    lists no empty files.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    head = F.decode(F.substring("content", 1, 1_000_000), "ISO-8859-1")
-    kind = F.when(~F.hex(F.substring("content", 1, 4)).isin("49492A00", "4D4D002A", "49492B00", "4D4D002B"), "no tiff").when(head.contains("<OME"), "ome").when(head.contains("PerkinElmer-QPI"), "qptiff").otherwise("standard")
-    names = F.when(kind == "ome", F.regexp_extract_all(head, F.lit(r'<(?:\w+:)?Channel\b[^>]*?\bName="([^"]*)"'), F.lit(1))).when(kind == "qptiff", F.regexp_extract_all(head, F.lit(r"<Biomarker>([^<]*)</Biomarker>"), F.lit(1)))
-    return files.select("path", kind.alias("kind"), names.alias("channels"))
+    first = files.select("path").first()
+    local = first is None or first["path"].startswith("file:")
+
+    def kinds(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            found = []
+            for i, name in enumerate(pdf.path):
+                if not local:
+                    found.append(image_kind(pdf.content.iloc[i]))
+                    continue
+                with open(re.sub(r"^file:(//(?=/))?", "", name), "rb") as f:
+                    with mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ) as data:
+                        found.append(image_kind(data))
+            yield pd.DataFrame({"path": pdf.path, "kind": [k for k, _ in found], "channels": [c for _, c in found]})
+
+    return files.select("path", *([] if local else ["content"])).mapInPandas(kinds, "path string, kind string, channels array<string>")

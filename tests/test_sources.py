@@ -1,4 +1,5 @@
 import gzip
+import struct
 
 import pytest
 
@@ -51,6 +52,34 @@ def test_image_containers(spark, tmp_path):
     assert got == {"a.tif": ("ome", ["DAPI", "CD3"]), "b.tif": ("qptiff", ["CD8"]), "c.tif": ("no tiff", None)}
 
 
+@pytest.mark.parametrize(("order", "big"), [("<", False), (">", False), ("<", True)])
+def test_image_directories_at_the_end(spark, tmp_path, order, big):
+    word, head = ("Q", "Q") if big else ("I", "H")
+
+    def tiff(pages):
+        mark = {"<": b"II", ">": b"MM"}[order] + struct.pack(order + "H", 43 if big else 42) + (struct.pack(order + "HH", 8, 0) if big else b"")
+        body, link = bytearray(mark + bytes(8 if big else 4) + bytes(1_200_000)), len(mark)
+        for width, text in pages:
+            start = len(body)
+            body += text
+            struct.pack_into(order + word, body, link, len(body))
+            pad = bytes((8 if big else 4) - 2)
+            body += struct.pack(order + head, 3)
+            for tag in (256, 257):
+                body += struct.pack(order + "HH" + word, tag, 3, 1) + struct.pack(order + "H", width) + pad
+            body += struct.pack(order + "HH" + word + word, 270, 2, len(text), start)
+            link = len(body)
+            body += struct.pack(order + word, 0)
+        return bytes(body)
+
+    qpi = "<PerkinElmer-QPI-ImageDescription><Biomarker>{}</Biomarker></PerkinElmer-QPI-ImageDescription>"
+    (tmp_path / "a %20#.tif").write_bytes(tiff([(9, b'<OME><Channel ID="1" Name="DAPI"/></OME>'), (9, b"plain")]))
+    (tmp_path / "q.tif").write_bytes(tiff([(9, qpi.format("CD8").encode()), (9, qpi.format("CD4").encode()), (4, qpi.format("CD8").encode())]))
+    (tmp_path / "s.tif").write_bytes(tiff([(9, b"plain text")]))
+    got = {r["path"][-5]: (r["kind"], r["channels"]) for r in readers.image_kinds(spark, str(tmp_path)).collect()}
+    assert got == {"#": ("ome", ["DAPI"]), "q": ("qptiff", ["CD8", "CD4"]), "s": ("standard", None)}
+
+
 def test_writers(spark, tmp_path):
     pairs = spark.createDataFrame([("A", "A", 1.0), ("A", "B", 2.0), ("B", "A", 3.0)], "ref string, query string, v double")
     assert [tuple(r) for r in writers.wide_matrix(pairs, "v").collect()] == [("A", 1.0, 3.0), ("B", 2.0, None)]
