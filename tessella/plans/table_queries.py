@@ -10,7 +10,7 @@ from tessella.operators import annotation, communities, expression, gating, neig
 from tessella.operators.proximity import finite
 from tessella.plans.bindings import CELLS, COUNTED_CELLS, COUNTS, PROFILES, cells, counted_cells, counts, markers, profiles
 from tessella.plans.spatial_queries import RADII, _knn
-from tessella.session import table
+from tessella.session import materialize, table
 
 # Rules of a gating template.
 TEMPLATE = [(1, "Helper T", "CD3+,CD4+,CD8-"), (2, "Cytotoxic T", "CD3+,CD8+,CD4-"), (3, "B", "CD20+,CD3-"), (4, "Macrophage", "CD68+,CD3-")]
@@ -238,9 +238,10 @@ def assignment_summary(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def kmeans_neighborhoods(spark: SparkSession, sf: str) -> DataFrame:
-    """Neighbourhoods found by k-means over all cells' surroundings."""
+    """Neighbourhoods found by k-means over all cells' surroundings, of all types."""
     c = cells(spark, sf)
-    m = niche.composition_matrix(niche.composition(neighbours.nearest(c, 10), c), NICHE_TYPES)
+    types = sorted(r[0] for r in c.select("celltype").distinct().collect())
+    m = materialize(niche.composition_matrix(niche.composition(neighbours.nearest(c, 10), c), types), "niche")
     return niche.assignment_summary(niche.assign_nearest(m, niche.fit_neighbourhoods(m, 4)))
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tessella.functions import names, numeric
 from tessella.operators import annotation, communities, expression, gating, niche, pcf, ranks, raster
+from tessella.plans import table_queries
 
 
 def test_normalisation(spark):
@@ -135,3 +136,11 @@ def test_folds_and_neighbourhoods(spark):
     assert centres == [[0.0, 1.0], [1.0, 0.0]]
     by = {r["k"]: r["neighborhood"] for r in niche.assign_nearest(m, centres).collect()}
     assert all(by[i] == (1 if i % 2 == 0 else 2) for i in by)
+
+
+def test_neighbourhoods_of_all_types(spark, tmp_path):
+    types = ["Endothelial Cell", "Fibroblast", "Neutrophil", "other"]
+    rows = [(12 * i + j, "s", 1000.0 * i + j, float(j % 3), t) for i, t in enumerate(types) for j in range(12)]
+    spark.createDataFrame(rows, "cell_key long, `Sample Name` string, `Cell X Position` double, `Cell Y Position` double, Phenotype string").write.parquet(str(tmp_path / "cell_seg_data.parquet"))
+    found = table_queries.kmeans_neighborhoods(spark, str(tmp_path)).collect()
+    assert sorted(r["n_cells"] for r in found) == [12] * 4
