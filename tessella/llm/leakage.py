@@ -59,14 +59,58 @@ def item_words(items: DataFrame, key: str, passage: str, common: int = 3) -> Dat
     return p.join(openers, "first", "left").select("item", words(rest).alias("iw"))
 
 
-def holds_stretch(same: np.ndarray, stretch: int = STRETCH, error_every: int = ERROR_EVERY) -> bool:
-    """Whether some ``stretch`` or more consecutive places agree but for one in ``error_every``."""
-    if len(same) < stretch:
-        return False
+def stretches(same: np.ndarray, stretch: int = STRETCH, error_every: int = ERROR_EVERY) -> tuple[np.ndarray, int]:
+    """Which places lie in some ``stretch`` or more consecutive ones that agree but for one in ``error_every``.
+
+    Also returns the number of agreeing places of the best such stretch, 0 if there is none.
+    """
+    n = len(same)
+    if n < stretch:
+        return np.zeros(n, bool), 0
     run = np.concatenate([[0], np.cumsum(np.where(same, -1, error_every - 1))])  # not above its start: few enough errors
-    highest = np.maximum.accumulate(run[: len(run) - stretch])
-    # For each end, the highest start at least a stretch before it.
-    return bool((run[stretch:] <= highest).any())
+    # For each start, the furthest end at which the run is no higher: the least of what follows rises with the place.
+    ends = np.searchsorted(np.minimum.accumulate(run[::-1])[::-1], run, side="right") - 1
+    start = np.flatnonzero(ends - np.arange(n + 1) >= stretch)
+    if not len(start):
+        return np.zeros(n, bool), 0
+    edge = np.zeros(n + 1, int)
+    np.add.at(edge, start, 1)
+    np.add.at(edge, ends[start], -1)
+    agree = np.concatenate([[0], np.cumsum(same)])
+    return np.cumsum(edge)[:n] > 0, int((agree[ends[start]] - agree[start]).max())
+
+
+def rivals(found: pd.DataFrame, stretch: int = STRETCH, error_every: int = ERROR_EVERY, block: int = 256) -> list:
+    """The items of a text's matches ``item, at, n, wrong`` that hold a stretch of their own.
+
+    ``wrong`` are the places, counted from ``at``, that differ from the item. Matches are taken from the one with the
+    most agreeing words on; a word in which a match differs is no replaced or misspelt one if it is the word of an
+    item taken before: no stretch runs over it. So of items that share sentence patterns the one the text was taken
+    from is kept, and any other only for what it has to itself or agrees with as well.
+    """
+    same = [np.ones(n, bool) for n in found.n]
+    for s, wrong in zip(same, found.wrong):
+        s[np.asarray(wrong, int)] = False
+    best = [stretches(s, stretch, error_every)[1] for s in same]
+    taken: dict[int, list] = {}
+    out = []
+    for m in sorted(range(len(found)), key=lambda m: (-best[m], found["at"].iloc[m], found["item"].iloc[m])):
+        item, at, mine = found["item"].iloc[m], int(found["at"].iloc[m]), same[m]
+        blocked = np.zeros(len(mine), bool)
+        for other, start, theirs in {id(t): t for b in range(at // block, (at + len(mine)) // block + 1) for t in taken.get(b, ())}.values():
+            low, high = max(at, start), min(at + len(mine), start + len(theirs))
+            if other != item and low < high:
+                blocked[low - at : high - at] |= theirs[low - start : high - start] & ~mine[low - at : high - at]
+        held = np.zeros(len(mine), bool)
+        cuts = np.concatenate([[-1], np.flatnonzero(blocked), [len(mine)]])
+        for low, high in zip(cuts[:-1] + 1, cuts[1:]):
+            held[low:high] = stretches(mine[low:high], stretch, error_every)[0]
+        if held.any():
+            out.append(item)
+            entry = (item, at, held & mine)
+            for b in range(at // block, (at + len(mine)) // block + 1):
+                taken.setdefault(b, []).append(entry)
+    return list(dict.fromkeys(out))
 
 
 def leaked_items(documents: DataFrame, key: str, text: str, items: DataFrame, item_key: str, passage: str, common: int = 3, broadcast_rows: int = 500_000) -> DataFrame:
@@ -75,11 +119,12 @@ def leaked_items(documents: DataFrame, key: str, text: str, items: DataFrame, it
     Shingles of the passages are ordered by how many documents hold them. In each window of the passage as long as
     the stretch that may share fewest shingles, all but the most common ones are necessary: they alone are joined
     with the documents' shingles. A match fixes how the passage lies on the text; where too few words of both overlap
-    it is dropped, else all places are compared, exactly. The items' shingles and the matched document keys are
-    broadcast when they have at most ``broadcast_rows`` rows and joined by shuffle beyond that.
+    it is dropped, else all places are compared, exactly. Where several items match one text, ``rivals`` decides which
+    of them it was taken from. The items' shingles and the matched document keys are broadcast when they have at most
+    ``broadcast_rows`` rows and joined by shuffle beyond that.
 
     Null, empty or short texts and passages hold nothing; very long texts are read whole; repeated rows of a document
-    or an item count once; other columns are ignored.
+    or an item count once, texts of one document that differ each on their own; other columns are ignored.
     """
     small = lambda df: F.broadcast(df) if df.limit(broadcast_rows + 1).count() <= broadcast_rows else df
     it = materialize(item_words(items, item_key, passage, common).where(F.size("iw") >= STRETCH), "items")
@@ -103,10 +148,21 @@ def leaked_items(documents: DataFrame, key: str, text: str, items: DataFrame, it
     overlap = F.least(F.col("n_doc"), F.col("shift") + F.col("n_item")) - F.greatest(F.lit(0), F.col("shift"))
     lies = materialize(lies.where(overlap >= STRETCH).select("doc", "item", "shift").distinct(), "matches")
 
-    @F.pandas_udf("boolean")
-    def verified(w: pd.Series, iw: pd.Series, shift: pd.Series) -> pd.Series:
-        return pd.Series([holds_stretch(np.array([a == b for a, b in zip(d, i[max(0, -s) :])], dtype=bool)) for d, i, s in zip(w, iw, shift)], dtype=bool)
+    @F.pandas_udf("array<int>")
+    def differing(w: pd.Series, iw: pd.Series, shift: pd.Series) -> pd.Series:
+        same = [np.array([a == b for a, b in zip(d, i[max(0, -s) :])], dtype=bool) for d, i, s in zip(w, iw, shift)]
+        return pd.Series([np.flatnonzero(~x) if stretches(x)[1] else None for x in same])
 
     part = F.slice("w", F.greatest(F.col("shift"), F.lit(0)) + 1, F.size("iw"))
-    placed = docs.join(small(lies.select("doc").distinct()), "doc", "left_semi").dropDuplicates(["doc"]).join(lies, "doc").join(small(it), "item")
-    return placed.select("doc", "item", part.alias("w"), "iw", "shift").where(verified("w", "iw", "shift")).select("item", "doc").distinct()
+    texts = docs.join(small(lies.select("doc").distinct()), "doc", "left_semi").distinct().withColumn("copy", F.xxhash64("w"))
+    placed = texts.join(lies, "doc").join(small(it), "item").select("doc", "copy", "item", "shift", "iw", part.alias("w"))
+    at = F.greatest(F.col("shift"), F.lit(0)).alias("at")
+    n = F.least(F.size("w"), F.size("iw") - F.greatest(-F.col("shift"), F.lit(0))).alias("n")
+    matched = placed.select("doc", "copy", "item", at, n, differing("w", "iw", "shift").alias("wrong")).where(F.col("wrong").isNotNull())
+    kinds = ", ".join(f"{c} {matched.schema[c].dataType.simpleString()}" for c in ("item", "doc"))
+
+    def settle(pdf: pd.DataFrame) -> pd.DataFrame:
+        own = rivals(pdf)
+        return pd.DataFrame({"item": own, "doc": [pdf.doc.iloc[0]] * len(own)})
+
+    return matched.groupBy("doc", "copy").applyInPandas(settle, kinds).distinct()

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from tessella.llm import leakage, packing, quality
@@ -88,7 +89,46 @@ def test_stretch_check_equals_all_windows(seed):
     rng = np.random.default_rng(seed)
     same = rng.random(rng.integers(5, 60)) > rng.choice([0.05, 0.12, 0.2])
     want = any((~same[i:j]).sum() * 8 <= j - i for i in range(len(same)) for j in range(i + 15, len(same) + 1))
-    assert leakage.holds_stretch(same) == want
+    cover = np.zeros(len(same), bool)
+    best = 0
+    for i in range(len(same)):
+        for j in range(i + 15, len(same) + 1):
+            if (~same[i:j]).sum() * 8 <= j - i:
+                cover[i:j] = True
+                best = max(best, int(same[i:j].sum()))
+    got = leakage.stretches(same)
+    assert (got[0] == cover).all() and (got[1] > 0) == want and got[1] == best
+
+
+def templated(i):
+    rng = random.Random(i)
+    name = lambda: "".join(rng.choice("bcdfglmnprst") + rng.choice("aeiou") for _ in range(3))
+    goods, places = ["wool blankets", "cedar oil", "smoked eels"], ["harbour", "quarry", "granary"]
+    return (
+        f"Old ledgers mention {name()} {name()} twice once selling {rng.choice(goods)} once mending the {rng.choice(places)} of {name()} during the rainy weeks. "
+        f"Every {rng.choice(['second', 'ninth'])} year a {name()} locks the pumps while {name()} forbids whistling only when deep winter arrives. "
+        f"Nobody from {name()} may carry {rng.choice(goods)} past the {rng.choice(places)} unless {name()} has counted {rng.randint(10, 99)} barley first."
+    )
+
+
+def test_items_of_one_pattern_compete(spark):
+    passages = {i: templated(i) for i in range(30)}
+    w = {i: p.replace(".", "").split() for i, p in passages.items()}
+    mixed = " ".join(w[3][:20]) + " and then " + " ".join(w[4][22:45])
+    worn = w[5][:]
+    worn[4], worn[12], worn[30] = "zzz", "yyy", "xxx"
+    alone = "Old ledgers mention Foo Bar Baz twice once keeping red doors once painting the tower during the rainy weeks."
+    both = passages[6] + " so much for that " + passages[7]
+    assert found(spark, [passages[1], mixed, " ".join(worn), alone, both], passages) == {(1, 0), (3, 1), (4, 1), (5, 2), (6, 4), (7, 4)}
+
+
+def test_rivals_keep_what_both_agree_with():
+    row = lambda item, at, n, wrong: {"item": item, "at": at, "n": n, "wrong": wrong}
+    assert leakage.rivals(pd.DataFrame([row(1, 0, 40, []), row(2, 5, 18, [3, 9])])) == [1]
+    assert leakage.rivals(pd.DataFrame([row(1, 0, 40, []), row(2, 5, 20, [1])])) == [1, 2]
+    assert leakage.rivals(pd.DataFrame([row(1, 0, 40, [8, 14]), row(2, 5, 18, [3, 9])])) == [1, 2]
+    assert leakage.rivals(pd.DataFrame([row(1, 0, 40, []), row(1, 300, 16, [4])])) == [1]
+    assert leakage.rivals(pd.DataFrame(columns=["item", "at", "n", "wrong"])) == []
 
 
 def test_every_leaked_stretch_shares_the_required_shingles():
