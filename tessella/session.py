@@ -8,6 +8,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def get_spark(app: str = "tessella", master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
@@ -61,6 +62,15 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def broadcast_if_small(df: DataFrame, most_bytes: int = 32 << 20) -> DataFrame:
+    """``df`` marked for broadcast if its rows measure at most ``most_bytes``, else as it is.
+
+    Rows are measured as JSON, which no type exceeds by much in memory; meant for tables that are written already.
+    """
+    size = df.agg(F.sum(F.octet_length(F.to_json(F.struct("*"), {"ignoreNullFields": "false"})))).first()[0] or 0
+    return F.broadcast(df) if size <= most_bytes else df
+
+
 def _remove(spark: SparkSession, path: str) -> None:
     try:
         p = spark._jvm.org.apache.hadoop.fs.Path(path)
