@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from functools import reduce
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessella.session import materialize
+from tessella.session import broadcast_if_small, materialize
 
 SHINGLE = 5
 #: A leaked stretch has at least so many words, and at most one in so many of them replaced or misspelt.
@@ -24,18 +29,68 @@ BLANKED = r"\[(?:\s*|\.{2,}|…)\]|_{3,}"
 PARTED = r"(\p{L})-[ \t]*\r?\n[\s>|]*(\p{Ll})"
 
 
-def words(text: Column) -> Column:
-    """The words of a text in lower case, without markup, quote marks, punctuation, spacing and invisible characters."""
-    t = F.regexp_replace(F.regexp_replace(text, INVISIBLE, ""), INLINE_TAG, "")
-    t = F.regexp_replace(F.regexp_replace(t, TAG, " "), BLANKED, f" {BLANK} ")
-    t = F.regexp_replace(t, PARTED, "$1$2")
-    return F.regexp_extract_all(F.lower(t), F.lit(rf"[\p{{L}}\p{{N}}{BLANK}]+"), F.lit(0))
+def normal(text: Column) -> Column:
+    """The words of a text, parted by single spaces: in lower case, without markup, quote marks, punctuation and invisible characters.
+
+    Each replacement runs only where a text has what it looks for, which a plain search tells. The steps are bound to a
+    variable each (an array of one), as their expressions would else be repeated in one another.
+    """
+    plain = lambda t: F.octet_length(t) == F.length(t)
+
+    def where(signs: list[str], pattern: str, by: str) -> Callable[[Column], Column]:
+        return lambda t: F.when(reduce(lambda x, y: x | y, [F.contains(t, F.lit(s)) for s in signs]), F.regexp_replace(t, pattern, by)).otherwise(t)
 
+    steps = [
+        lambda t: F.when(plain(t), t).otherwise(F.regexp_replace(t, INVISIBLE, "")),
+        where(["<"], INLINE_TAG, ""),
+        where(["<", "&", "["], TAG, " "),
+        where(["[", "___"], BLANKED, f" {BLANK} "),
+        where(["-\n", "-\r", "- ", "-\t"], PARTED, "$1$2"),
+        F.lower,
+        lambda t: F.trim(F.when(plain(t), F.regexp_replace(t, "[^a-z0-9]+", " ")).otherwise(F.regexp_replace(t, rf"[^\p{{L}}\p{{N}}{BLANK}]+", " "))),
+    ]
+    return F.element_at(reduce(F.transform, steps, F.array(text)), 1)
 
-def shingles(w: Column, n: int = SHINGLE) -> Column:
-    """Hashes of every ``n`` consecutive words, in order."""
-    at = F.sequence(F.lit(1), F.size(w) - n + 1)
-    return F.when(F.size(w) >= n, F.transform(at, lambda i: F.xxhash64(*[F.try_element_at(w, i + j) for j in range(n)])))
+
+def shingles(texts: DataFrame, key: str, wanted: np.ndarray | None = None, n: int = SHINGLE) -> DataFrame:
+    """``key, n, at, h``: the hash of every ``n`` consecutive words of a ``normal`` text ``t``, with the number of its words.
+
+    With ``wanted`` (hashes) only those are kept; they are looked up before a row leaves the batch.
+    """
+    kind = texts.schema[key].dataType.simpleString()
+    shared = None if wanted is None else texts.sparkSession.sparkContext.broadcast(np.sort(wanted))
+
+    def of_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ordered = None if shared is None else shared.value
+        if ordered is not None:
+            first = np.zeros(1 << 22, bool)  # a table over the leading bits leaves few to be searched for
+            first[(ordered.view(np.uint64) >> np.uint64(42)).astype(np.int64)] = True
+        for batch in batches:
+            lists = pc.split_pattern(batch.column(1), " ")
+            size, flat = pc.list_value_length(lists).to_numpy(zero_copy_only=False), lists.flatten().dictionary_encode()
+            word = pd.util.hash_array(flat.dictionary.to_numpy(zero_copy_only=False), categorize=False)[flat.indices.to_numpy()] if len(flat) else np.zeros(0, np.uint64)
+            places = max(0, len(word) - n + 1)
+            h = np.zeros(places, np.uint64)
+            for j in range(n):
+                h = h * np.uint64(0x9E3779B97F4A7C15) + word[j : j + places]
+            h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+            end = np.cumsum(size)
+            doc = np.repeat(np.arange(len(size)), size)[:places]
+            held = np.arange(places) + n <= end[doc]
+            if ordered is not None:
+                held &= first[(h >> np.uint64(42)).astype(np.int64)]
+                some = np.flatnonzero(held)
+                at = np.minimum(np.searchsorted(ordered, h[some].view(np.int64)), len(ordered) - 1)
+                held = some[ordered[at] == h[some].view(np.int64)] if len(ordered) else some[:0]
+            else:
+                held = np.flatnonzero(held)
+            d = doc[held]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(d)), pa.array(size[d].astype(np.int32)), pa.array((held - (end - size)[d]).astype(np.int32)), pa.array(h[held].view(np.int64))],
+                names=[key, "n", "at", "h"],
+            )
+
+    return texts.select(key, "t").mapInArrow(of_batch, f"{key} {kind}, n int, at int, h bigint")
 
 
 def required_overlap(n: int = SHINGLE, stretch: int = STRETCH, error_every: int = ERROR_EVERY) -> tuple[int, int]:
@@ -50,13 +105,13 @@ def required_overlap(n: int = SHINGLE, stretch: int = STRETCH, error_every: int
 
 
 def item_words(items: DataFrame, key: str, passage: str, common: int = 3) -> DataFrame:
-    """``item, iw``: the words of each passage, without a first sentence that opens at least ``common`` passages."""
+    """``item, t``: the words of each passage, without a first sentence that opens at least ``common`` passages."""
     p = items.select(F.col(f"`{key}`").alias("item"), F.col(f"`{passage}`").alias("p")).where(F.col("item").isNotNull() & F.col("p").isNotNull()).dropDuplicates(["item"])
     first = F.regexp_extract("p", r"^\s*([^.!?]*[.!?])", 1)
-    p = p.withColumn("first", F.array_join(words(first), " "))
+    p = p.withColumn("first", normal(first))
     openers = p.where(F.col("first") != "").groupBy("first").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= common).select("first", F.lit(True).alias("opens"))
     rest = F.when(F.coalesce("opens", F.lit(False)), F.regexp_replace("p", r"^\s*[^.!?]*[.!?]", "")).otherwise(F.col("p"))
-    return p.join(openers, "first", "left").select("item", words(rest).alias("iw"))
+    return p.join(openers, "first", "left").select("item", normal(rest).alias("t"))
 
 
 def stretches(same: np.ndarray, stretch: int = STRETCH, error_every: int = ERROR_EVERY) -> tuple[np.ndarray, int]:
@@ -113,7 +168,7 @@ def rivals(found: pd.DataFrame, stretch: int = STRETCH, error_every: int = ERROR
     return list(dict.fromkeys(out))
 
 
-def leaked_items(documents: DataFrame, key: str, text: str, items: DataFrame, item_key: str, passage: str, common: int = 3, broadcast_rows: int = 500_000) -> DataFrame:
+def leaked_items(documents: DataFrame, key: str, text: str, items: DataFrame, item_key: str, passage: str, common: int = 3, most_hashes: int = 2_000_000) -> DataFrame:
     """Documents that hold a stretch of an item's passage: ``item, doc``, one row for each.
 
     Shingles of the passages are ordered by how many documents hold them. In each window of the passage as long as
@@ -121,18 +176,19 @@ def leaked_items(documents: DataFrame, key: str, text: str, items: DataFrame, it
     with the documents' shingles. A match fixes how the passage lies on the text; where too few words of both overlap
     it is dropped, else all places are compared, exactly. Where several items match one text, ``rivals`` decides which
     of them it was taken from. The items' shingles and the matched document keys are broadcast when they have at most
-    ``broadcast_rows`` rows and joined by shuffle beyond that.
+    ``most_hashes`` rows (8 bytes each) and joined by shuffle beyond that.
 
     Null, empty or short texts and passages hold nothing; very long texts are read whole; repeated rows of a document
     or an item count once, texts of one document that differ each on their own; other columns are ignored.
     """
-    small = lambda df: F.broadcast(df) if df.limit(broadcast_rows + 1).count() <= broadcast_rows else df
-    it = materialize(item_words(items, item_key, passage, common).where(F.size("iw") >= STRETCH), "items")
-    of_items = materialize(it.select("item", F.size("iw").alias("n_item"), F.posexplode(shingles(F.col("iw"))).alias("at", "h")), "shingles")
+    it = materialize(item_words(items, item_key, passage, common), "items")
+    of_items = materialize(shingles(it, "item").where(F.col("n") >= STRETCH).withColumnRenamed("n", "n_item"), "shingles")
     docs = documents.select(F.col(f"`{key}`").alias("doc"), F.col(f"`{text}`").alias("t")).where(F.col("doc").isNotNull() & F.col("t").isNotNull())
-    docs = docs.select("doc", words(F.col("t")).alias("w")).where(F.size("w") >= STRETCH)
-    hits = docs.select("doc", F.size("w").alias("n_doc"), F.posexplode(shingles(F.col("w"))).alias("pos", "h"))
-    hits = materialize(hits.join(small(of_items.select("h").distinct()), "h", "left_semi"), "hits")
+    listed = of_items.select("h").distinct()
+    wanted = [r["h"] for r in listed.limit(most_hashes + 1).collect()]
+    known = len(wanted) <= most_hashes
+    hits = shingles(docs.select("doc", normal(F.col("t")).alias("t")), "doc", np.array(wanted, np.int64) if known else None).where(F.col("n") >= STRETCH)
+    hits = materialize((hits if known else hits.join(listed, "h", "left_semi")).select("doc", F.col("n").alias("n_doc"), F.col("at").alias("pos"), "h"), "hits")
 
     # Rarity over the whole corpus, then the necessary shingles of every window of every passage.
     held = hits.groupBy("h").agg(F.approx_count_distinct("doc").alias("n_docs"))
@@ -144,7 +200,7 @@ def leaked_items(documents: DataFrame, key: str, text: str, items: DataFrame, it
     size = F.count(F.lit(1)).over(Window.partitionBy("item", "start"))
     necessary = windows.withColumns({"r": order, "size": size}).where((F.col("r") > need - 1) | (F.col("size") < span)).select("item", "n_item", "at", "h").distinct()
 
-    lies = hits.join(small(necessary), "h").select("doc", "item", "n_doc", "n_item", (F.col("pos") - F.col("at")).alias("shift"))
+    lies = hits.join(broadcast_if_small(necessary), "h").select("doc", "item", "n_doc", "n_item", (F.col("pos") - F.col("at")).alias("shift"))
     overlap = F.least(F.col("n_doc"), F.col("shift") + F.col("n_item")) - F.greatest(F.lit(0), F.col("shift"))
     lies = materialize(lies.where(overlap >= STRETCH).select("doc", "item", "shift").distinct(), "matches")
 
@@ -154,8 +210,8 @@ def leaked_items(documents: DataFrame, key: str, text: str, items: DataFrame, it
         return pd.Series([np.flatnonzero(~x) if stretches(x)[1] else None for x in same])
 
     part = F.slice("w", F.greatest(F.col("shift"), F.lit(0)) + 1, F.size("iw"))
-    texts = docs.join(small(lies.select("doc").distinct()), "doc", "left_semi").distinct().withColumn("copy", F.xxhash64("w"))
-    placed = texts.join(lies, "doc").join(small(it), "item").select("doc", "copy", "item", "shift", "iw", part.alias("w"))
+    texts = docs.join(broadcast_if_small(lies.select("doc").distinct()), "doc", "left_semi").distinct().select("doc", F.xxhash64("t").alias("copy"), F.split(normal(F.col("t")), " ").alias("w"))
+    placed = texts.join(lies, "doc").join(broadcast_if_small(it.select("item", F.split("t", " ").alias("iw"))), "item").select("doc", "copy", "item", "shift", "iw", part.alias("w"))
     at = F.greatest(F.col("shift"), F.lit(0)).alias("at")
     n = F.least(F.size("w"), F.size("iw") - F.greatest(-F.col("shift"), F.lit(0))).alias("n")
     matched = placed.select("doc", "copy", "item", at, n, differing("w", "iw", "shift").alias("wrong")).where(F.col("wrong").isNotNull())

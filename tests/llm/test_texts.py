@@ -54,10 +54,10 @@ def passage(i, n=40):
     return " ".join("".join(rng.choice("bcdfglmnprst") + rng.choice("aeiou") for _ in range(3)) for _ in range(n)) + "."
 
 
-def found(spark, texts, passages=None):
+def found(spark, texts, passages=None, **settings):
     items = spark.createDataFrame([(i, p, "t") for i, p in (passages or {i: passage(i) for i in range(6)}).items()], "iid long, passage string, doc string")
     docs = spark.createDataFrame([(i, t, "x", 0) for i, t in enumerate(texts)] + [(0, texts[0], "x", 0)], "did long, text string, item string, h int")
-    return {(r["item"], r["doc"]) for r in leakage.leaked_items(docs, "did", "text", items, "iid", "passage").collect()}
+    return {(r["item"], r["doc"]) for r in leakage.leaked_items(docs, "did", "text", items, "iid", "passage", **settings).collect()}
 
 
 def test_stretches(spark):
@@ -82,6 +82,7 @@ def test_common_openers_do_not_count(spark):
     opener = " ".join(f"word{i}" for i in range(18)) + ". "
     passages = {i: opener + passage(i) for i in range(4)}
     assert found(spark, [opener, "x " + passages[2]], passages) == {(2, 1)}
+    assert found(spark, [opener, "x " + passages[2]], passages, most_hashes=1) == {(2, 1)}
 
 
 @pytest.mark.parametrize("seed", range(40))
