@@ -61,15 +61,18 @@ def test_cover_keeps_interior_cells_whole():
     assert len({level for level, *_ in cells}) > 2
 
 
-@pytest.mark.parametrize("with_self,most_pairs", [(False, 0), (False, 20_000_000), (True, 20_000_000)])
-def test_nearest_equals_brute_force(spark, with_self, most_pairs):
+@pytest.mark.parametrize("with_self,block", [(False, 7), (False, 512), (True, 20)])
+def test_nearest_equals_brute_force(spark, with_self, block):
     rng = np.random.default_rng(9)
     rows = [("a", i, float(x), float(y)) for i, (x, y) in enumerate(rng.normal(0, 10, (120, 2)))]
     rows += [("a", 500, 9000.0, -9000.0), ("a", 501, 1.0, 1.0), ("a", 502, 1.0, 1.0)]  # far off, and on one place
+    rows += [("d", 800 + i, 3.0, 4.0) for i in range(40)] + [("d", 900, 3.0, 4.5)]  # copies of a third of all rows
     rows += [("b", 600, 0.0, 0.0), ("b", 601, 5.0, 0.0), ("c", 700, 1.0, 1.0)]  # fewer than k
     got = {}
-    for r in neighbours.nearest(spark.createDataFrame(rows, "g string, k long, x double, y double"), 4, with_self, most_pairs).collect():
+    for r in neighbours.nearest(spark.createDataFrame(rows, "g string, k long, x double, y double"), 4, with_self, block).collect():
         got.setdefault(r["src"], []).append((r["rank"], r["dst"]))
     for g, k, x, y in rows:
         near = sorted((math.sqrt((x - x2) ** 2 + (y - y2) ** 2), k2) for g2, k2, x2, y2 in rows if g2 == g and (with_self or k2 != k))[:4]
         assert [d for _, d in sorted(got.get(k, []))] == [k2 for _, k2 in near]
+    none = spark.createDataFrame([], "g string, k long, x double, y double")
+    assert neighbours.nearest(none, 4, with_self, block).count() == 0
