@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Settings that count as absent.
-UNSET = ["", "NULL", "null", "NA", "none", "None", "NONE"]
+UNSET = ["", "NULL", "null", "NA", "na", "none", "None", "NONE"]
 
 
 def is_unset(value: object, zero: bool = False) -> bool:

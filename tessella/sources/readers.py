@@ -18,8 +18,8 @@ VECTRA = ["Sample Name", "Cell X Position", "Cell Y Position", "Phenotype", "Tis
 VECTRA_REQUIRED = ["Cell X Position", "Cell Y Position", "Phenotype"]
 # Headers that tell the vendor of a segmentation table; the first that fits counts.
 FORMATS = [
-    ("qupath", [r"Centroid X", r": (Cell|Nucleus|Cytoplasm|Membrane): "]),
-    ("halo", [r"(Cell|Nucleus|Cytoplasm) Intensity"]),
+    ("qupath", [r"Centroid X|: (Cell|Nucleus|Cytoplasm|Membrane): "]),
+    ("halo", [r"(Cell|Nucleus|Cytoplasm) Intensity|^(Classification|Completeness|Classifier Label)$"]),
     ("codex", [r"_Mean_intensity$", r"_(P\d+|Max|Min|Median|Std_dev)_intensity$"]),
     ("mesmer", [r"^label$", r"^y$", r"^x$"]),
 ]
@@ -47,25 +47,75 @@ def read_matrix(spark: SparkSession, path: str, transpose: bool = False) -> Data
     return long.select(F.col("gene").alias("cell"), F.col("cell").alias("gene"), "n") if transpose else long
 
 
-def read_vectra(spark: SparkSession, path: str) -> DataFrame:
-    """Cell segmentation exports of a folder or a file, one sample each: the columns of ``VECTRA``, typed.
-
-    Tab-separated, else by commas; names with underscores are taken too. A sample without a name takes its file's.
-    Rows without a phenotype or a finite position go; a missing tissue category is ``Unknown``.
+def expand_paths(spark: SparkSession, given: str, pattern: str = "*.{csv,CSV}") -> list[str]:
+    """The files that a setting names: a folder (its matching files, at any depth), a ``.txt`` list, or paths parted by ``;``."""
+    fs = spark._jvm.org.apache.hadoop.fs
+    path = fs.Path(given.strip())
+    if ";" not in given and path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        if path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path).isDirectory():
+            files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(given.strip())
+            return sorted(r["path"] for r in files.select("path").collect())
+        if given.strip().lower().endswith(".txt"):
+            listed = [r["value"].strip() for r in spark.read.text(given.strip()).collect()]
+            return [x for x in listed if x]
+    return [x.strip() for x in given.split(";") if x.strip()]
+
+
+def read_headers(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """``path, header``: the first line of each file; only the first split of a file is read for it."""
+    lines = spark.read.option("recursiveFileLookup", True).text(paths).where("_metadata.file_block_start = 0")
+    lines = lines.select("value", F.col("_metadata.file_path").alias("path"), F.monotonically_increasing_id().alias("row"))
+    first = F.min_by("value", "row")  # rows of a split stand in order
+    return lines.groupBy("path").agg(F.regexp_replace(first, "[\ufeff\r]", "").alias("header"))
+
+
+def read_vectra(spark: SparkSession, paths: str | list[str], phenotype: str = "Phenotype", drop_missing: bool = True, report: bool = False) -> DataFrame | tuple[DataFrame, DataFrame]:
+    """Cell segmentation exports, one sample each: the columns of ``VECTRA``, typed, and ``file``.
+
+    Files of a folder may differ: each is read by its own header and separator (tabs, else commas), and where a
+    ``Sample_Name`` is there, all names have underscores for spaces. A file's sample is the name in its first row,
+    else the file's own name. Rows without a phenotype (with ``drop_missing``) or a finite position go; a missing
+    tissue category is ``Unknown``. A file without a required column is an error; with ``report`` the other files are
+    read, and a second table ``path, missing`` names such files.
     """
-    for sep in ("\t", ","):
-        df = read_delimited(spark, path, sep)
-        df = df.withColumnsRenamed({c: c.replace("_", " ") for c in df.columns if c.replace("_", " ") in VECTRA})
-        if all(c in df.columns for c in VECTRA_REQUIRED):
-            break
-    else:
-        raise ValueError(f"{path}: no columns {', '.join(VECTRA_REQUIRED)}")
-    stem = F.regexp_extract(F.col("_metadata.file_name"), r"^(.*?)(\.[A-Za-z]+)*$", 1)
-    sample = F.coalesce(F.when(F.trim("Sample Name") != "", F.col("Sample Name")), stem) if "Sample Name" in df.columns else stem
-    tissue = F.coalesce("Tissue Category", F.lit("Unknown")) if "Tissue Category" in df.columns else F.lit("Unknown")
+    required = [*VECTRA_REQUIRED[:2], phenotype]
+
+    def columns(header: str) -> tuple[str, list[str]]:
+        for sep in ("\t", ","):
+            names = [c.strip().strip('"') for c in header.split(sep)]
+            named = [c.replace("_", " ") for c in names] if "Sample_Name" in names else names
+            if all(c in named for c in VECTRA_REQUIRED[:2]):
+                return sep, named
+        return ",", named
+
+    by: dict[str, list[str]] = {}
+    for r in read_headers(spark, paths).collect():  # one row a file
+        by.setdefault(r["header"] or "", []).append(r["path"])
+    lost = [(p, ", ".join(c for c in required if c not in columns(h)[1])) for h, files in by.items() for p in files if any(c not in columns(h)[1] for c in required)]
+    if lost and not report:
+        raise ValueError("; ".join(f"{p}: no columns {missing}" for p, missing in lost))
     number = lambda c: F.expr(f"try_cast(`{c}` as double)")
-    out = df.select(sample.alias("Sample Name"), number("Cell X Position").alias("Cell X Position"), number("Cell Y Position").alias("Cell Y Position"), F.col("Phenotype"), tissue.alias("Tissue Category"))
-    return out.where((F.trim("Phenotype") != "") & (F.abs("Cell X Position") < float("inf")) & (F.abs("Cell Y Position") < float("inf")))
+    out = None
+    for header, files in by.items():
+        sep, names = columns(header)
+        if any(c not in names for c in required):
+            continue
+        unique = [c if names.index(c) == i else f"{c}.{i}" for i, c in enumerate(names)]
+        df = spark.read.option("header", True).option("sep", sep).schema(", ".join(f"`{c.replace('`', '``')}` string" for c in unique)).option("enforceSchema", True).csv(files)
+        tissue = F.coalesce("Tissue Category", F.lit("Unknown")) if "Tissue Category" in names else F.lit("Unknown")
+        own = F.col("Sample Name") if "Sample Name" in names else F.lit(None).cast("string")
+        df = df.select(own.alias("Sample Name"), number("Cell X Position").alias("Cell X Position"), number("Cell Y Position").alias("Cell Y Position"), F.col(f"`{phenotype}`").alias("Phenotype"), tissue.alias("Tissue Category"), F.col("_metadata.file_path").alias("file"), F.struct("_metadata.file_block_start", F.monotonically_increasing_id().alias("row")).alias("at"))
+        out = df if out is None else out.unionByName(df)
+    if out is None:
+        out = spark.createDataFrame([], ", ".join(f"`{c}` {'double' if 'Position' in c else 'string'}" for c in VECTRA) + ", file string, at struct<a:bigint,b:bigint>")
+    first = out.groupBy("file").agg(F.min_by(F.struct("Sample Name"), "at")["Sample Name"].alias("named"))  # one row a file
+    stem = F.regexp_extract("file", r"([^/]*?)(\.[A-Za-z]+)*$", 1)
+    out = out.join(F.broadcast(first), "file").withColumn("Sample Name", F.coalesce(F.when(F.trim("named") != "", F.col("named")), stem))
+    out = out.where((F.abs("Cell X Position") < float("inf")) & (F.abs("Cell Y Position") < float("inf")))
+    if drop_missing:
+        out = out.where(F.trim("Phenotype") != "")
+    out = out.select(*VECTRA, "file")
+    return (out, spark.createDataFrame(lost, "path string, missing string")) if report else out
 
 
 def detect_format(columns: list[str]) -> str:
@@ -118,9 +168,25 @@ def read_template(spark: SparkSession, path: str) -> DataFrame:
     return df.select(F.monotonically_increasing_id().cast("int").alias("place"), F.col("CELLTYPE").alias("celltype"), F.col("MARKERS").alias("markers"))
 
 
-def read_predictions(spark: SparkSession, path: str) -> DataFrame:
-    """Predictions as JSON lines; broken lines go."""
-    return spark.read.schema("cluster_id string, cell_type string, confidence double, error string, raw string").option("mode", "DROPMALFORMED").json(path)
+def read_predictions(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Predictions as JSON lines, and ``file, line`` of the lines that are no JSON object of this kind."""
+    fields = "cluster_id string, cell_type string, confidence double, error string, raw string"
+    lines = spark.read.text(path).where(F.trim("value") != "").select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("line"))
+    read = lines.withColumn("p", F.from_json("line", f"{fields}, broken string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "broken"}))
+    bad = F.col("p").isNull() | F.col("p.broken").isNotNull()
+    return read.where(~bad).select("p.*").drop("broken"), read.where(bad).select("file", "line")
+
+
+def read_ontology(spark: SparkSession, path: str) -> DataFrame:
+    """``markers, ontology`` of a manifest in JSON; no row where it is malformed or lacks either."""
+    df = spark.read.schema("markers array<string>, ontology string, broken string").option("multiLine", True).option("columnNameOfCorruptRecord", "broken").json(path)
+    return df.where(F.col("broken").isNull() & F.col("markers").isNotNull() & F.col("ontology").isNotNull()).select("markers", "ontology")
+
+
+def read_allow_list(spark: SparkSession, path: str, column: str = "x") -> DataFrame:
+    """``marker``: the markers of an allow-list, each also without its underscores and with hyphens for them."""
+    m = spark.read.option("header", True).csv(path).select(F.trim(F.col(f"`{column}`")).alias("m")).where(F.col("m") != "")
+    return m.select(F.explode(F.array("m", F.replace("m", F.lit("_"), F.lit("")), F.replace("m", F.lit("_"), F.lit("-")))).alias("marker")).distinct()
 
 
 def read_manifest(spark: SparkSession, **columns: str) -> DataFrame:

@@ -10,7 +10,8 @@ from tessella.streaming import arrivals
 
 def test_formats_by_header():
     assert readers.detect_format(["Centroid X µm", "CD3: Cell: Mean"]) == "qupath"
-    assert readers.detect_format(["CD3 Cell Intensity", "XMin"]) == "halo"
+    assert readers.detect_format(["Centroid X µm", "Y"]) == "qupath" == readers.detect_format(["CD3: Nucleus: Mean"])
+    assert readers.detect_format(["CD3 Cell Intensity", "XMin"]) == "halo" == readers.detect_format(["label", "y", "x", "Classification"])
     assert readers.detect_format(["CD3_Mean_intensity", "CD3_P25_intensity"]) == "codex"
     assert readers.detect_format(["label", "y", "x", "CD3"]) == "mesmer"
     assert readers.detect_format(["anything"]) == "halo"
@@ -24,8 +25,40 @@ def test_vectra_export(spark, tmp_path, sep):
     rows = [["Sample_Name", "Cell_X_Position", "Cell_Y_Position", "Phenotype"], ["s1", "1.5", "2", "B"], ["", "bad", "2", "B"], ["", "3", "4", "T"], ["s1", "1", "1", " "]]
     f = tmp_path / "core7.txt.gz"
     f.write_bytes(gzip.compress("\n".join(sep.join(r) for r in rows).encode()))
-    got = {tuple(r) for r in readers.read_vectra(spark, str(f)).collect()}
-    assert got == {("s1", 1.5, 2.0, "B", "Unknown"), ("core7", 3.0, 4.0, "T", "Unknown")}
+    got = {tuple(r)[:5] for r in readers.read_vectra(spark, str(f)).collect()}
+    assert got == {("s1", 1.5, 2.0, "B", "Unknown"), ("s1", 3.0, 4.0, "T", "Unknown")}  # the name in the first row
+
+
+def test_vectra_folder_of_unlike_files(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("Sample Name,Cell X Position,Cell Y Position,Phenotype\nA,1,2,B\n")
+    (tmp_path / "b.csv").write_text("Phenotype,Cell Y Position,Tissue Category,Cell X Position,more\nT,4,Tumor,3,z\n,1,x,1,z\n")
+    (tmp_path / "deep").mkdir()
+    (tmp_path / "deep" / "c.csv").write_text("Sample_Name\tCell_X_Position\tCell_Y_Position\tPhenotype\nC\t5\t6\tNK\n")
+    want = {("A", 1.0, 2.0, "B", "Unknown"), ("b", 3.0, 4.0, "T", "Tumor"), ("C", 5.0, 6.0, "NK", "Unknown")}
+    assert {tuple(r)[:5] for r in readers.read_vectra(spark, str(tmp_path)).collect()} == want
+    assert [p[-5:] for p in readers.expand_paths(spark, str(tmp_path))] == ["a.csv", "b.csv", "c.csv"]
+    (tmp_path / "deep" / "d.csv").write_text("Cell X Position,Phenotype\n1,B\n")
+    with pytest.raises(ValueError):
+        readers.read_vectra(spark, str(tmp_path))
+    rows, lost = readers.read_vectra(spark, str(tmp_path), report=True)
+    assert rows.count() == 3 and [(r["path"][-5:], r["missing"]) for r in lost.collect()] == [("d.csv", "Cell Y Position")]
+    (tmp_path / "list.txt").write_text("x.csv\n\n y.csv\n")
+    assert readers.expand_paths(spark, str(tmp_path / "list.txt")) == ["x.csv", "y.csv"] == readers.expand_paths(spark, "x.csv; y.csv")
+    (tmp_path / "empty").mkdir()
+    (tmp_path / "empty" / "e.csv").write_text("Cell X Position,Cell Y Position,Phenotype\n")
+    assert readers.read_vectra(spark, str(tmp_path / "empty")).count() == 0
+
+
+def test_json_and_lists(spark, tmp_path):
+    (tmp_path / "p.jsonl").write_text('{"cluster_id": "1", "cell_type": "B", "confidence": 0.9}\n{"cluster_id": "2", \nno json\n')
+    rows, bad = readers.read_predictions(spark, str(tmp_path / "p.jsonl"))
+    assert [r["cell_type"] for r in rows.collect()] == ["B"] and bad.count() == 2
+    (tmp_path / "o.json").write_text('{"markers": ["CD3", "CD20"],\n "ontology": "cells"}')
+    assert tuple(readers.read_ontology(spark, str(tmp_path / "o.json")).first()) == (["CD3", "CD20"], "cells")
+    (tmp_path / "o.json").write_text('{"markers": ["CD3"')
+    assert readers.read_ontology(spark, str(tmp_path / "o.json")).count() == 0
+    (tmp_path / "x.csv").write_text("x\nCD3_a\n")
+    assert {r["marker"] for r in readers.read_allow_list(spark, str(tmp_path / "x.csv")).collect()} == {"CD3_a", "CD3a", "CD3-a"}
 
 
 def test_small_files(spark, tmp_path):
