@@ -1,4 +1,4 @@
-"""Communities of a weighted graph by distributed modularity moves."""
+"""Communities of a weighted graph by distributed local moves, merging and splitting into connected parts."""
 
 from __future__ import annotations
 
@@ -8,42 +8,112 @@ from pyspark.sql import functions as F
 from tessella.session import materialize
 
 
-def _moves(edges: DataFrame, resolution: float, rounds: int) -> DataFrame:
-    """``k, c`` after rounds in which half of the nodes at a time move to the neighbouring community of most gain."""
+def _moves(edges: DataFrame, sizes: DataFrame, resolution: float, rounds: int, objective: str) -> DataFrame:
+    """``k, c`` after rounds in which half of the nodes at a time move to the neighbouring community of most gain.
+
+    Ends when neither half moves a node, or after ``rounds``.
+    """
     both = edges.select("src", "dst", "weight").union(edges.where(F.col("src") != F.col("dst")).select("dst", "src", "weight"))
-    degree = materialize(both.groupBy(F.col("src").alias("k")).agg(F.sum(F.when(F.col("src") == F.col("dst"), 2 * F.col("weight")).otherwise(F.col("weight"))).alias("deg")), "degree")
-    total = degree.agg(F.sum("deg")).first()[0] or 1.0
+    if objective == "modularity":
+        weight = both.groupBy(F.col("src").alias("k")).agg(F.sum(F.when(F.col("src") == F.col("dst"), 2 * F.col("weight")).otherwise(F.col("weight"))).alias("deg"))
+    else:
+        weight = both.select(F.col("src").alias("k")).distinct().join(sizes, "k").select("k", F.col("size").cast("double").alias("deg"))
+    weight = materialize(weight, "degree")
+    total = (weight.agg(F.sum("deg")).first()[0] or 1.0) if objective == "modularity" else 1.0
     both = materialize(both.where(F.col("src") != F.col("dst")), "links")
-    labels = degree.select("k", F.col("k").alias("c"), "deg")
+    labels, still = weight.select("k", F.col("k").alias("c"), "deg"), 0
     for i in range(rounds):
         size = labels.groupBy("c").agg(F.sum("deg").alias("tot"))
         near = both.join(labels.select(F.col("k").alias("dst"), "c"), "dst").groupBy(F.col("src").alias("k"), "c").agg(F.sum("weight").alias("into"))
         own = labels.select("k", F.col("c").alias("own"), "deg")
-        stay = labels.select("k", "c", F.lit(0.0).alias("into"))
-        scored = near.unionByName(stay).groupBy("k", "c").agg(F.sum("into").alias("into")).join(own, "k").join(size, "c")
+        scored = near.unionByName(labels.select("k", "c", F.lit(0.0).alias("into"))).groupBy("k", "c").agg(F.sum("into").alias("into")).join(own, "k").join(size, "c")
         rest = F.col("tot") - F.when(F.col("c") == F.col("own"), F.col("deg")).otherwise(0.0)
         gain = F.col("into") - resolution * F.col("deg") * rest / total
         best = scored.groupBy("k").agg(F.max_by("c", F.struct(F.round(gain, 12), (F.col("c") == F.col("own")), -F.col("c"))).alias("to"))
-        moving = F.pmod(F.xxhash64("k", F.lit(i)), F.lit(2)) == 0
-        labels = materialize(labels.join(best, "k", "left").select("k", F.when(moving, F.coalesce("to", "c")).otherwise(F.col("c")).alias("c"), "deg"), "labels")
+        moving = F.pmod(F.xxhash64("k", F.lit(i // 2)) + i, F.lit(2)) == 0  # two rounds let every node move once
+        now = F.when(moving, F.coalesce("to", "c")).otherwise(F.col("c"))
+        moved = materialize(labels.join(best, "k", "left").select("k", now.alias("c"), "deg", (now != F.col("c")).alias("moved")), "labels")
+        still = 0 if not moved.where("moved").isEmpty() else still + 1
+        labels = moved.drop("moved")
+        if still == 2:
+            break
     return labels.select("k", "c")
 
 
-def communities(edges: DataFrame, resolution: float = 1.0, rounds: int = 6, levels: int = 2) -> DataFrame:
+def connected_parts(edges: DataFrame, labels: DataFrame) -> DataFrame:
+    """``k, c``: communities split into their connected parts, each named by its smallest node.
+
+    Every round a node takes the smallest name among itself and its neighbours of the same community.
+    """
+    a, b = labels.select(F.col("k").alias("src"), F.col("c").alias("s")), labels.select(F.col("k").alias("dst"), F.col("c").alias("d"))
+    inside = edges.join(a, "src").join(b, "dst").where((F.col("s") == F.col("d")) & (F.col("src") != F.col("dst"))).select("src", "dst")
+    inside = materialize(inside.union(inside.select("dst", "src")).distinct(), "inside")
+    names = labels.select("k", F.col("k").alias("c"))
+    while True:
+        seen = inside.join(names.select(F.col("k").alias("dst"), "c"), "dst").groupBy(F.col("src").alias("k")).agg(F.min("c").alias("near"))
+        nxt = materialize(names.join(seen, "k", "left").select("k", F.least("c", F.coalesce("near", "c")).alias("c"), F.col("c").alias("before")), "names")
+        # The name's own name is smaller still, if it has found one: long chains shorten by half.
+        names = nxt.select("k", "c")
+        names = materialize(names.join(names.select(F.col("k").alias("c"), F.col("c").alias("up")), "c").select("k", F.col("up").alias("c")), "names")
+        if nxt.where(F.col("c") != F.col("before")).isEmpty():
+            return names
+
+
+def communities(edges: DataFrame, resolution: float = 1.0, rounds: int = 12, levels: int = 10, objective: str = "modularity") -> DataFrame:
     """``k, community`` of the nodes of ``src, dst, weight`` (keys are numbers), from 1 for the largest community.
 
-    Nodes move in alternating halves, so neighbours do not swap for ever; then communities become nodes and move
-    again. Every step is a join and an aggregation; nothing is held in one place. Nodes without edges are not there.
+    ``objective`` is ``modularity`` or ``cpm`` (constant Potts: a community's inner weight against ``resolution`` times
+    its pairs of nodes). Nodes move in alternating halves, so neighbours do not swap for ever, until none gains or
+    after ``rounds``; then communities become nodes and move again, until none joins another. What is not connected is split at the end. In
+    contrast to the sequential algorithms of this family there is no randomized refinement between levels. Every
+    step is a join and an aggregation. Nodes without edges are not there; an empty table gives no rows.
     """
+    if objective not in ("modularity", "cpm"):
+        raise ValueError(f"unknown objective {objective}")
     found, graph = None, edges
+    sizes = edges.select(F.col("src").alias("k")).union(edges.select("dst")).distinct().withColumn("size", F.lit(1))
     for _ in range(levels):
-        moved = _moves(graph, resolution, rounds)
+        moved = _moves(graph, sizes, resolution, rounds, objective)
         found = moved if found is None else found.select("k", F.col("c").alias("b")).join(moved.withColumnsRenamed({"k": "b", "c": "c"}), "b").select("k", "c")
+        found = materialize(found, "found")
+        if moved.where(F.col("k") != F.col("c")).isEmpty():
+            break
         a, b = moved.select(F.col("k").alias("src"), F.col("c").alias("s")), moved.select(F.col("k").alias("dst"), F.col("c").alias("d"))
         graph = materialize(graph.join(a, "src").join(b, "dst").groupBy(F.least("s", "d").alias("src"), F.greatest("s", "d").alias("dst")).agg(F.sum("weight").alias("weight")), "graph")
-    sizes = found.groupBy("c").agg(F.count(F.lit(1)).alias("n"))
-    named = sizes.withColumn("community", F.row_number().over(Window.orderBy(F.desc("n"), "c")))  # one row per community
-    return found.join(named, "c").select("k", "community")
+        sizes = materialize(sizes.join(moved, "k").groupBy(F.col("c").alias("k")).agg(F.sum("size").alias("size")), "sizes")
+    parts = connected_parts(edges, found)
+    counted = parts.groupBy("c").agg(F.count(F.lit(1)).alias("n"))
+    return parts.join(numbered_by_size(counted, "c"), "c").select("k", "community")
+
+
+def numbered_by_size(counted: DataFrame, name: str) -> DataFrame:
+    """``name, community``: numbers from 1 for the largest ``n``, ties by name, without sorting all in one task.
+
+    Rows of one size are numbered on their own, above the number of rows of larger size.
+    """
+    per = counted.groupBy("n").agg(F.count(F.lit(1)).alias("rows"))  # one row a size
+    before = per.withColumn("before", F.coalesce(F.sum("rows").over(Window.orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    place = F.row_number().over(Window.partitionBy("n").orderBy(name))
+    return counted.withColumn("place", place).join(before.select("n", "before"), "n").select(name, (F.col("before") + F.col("place")).cast("int").alias("community"))
+
+
+def resolution_sweep(edges: DataFrame, resolutions: list[float], most: int = 100, objective: str = "modularity") -> tuple[DataFrame, list[tuple[float, int]]]:
+    """``resolution, k, community`` of those resolutions that give more communities than the ones kept before.
+
+    Resolutions are tried in ascending order over one graph; the sweep ends with the first that gives more than
+    ``most`` communities, which is not kept. Also returns each resolution tried with its number of communities.
+    """
+    graph, kept, tried, last = materialize(edges, "graph"), None, [], 0
+    for r in sorted(resolutions):
+        found = materialize(communities(graph, r, objective=objective), "swept")
+        n = found.agg(F.max("community")).first()[0] or 0
+        tried.append((r, n))
+        if n > most:
+            break
+        if n > last:
+            rows = found.select(F.lit(float(r)).alias("resolution"), "k", "community")
+            kept, last = rows if kept is None else kept.unionByName(rows), n
+    return (kept if kept is not None else edges.sparkSession.createDataFrame([], "resolution double, k bigint, community int")), tried
 
 
 def modularity(edges: DataFrame, labels: DataFrame, resolution: float = 1.0) -> DataFrame:

@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessella.operators import annotation, communities, expression, gating, interaction, neighbours, niche, pcf, ranks
+from tessella.operators import annotation, communities, components, expression, gating, interaction, neighbours, niche, pcf, ranks
 from tessella.session import materialize
 
 
@@ -86,10 +86,17 @@ class Transcripts:
     cluster_k: int = 15
     resolution: float = 0.8
     enrichment_k: int = 15
+    components: int = 20
+    objective: str = "modularity"
+    probes: int | None = None
+    spatial_k: int = 10
+    spatial_genes: int = 200
 
 
 def run_transcripts(counts: DataFrame, cells: DataFrame, p: Transcripts) -> dict[str, DataFrame]:
-    """Quality control, normalisation, variable genes, communities, enrichment and marker genes.
+    """Quality control, normalisation, variable genes, clusters, enrichment, marker and spatially variable genes.
+
+    Clusters are communities of the graph of neighbours shared in the space of component scores of the variable genes.
 
     ``cells`` has ``g, k, x, y`` with ``k`` the cell of ``counts``; cells without counts or position are left out.
     """
@@ -97,14 +104,20 @@ def run_transcripts(counts: DataFrame, cells: DataFrame, p: Transcripts) -> dict
     kept = materialize(cells.join(stats.select(F.col("cell").alias("k")), "k", "left_semi").select("g", "k", "x", "y"), "kept")
     c = counts.join(kept.select(F.col("k").alias("cell")), "cell", "left_semi")
     values = materialize(expression.normalized(c, p.method), "values")
-    edges = materialize(neighbours.nearest(kept, p.cluster_k), "edges")
-    found = communities.communities(neighbours.shared_neighbour_edges(edges, p.cluster_k).select("src", "dst", "weight"), p.resolution)
+    genes = materialize(expression.variable_genes(values, kept.count(), p.top_genes), "genes")
+    scores, _ = components.pca_scores(components.gene_vectors(values, genes), p.components)
+    edges = materialize(neighbours.shared_neighbour_edges(components.nearest_vectors(scores, p.cluster_k, p.probes).withColumn("g", F.lit(0)), p.cluster_k, symmetric=True).select("src", "dst", "weight"), "edges")
+    found = communities.communities(edges, p.resolution, objective=p.objective)
     labelled = materialize(kept.join(found, "k", "left").withColumn("celltype", F.coalesce(F.col("community").cast("string"), F.lit("0"))), "labelled")
+    # Absent values are zeros of the cells that are there.
+    every = components.gene_vectors(values, genes).select("k", F.posexplode("e").alias("at", "v")).join(F.broadcast(genes.select("gene", (F.col("rank") - 1).alias("at"))), "at")
+    dense = every.join(kept.select("k", "g"), "k").select("g", "k", F.col("gene").alias("marker"), "v")
     of_cell = labelled.select(F.col("k").alias("cell"), F.col("celltype").alias("grp"))
     sizes = of_cell.groupBy("grp").agg(F.count(F.lit(1)).alias("n"))
     return {
         "qc": stats,
-        "variable_genes": expression.variable_genes(values, kept.count(), p.top_genes),
+        "variable_genes": genes,
+        "spatial_genes": ranks.spatially_variable(neighbours.nearest(kept, p.spatial_k), dense, p.spatial_genes),
         "clusters": labelled,
         "enrichment": interaction.neighbour_enrichment(neighbours.nearest(kept, p.enrichment_k), labelled),
         "markers": ranks.group_markers(values.join(of_cell, "cell").select("cell", "grp", "gene", "value"), sizes),

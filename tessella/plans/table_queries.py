@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessella.functions import names, numeric
-from tessella.operators import annotation, communities, expression, gating, neighbours, niche, pcf, ranks, raster
+from tessella.operators import annotation, communities, components, expression, gating, neighbours, niche, pcf, ranks, raster
 from tessella.operators.proximity import finite
 from tessella.plans.bindings import CELLS, COUNTED_CELLS, COUNTS, PROFILES, cells, counted_cells, counts, markers, profiles
 from tessella.plans.spatial_queries import RADII, _knn
@@ -245,21 +245,47 @@ def kmeans_neighborhoods(spark: SparkSession, sf: str) -> DataFrame:
     return niche.assignment_summary(niche.assign_nearest(m, niche.fit_neighbourhoods(m, 4)))
 
 
+def _scores(spark: SparkSession, sf: str, components_: int = 10) -> DataFrame:
+    return components.pca_scores(profiles(spark, sf).select("k", "e"), components_)[0]
+
+
 def pca_variance(spark: SparkSession, sf: str) -> DataFrame:
-    """Variance of the first principal components of all profiles."""
-    from pyspark.ml.feature import PCA, StandardScaler
-    from pyspark.ml.functions import array_to_vector
+    """Variance of the cells' scores on each principal component, all of them, and their share."""
+    v = _scores(spark, sf, 32).select(F.posexplode("v").alias("i", "s")).groupBy((F.col("i") + 1).alias("component")).agg(F.var_samp("s").alias("variance"))
+    return _round(v.withColumn("share", F.col("variance") / F.sum("variance").over(Window.partitionBy())), 6, "variance", "share")  # one row a component
+
+
+def pca_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """Every cell's length in the space of all components: that of its standardized profile, whatever the axes are."""
+    return _scores(spark, sf, 32).select("k", F.round(F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)), 5).alias("length"))
+
+
+def _expression_knn(spark: SparkSession, sf: str) -> DataFrame:
+    return components.nearest_vectors(profiles(spark, sf).select("k", F.col("e").alias("v")), 10)
 
-    v = profiles(spark, sf).select("k", array_to_vector("e").alias("e"))
-    scaled = StandardScaler(inputCol="e", outputCol="z", withMean=True).fit(v).transform(v)
-    share = PCA(k=10, inputCol="z", outputCol="pc").fit(scaled).explainedVariance
-    return spark.createDataFrame([(i + 1, round(float(s), 6)) for i, s in enumerate(share)], "component int, share double")
+
+def expression_knn(spark: SparkSession, sf: str) -> DataFrame:
+    """The ten cells of the most similar profile (Euclidean) for every cell, over all samples."""
+    return _expression_knn(spark, sf).select("src", "dst", F.round("d", 6).alias("d"), "rank")
+
+
+def expression_snn(spark: SparkSession, sf: str) -> DataFrame:
+    """Edges between similar profiles, weighted by shared neighbours."""
+    e = neighbours.shared_neighbour_edges(_expression_knn(spark, sf).withColumn("g", F.lit(0)), 10)
+    return e.select("src", "dst", F.round("weight", 6).alias("weight"))
 
 
 def leiden_communities(spark: SparkSession, sf: str) -> DataFrame:
-    """Communities of the shared-neighbour graph."""
-    e = neighbours.shared_neighbour_edges(neighbours.nearest(cells(spark, sf), 10), 10).select("src", "dst", "weight")
-    return communities.communities(e, rounds=4).groupBy("community").agg(F.count(F.lit(1)).alias("n"))
+    """Communities of the shared-neighbour graph of the cells' component scores, with the clusters they are made of."""
+    e = neighbours.shared_neighbour_edges(components.nearest_vectors(_scores(spark, sf), 10).withColumn("g", F.lit(0)), 10, symmetric=True).select("src", "dst", "weight")
+    found = communities.communities(e).join(profiles(spark, sf).select("k", "cluster"), "k")
+    return found.groupBy("community", "cluster").agg(F.count(F.lit(1)).alias("n"))
+
+
+def resolution_sweep(spark: SparkSession, sf: str) -> DataFrame:
+    """Communities at each resolution that finds more of them than the ones below it."""
+    e = neighbours.shared_neighbour_edges(components.nearest_vectors(_scores(spark, sf), 10).withColumn("g", F.lit(0)), 10, symmetric=True).select("src", "dst", "weight")
+    return communities.resolution_sweep(e, [0.25, 1.0])[0].groupBy("resolution", "community").agg(F.count(F.lit(1)).alias("n"))
 
 
 # --- sets, pairs of types, curves
@@ -330,7 +356,7 @@ QUERIES = {
     for f in (
         qc_stats, qc_filter, normalize_lognorm, normalize_cp10k, normalize_cellvol, normalize_pearson, hvg_variance, cluster_heatmap_z, cluster_signal_qc, cluster_tabulation, marker_zscale, marker_de, marker_bh,
         bh_adjustment, morans_i, ks_dplus, template_gating, template_gating_mixture, prompt_elevated_reduced, glossary_clause, cluster_prompts, annotated_clusters, vote_mode, harmonize_labels, json_extract, label_join_signal,
-        niche_composition, nearest_centroid, niche_frequency, assignment_summary, kmeans_neighborhoods, pca_variance, leiden_communities, shared_phenotypes, pair_grid_skips, pair_distance_histogram, pcf_curves,
+        niche_composition, nearest_centroid, niche_frequency, assignment_summary, kmeans_neighborhoods, pca_variance, pca_scores, expression_knn, expression_snn, leiden_communities, resolution_sweep, shared_phenotypes, pair_grid_skips, pair_distance_histogram, pcf_curves,
         composition_by_condition, vocabulary_union, mask_disk_pixels, region_props, crop_boxes, name_functions,
     )
 }
@@ -347,6 +373,9 @@ comp as (select n.g, n.src as k, c.celltype, count(*) / max(t.n)::double as shar
 feat as (select g, k, {", ".join(f"coalesce(max(case when celltype = '{t}' then share end), 0) as f{i}" for i, t in enumerate(NICHE_TYPES))} from comp group by 1, 2),
 dist as (select g, k, {", ".join("(" + " + ".join(f"pow(f{i} - {c[i]}, 2)" for i in range(4)) + f") as d{j}" for j, c in enumerate(CENTRES))} from feat),
 assigned as (select g, k, case least(d0, d1, d2, d3) when d0 then 1 when d1 then 2 when d2 then 3 else 4 end as neighborhood from dist)"""
+_EKNN = """eknn as (
+  select a.k as src, b.k as dst, list_distance(a.e, b.e) as d, row_number() over (partition by a.k order by list_distance(a.e, b.e), b.k) as rank
+  from profiles a join profiles b on a.k <> b.k qualify rank <= 10)"""
 _VOTES = "votes as (select prediction_id, min(sample_id) as sample_id, min(cluster_id) as cluster_id, min(\"Phenotype\") as label from gemma_predictions where sample_id is not null and cluster_id is not null group by 1)"
 _DISK = lambda r: ", ".join(f"({x}, {y})" for x, y in raster.disk_offsets(r))
 _PIXELS = lambda r: f"""{CELLS}, o(dx, dy) as (values {_DISK(r)}), big as (select g, celltype from cells group by 1, 2 having count(*) >= 2),
@@ -427,6 +456,11 @@ select v.cluster, predictions, cells from v left join (select cluster, count(*)
     "nearest_centroid": f"with {_NICHE} select k, neighborhood from assigned",
     "niche_frequency": f"with {_NICHE}, f as (select neighborhood, celltype, count(*) as n from assigned join cells using (k) group by 1, 2) select neighborhood, celltype, n, round(n / sum(n) over (partition by neighborhood), 6) as share from f",
     "assignment_summary": f"with {_NICHE} select g as sample, neighborhood, count(*) as n_cells from assigned group by 1, 2",
+    "pca_scores": f"with {_LONG}, z as (select k, (v - avg(v) over (partition by marker)) / nullif(stddev_samp(v) over (partition by marker), 0) as z from long) select k, round(sqrt(sum(coalesce(z, 0) * coalesce(z, 0))), 5) as length from z group by k",
+    "expression_knn": f"with {PROFILES}, {_EKNN} select src, dst, round(d, 6) as d, rank::int as rank from eknn",
+    "expression_snn": f"""
+with {PROFILES}, {_EKNN}
+select e.src, e.dst, round(count(*) / 10.0, 6) as weight from eknn e join eknn a on a.src = e.src join eknn b on b.src = e.dst and b.dst = a.dst where e.dst > e.src group by 1, 2""",
     "shared_phenotypes": f"with {CELLS} select celltype, count(distinct g) as samples from cells group by 1 having count(distinct g) = (select count(distinct g) from cells)",
     "pair_grid_skips": f"""
 with {CELLS}, s as (select g, celltype, count(*) as n, row_number() over (partition by g order by celltype) as p from cells group by 1, 2), e as (select * from s union all select g, 'All', sum(n)::bigint, 0 from s group by g)

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessella.functions import names, numeric
-from tessella.operators import annotation, communities, expression, gating, niche, pcf, ranks, raster
+from tessella.operators import annotation, communities, components, expression, gating, niche, pcf, ranks, raster
 from tessella.plans import table_queries
 
 
@@ -79,6 +79,41 @@ def test_curve_of_random_points_is_flat(spark):
         assert r["curve"][0] == 0 and np.mean(r["curve"][15:]) == pytest.approx(1, abs=0.15)
 
 
+@pytest.mark.parametrize("block,rows", [(16, 200), (4096, 200), (16, 3)])
+def test_nearest_vectors_equal_brute_force(spark, block, rows):
+    rng = np.random.default_rng(6)
+    x = np.concatenate([rng.normal(0, 1, (rows // 2, 5)), rng.normal(6, 0.2, (rows - rows // 2, 5))])
+    x[-2:] = x[-1]  # copies
+    got = {}
+    for r in components.nearest_vectors(spark.createDataFrame([(i, v.tolist(), "x") for i, v in enumerate(x)], "k long, v array<double>, d string"), 4, block=block).collect():
+        got.setdefault(r["src"], {})[r["rank"]] = r["dst"]
+    for i in range(len(x)):
+        near = sorted((float(np.sqrt(((x[i] - x[j]) ** 2).sum())), j) for j in range(len(x)) if j != i)[:4]
+        assert [got[i][p + 1] for p in range(len(near))] == [j for _, j in near]
+    assert components.nearest_vectors(spark.createDataFrame([], "k long, v array<double>"), 4).count() == 0
+
+
+def test_component_scores(spark):
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(50, 4)) @ rng.normal(size=(4, 4))
+    scores, share = components.pca_scores(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "k long, e array<double>"), 2)
+    z = (x - x.mean(0)) / x.std(0, ddof=1)
+    want = np.linalg.svd(z, full_matrices=False)[1] ** 2
+    assert share == pytest.approx(want[:2] / want.sum())
+    got = np.array([r["v"] for r in scores.orderBy("k").collect()])
+    assert (got**2).sum(0) == pytest.approx(want[:2])
+
+
+def test_connected_parts_and_objectives(spark):
+    chain = spark.createDataFrame([(i, i + 1, 1.0) for i in range(9) if i != 4], "src long, dst long, weight double")
+    one = spark.createDataFrame([(i, 0) for i in range(10)], "k long, c long")
+    assert {(r["k"], r["c"]) for r in communities.connected_parts(chain, one).collect()} == {(i, 0 if i < 5 else 5) for i in range(10)}
+    whole = communities.communities(chain, 0.01, objective="cpm")
+    assert whole.select("community").distinct().count() == 2
+    with pytest.raises(ValueError):
+        communities.communities(chain, objective="other")
+
+
 def test_communities_find_cliques(spark):
     cliques = [range(0, 6), range(10, 16), range(20, 26)]
     e = [(a, b, 1.0) for c in cliques for a in c for b in c if a < b] + [(5, 10, 0.1), (15, 20, 0.1)]
