@@ -11,30 +11,34 @@ from pyspark.sql import functions as F
 HASHES = 12
 
 
-def _kind(schema: Column) -> Column:
-    """JSON type of a variant from its schema text."""
-    return (
-        F.when(schema.rlike("^(BIGINT|INT|SMALLINT|TINYINT|DECIMAL|DOUBLE|FLOAT)"), "number")
-        .when(schema.startswith("STRING"), "string")
-        .when(schema.startswith("BOOLEAN"), "boolean")
-        .when(schema.startswith("ARRAY"), "array")
-        .when(schema.startswith("OBJECT"), "object")
-    )
+#: JSON types by the first character of a value's text; any other begins a number.
+KINDS = {'"': "string", "[": "array", "{": "object", "t": "boolean", "f": "boolean"}
+
+
+def _once(records: DataFrame, most_rows: int) -> DataFrame:
+    """One row per file and record, placed by file: of several payloads of a record the smallest that is an object.
+
+    Rows move once, as they came. Files of more than ``most_rows`` rows are spread over several tasks by record.
+    """
+    sizes = records.groupBy("file").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > most_rows)  # at most all rows / most_rows
+    salt = F.pmod(F.xxhash64("record"), F.coalesce(F.ceil(F.col("n") / most_rows), F.lit(1)))
+    placed = records.join(F.broadcast(sizes), "file", "left").withColumn("salt", salt).drop("n").repartition("file", "salt")
+    read = placed.withColumn("doc", F.expr("try_parse_json(payload)")).where(F.col("doc").isNotNull() & F.schema_of_variant("doc").startswith("OBJECT"))
+    return read.groupBy("file", "salt", "record").agg(F.min("feed").alias("feed"), F.min("ord").alias("ord"), F.min_by("doc", "payload").alias("doc"))
 
 
-def path_values(records: DataFrame, feed: str, file: str, order: str, record: str, payload: str) -> DataFrame:
+def path_values(records: DataFrame, feed: str, file: str, order: str, record: str, payload: str, most_rows: int = 1_000_000) -> DataFrame:
     """One row per record and top-level field: ``feed, file, ord, record, path, kind, value``.
 
     ``kind`` is the JSON type (null for a JSON null), ``value`` the raw JSON text. Payloads that are null, cut off or
     no object give no row. A record delivered again counts once.
     """
-    r = records.select(
-        F.col(f"`{feed}`").alias("feed"), F.col(f"`{file}`").alias("file"), F.col(f"`{order}`").alias("ord"), F.col(f"`{record}`").alias("record"), F.expr(f"try_parse_json(`{payload}`)").alias("doc")
-    ).where(F.col("doc").isNotNull() & F.schema_of_variant("doc").startswith("OBJECT"))
-    fields = r.lateralJoin(r.sparkSession.tvf.variant_explode(F.col("doc").outer()))
-    kind = _kind(F.schema_of_variant("value"))
-    text = F.to_json("value")
-    return fields.select("feed", "file", "ord", "record", F.col("key").alias("path"), kind.alias("kind"), F.when(kind.isNotNull(), text).alias("value")).dropDuplicates(["file", "record", "path", "value"])
+    names = {"feed": feed, "file": file, "ord": order, "record": record, "payload": payload}
+    r = _once(records.select(*[F.col(f"`{c}`").alias(n) for n, c in names.items()]), most_rows)
+    fields = r.lateralJoin(r.sparkSession.tvf.variant_explode(F.col("doc").outer())).select("feed", "file", "ord", "record", F.col("key").alias("path"), F.to_json("value").alias("text"))
+    first = F.substring("text", 1, 1)
+    kind = F.when(F.col("text").isNotNull() & (first != "n"), F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for pair in KINDS.items() for x in pair]), first), F.lit("number")))
+    return fields.select("feed", "file", "ord", "record", "path", kind.alias("kind"), F.when(first != "n", F.col("text")).alias("value"))
 
 
 def _scalar(value: Column) -> Column:
@@ -51,14 +55,14 @@ def path_statistics(values: DataFrame) -> DataFrame:
     scalar = _scalar(F.col("value"))
     number = F.expr("try_cast(replace(s, ',', '.') as double)")
     shape = F.regexp_replace(F.regexp_replace("s", r"\p{L}+", "a"), r"\d+", "9")
-    v = values.withColumn("s", scalar).withColumns({"num": number, "shape": shape})
+    v = values.withColumn("s", scalar).withColumns({"num": number, "hash": F.xxhash64("s"), "shape": F.when(F.col("s").rlike("[0-9]"), F.xxhash64(shape))})
     kinds = [F.count_if(F.col("kind") == k).alias(k) for k in ("number", "string", "boolean", "array", "object")]
     return v.groupBy("feed", "file", "ord", "path").agg(
         F.count(F.lit(1)).alias("n"),
         F.count("kind").alias("n_valued"),
         *kinds,
-        F.array(*[F.min(F.when(F.col("s").isNotNull(), F.xxhash64("s", F.lit(i)))) for i in range(HASHES)]).alias("values_sketch"),
-        F.array(*[F.min(F.when(F.col("s").rlike("[0-9]"), F.xxhash64("shape", F.lit(i)))) for i in range(HASHES)]).alias("shape_sketch"),
+        F.array(*[F.min(F.when(F.col("s").isNotNull(), F.xxhash64("hash", F.lit(i)))) for i in range(HASHES)]).alias("values_sketch"),
+        F.array(*[F.min(F.when(F.col("shape").isNotNull(), F.xxhash64("shape", F.lit(i)))) for i in range(HASHES)]).alias("shape_sketch"),
         F.count("num").alias("n_num"),
         F.percentile_approx("num", [0.1, 0.9], 1000).alias("range"),  # single odd values must not widen it
         F.percentile_approx(F.length("s"), 0.5, 1000).alias("width"),
