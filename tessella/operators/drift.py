@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import re
+from itertools import groupby
+from operator import itemgetter
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -98,8 +100,9 @@ def feed_changes(stats: pd.DataFrame, threshold: float = 0.3) -> list[tuple]:
     before: dict[str, dict] = {}
     out: list[tuple] = []
     kinds = ["number", "string", "boolean", "array", "object"]
-    for k, ((_, file), part) in enumerate(stats.sort_values(["ord", "file"]).groupby(["ord", "file"], sort=True)):
-        now = {r["path"]: r for r in part.to_dict("records")}
+    rows = stats.sort_values(["ord", "file"]).to_dict("records")
+    for k, ((_, file), part) in enumerate(groupby(rows, key=itemgetter("ord", "file"))):
+        now = {r["path"]: r for r in part}
         kind = {p: max(kinds, key=lambda t: r[t]) if r["n_valued"] else None for p, r in now.items()}
         if k:
             gone, new = sorted(set(before) - set(now)), sorted(set(now) - set(before))
