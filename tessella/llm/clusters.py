@@ -37,9 +37,11 @@ def pivot_cells(vectors: DataFrame, pivots: np.ndarray, cells: int = 3) -> DataF
             for at in range(0, len(pdf), 1000):
                 part = pdf.iloc[at : at + 1000]
                 u = unit(part.e, np.float32)
-                s = u @ p.T
-                near = np.argpartition(s, len(p) - m, axis=1)[:, len(p) - m :]
-                yield pd.DataFrame({"cell": near.ravel().astype("int32"), "k": np.repeat(part.k.to_numpy(), m), "v": list(np.repeat(u, m, axis=0))})
+                s, near = u @ p.T, np.empty((len(part), m), dtype=np.int32)
+                for i in range(m):  # a few maxima of a row cost less than its partition
+                    near[:, i] = s.argmax(1)
+                    s[np.arange(len(s)), near[:, i]] = -2
+                yield pd.DataFrame({"cell": near.ravel(), "k": np.repeat(part.k.to_numpy(), m), "v": list(np.repeat(u, m, axis=0))})
 
     return vectors.select("k", "e").mapInPandas(place, f"cell int, k {vectors.schema['k'].dataType.simpleString()}, v array<float>")
 
@@ -166,26 +168,34 @@ def boruvka(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     return tree, materialize(nodes, "nodes") if forest else nodes
 
 
-def similarity_forest(vectors: DataFrame, key: str, vector: str, dim: int = 32, least_cosine: float = 0.985, min_samples: int = 2, cells: int = 3, max_pivots: int = 32_768, seed: int = 0, counted: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
+def similarity_forest(vectors: DataFrame, key: str, vector: str, dim: int = 32, least_cosine: float = 0.985, min_samples: int = 2, cells: int = 3, max_pivots: int = 32_768, seed: int = 0, counted: bool = False, copies: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The distinct vectors, the spanning forest of their mutual-reachability graph, and its components.
 
     Pivots, about four times the square root of the number of vectors and at most ``max_pivots``, are a hash sample.
     More than two samples need ``counted``: copies count as samples, the components (``k, c, n, core``) also hold
-    vectors that only their own copies are near to, and ``n`` and ``core`` are their keys and core distance.
+    vectors that only their own copies are near to, and ``n`` and ``core`` are their keys and core distance. With two
+    samples ``copies`` gives these columns too: a core distance is then that of the nearest vector, whose edge the
+    forest always has, and 0 for a vector with copies.
     """
     if min_samples > 2 and not counted:
         raise ValueError("more than two samples to a core need counted copies")
-    reps = materialize(distinct_vectors(vectors, key, vector, dim, counted), "vectors")
+    reps = materialize(distinct_vectors(vectors, key, vector, dim, counted or copies), "vectors")
     n = reps.count()
     fit, _ = sample(reps, min(max_pivots, max(16, int(4 * math.sqrt(n)))), seed)
     if not len(fit):
         none = reps.select("k").limit(0)
         nodes = none.withColumn("c", F.col("k"))
-        return reps, none.select(F.col("k").alias("a"), F.col("k").alias("b"), F.lit(0.0).alias("w")), nodes.withColumns({"n": F.lit(0), "core": F.lit(0.0)}) if counted else nodes
+        return reps, none.select(F.col("k").alias("a"), F.col("k").alias("b"), F.lit(0.0).alias("w")), nodes.withColumns({"n": F.lit(0), "core": F.lit(0.0)}) if counted or copies else nodes
     placed = pivot_cells(reps, fit, cells)
     if not counted:
         tree, nodes = boruvka(reachability_edges(placed, 1 - least_cosine))
-        return reps, tree, nodes
+        if not copies:
+            return reps, tree, nodes
+        tree = materialize(tree, "tree")
+        core = tree.select(F.explode(F.array("a", "b")).alias("k"), "w").groupBy("k").agg(F.min("w").alias("core"))
+        many = reps.where(F.col("n") > 1).select("k", "n")
+        every = nodes.join(core, "k").join(many, "k", "full").select("k", F.coalesce("c", "k").alias("c"), F.coalesce("n", F.lit(1)).alias("n"), F.when(F.col("n").isNotNull(), 0.0).otherwise(F.col("core")).alias("core"))
+        return reps, tree, materialize(every, "weighted")
     placed = materialize(placed, "placed")
     cores = materialize(core_distances(placed, reps, 1 - least_cosine, min_samples), "cores")
     tree, nodes = boruvka(reachability_edges(placed, 1 - least_cosine, cores))
@@ -206,15 +216,21 @@ def members(vectors: DataFrame, key: str, vector: str, dim: int, reps: DataFrame
     return single.union(usable(vectors, key, vector, dim).join(copied, "e").select("k", "c", "e").distinct())
 
 
-def similar_pairs(vectors: DataFrame, key: str, vector: str, dim: int = 32, least_cosine: float = 0.985) -> DataFrame:
-    """Pairs of different keys in one cluster of the hierarchy cut at ``least_cosine``: ``key_1 < key_2, cosine``.
+def similar_pairs(vectors: DataFrame, key: str, vector: str, dim: int = 32, least_cosine: float = 0.985, levels: int = 2) -> DataFrame:
+    """Pairs of different keys in one cluster of the density hierarchy, as near as ``least_cosine``: ``key_1 < key_2, cosine``.
 
-    The cut of the spanning forest at that distance, with two samples to a core, gives the groups; pairs within them
-    are checked exactly. Vectors that are null, of another length, all zero or not finite take no part, repeated rows
-    count once, an empty table gives no pairs. For tables with very large groups use ``describe_clusters``.
+    The condensed hierarchy (two samples to a core, clusters of two keys and more) begins at that distance, below which
+    no cluster is divided, and goes up ``levels - 1`` doublings of it. Pairs are those of a cluster that stability
+    selects, met within its parts at the finest level and checked exactly. Vectors that are null, of another length, all
+    zero or not finite take no part, repeated rows count once, an empty table gives no pairs. Where groups of similar
+    keys are very large ``describe_clusters`` names them without expanding their pairs.
     """
-    reps, _, nodes = similarity_forest(vectors, key, vector, dim, least_cosine)
-    m = materialize(members(vectors, key, vector, dim, reps, nodes), "members")
+    distances = [(1 - least_cosine) * 2**i for i in range(levels)]
+    reps, tree, nodes = similarity_forest(vectors, key, vector, dim, 1 - distances[-1], 2, copies=True)
+    labels = hierarchy_levels(tree, nodes, distances)
+    chosen = condense(labels, distances, 2).where(F.col("cluster").isNotNull()).select("k")
+    found = materialize(labels.join(chosen, "k").select("k", F.col("c1").alias("c")), "found")
+    m = materialize(members(vectors, key, vector, dim, reps, found), "members")
     norm = F.sqrt(F.aggregate("e", F.lit(0.0), lambda s, x: s + x * x))
     m = m.withColumn("u", F.transform("e", lambda x: x / norm)).select("k", "c", "u")
     a, b = m.select(F.col("k").alias("key_1"), "c", F.col("u").alias("u1")), m.select(F.col("k").alias("key_2"), "c", F.col("u").alias("u2"))
