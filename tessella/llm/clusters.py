@@ -6,11 +6,11 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessella.llm.vectors import sample, unit, usable
+from tessella.llm.vectors import matrix, sample, unit_rows, usable
 from tessella.session import materialize
 
 
@@ -31,19 +31,21 @@ def pivot_cells(vectors: DataFrame, pivots: np.ndarray, cells: int = 3) -> DataF
     shared = vectors.sparkSession.sparkContext.broadcast(pivots.astype(np.float32))
     m = min(cells, len(pivots))
 
-    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = shared.value
-        for pdf in batches:
-            for at in range(0, len(pdf), 1000):
-                part = pdf.iloc[at : at + 1000]
-                u = unit(part.e, np.float32)
-                s, near = u @ p.T, np.empty((len(part), m), dtype=np.int32)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1000):
+                part = batch.slice(at, 1000)
+                u = unit_rows(matrix(part.column(1))).astype(np.float32)
+                s, near = u @ p.T, np.empty((len(u), m), dtype=np.int32)
                 for i in range(m):  # a few maxima of a row cost less than its partition
                     near[:, i] = s.argmax(1)
                     s[np.arange(len(s)), near[:, i]] = -2
-                yield pd.DataFrame({"cell": near.ravel(), "k": np.repeat(part.k.to_numpy(), m), "v": list(np.repeat(u, m, axis=0))})
+                again = np.repeat(np.arange(len(u)), m)
+                v = pa.ListArray.from_arrays(pa.array(np.arange(len(again) + 1, dtype=np.int32) * u.shape[1]), pa.array(u[again].ravel()))
+                yield pa.RecordBatch.from_arrays([pa.array(near.ravel()), part.column(0).take(pa.array(again)), v], names=["cell", "k", "v"])
 
-    return vectors.select("k", "e").mapInPandas(place, f"cell int, k {vectors.schema['k'].dataType.simpleString()}, v array<float>")
+    return vectors.select("k", "e").mapInArrow(place, f"cell int, k {vectors.schema['k'].dataType.simpleString()}, v array<float>")
 
 
 def _close(x: np.ndarray, least: float, block: int = 2048) -> np.ndarray:
@@ -83,21 +85,21 @@ def core_distances(placed: DataFrame, reps: DataFrame, most: float, min_samples:
     """
     kind = placed.schema["k"].dataType.simpleString()
 
-    def distances(pdf: pd.DataFrame) -> pd.DataFrame:
-        x = np.array(pdf.v.tolist(), dtype=np.float32)
+    def distances(of: pa.Table) -> pa.Table:
+        x, k = matrix(of.column("v").combine_chunks()), of.column("k").to_numpy()
         m = min(min_samples - 1, len(x) - 1)
-        rows = []
+        rows = [(k[:0], k[:0], np.zeros(0))]
         for at in range(0, len(x), 2048):
             s = x[at : at + 2048] @ x.T
             s[np.arange(len(s)), np.arange(at, at + len(s))] = -2
             top = np.argpartition(s, len(x) - m, axis=1)[:, len(x) - m :] if m else np.zeros((len(s), 0), int)
             r, c = np.repeat(np.arange(len(s)), m), top.ravel()
             keep = s[r, c] >= 1 - most
-            rows.append(pd.DataFrame({"k": pdf.k.to_numpy()[at + r[keep]], "other": pdf.k.to_numpy()[c[keep]], "d": np.maximum(0, 1 - s[r[keep], c[keep]])}))
-        return pd.concat(rows)
+            rows.append((k[at + r[keep]], k[c[keep]], np.maximum(0, 1 - s[r[keep], c[keep]]).astype(float)))
+        return pa.table([pa.array(np.concatenate(c)) for c in zip(*rows)], names=["k", "other", "d"])
 
     copied = materialize(reps.where(F.col("n") > 1).select("k", "n"), "copied")
-    near = placed.groupBy("cell").applyInPandas(distances, f"k {kind}, other {kind}, d double").groupBy("k", "other").agg(F.min("d").alias("d"))
+    near = placed.groupBy("cell").applyInArrow(distances, f"k {kind}, other {kind}, d double").groupBy("k", "other").agg(F.min("d").alias("d"))
     near = near.join(copied.select(F.col("k").alias("other"), F.col("n").alias("more")), "other", "left").join(copied, "k", "left")
     reached = F.coalesce("n", F.lit(1)) + F.sum(F.coalesce("more", F.lit(1))).over(Window.partitionBy("k").orderBy("d", "other").rowsBetween(Window.unboundedPreceding, 0))
     core = near.withColumn("reached", reached).where((F.coalesce("n", F.lit(1)) < min_samples) & (F.col("reached") >= min_samples)).groupBy("k").agg(F.min("d").alias("core"))
@@ -118,14 +120,15 @@ def reachability_edges(placed: DataFrame, most: float, cores: DataFrame | None =
     else:
         placed = placed.join(cores, "k", "left").withColumn("core", F.coalesce("core", F.lit(float("inf"))))
 
-    def forest(pdf: pd.DataFrame) -> pd.DataFrame:
-        x = np.array(pdf.v.tolist(), dtype=np.float32)
-        live = np.flatnonzero(_close(x, 1 - most) & np.isfinite(pdf.core.to_numpy())) if len(x) > 1 else np.zeros(0, int)
-        k, edges = pdf.k.to_numpy()[live], spanning_edges(x[live], pdf.core.to_numpy()[live], most)
-        ends = [(min(k[i], k[j]), max(k[i], k[j]), w) for i, j, w in edges]
-        return pd.DataFrame(ends, columns=["a", "b", "w"])
+    def forest(of: pa.Table) -> pa.Table:
+        x, core, k = matrix(of.column("v").combine_chunks()), of.column("core").to_numpy(), of.column("k").to_numpy()
+        live = np.flatnonzero(_close(x, 1 - most) & np.isfinite(core)) if len(x) > 1 else np.zeros(0, int)
+        edges = spanning_edges(x[live], core[live], most)
+        i, j, w = (np.array(c) for c in zip(*edges)) if edges else (np.zeros(0, int), np.zeros(0, int), np.zeros(0))
+        a, b = k[live][i], k[live][j]
+        return pa.table([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(w.astype(float))], names=["a", "b", "w"])
 
-    return placed.groupBy("cell").applyInPandas(forest, f"a {kind}, b {kind}, w double").groupBy("a", "b").agg(F.min("w").alias("w"))
+    return placed.groupBy("cell").applyInArrow(forest, f"a {kind}, b {kind}, w double").groupBy("a", "b").agg(F.min("w").alias("w"))
 
 
 def boruvka(edges: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,18 +21,32 @@ def usable(vectors: DataFrame, key: str, vector: str, dim: int) -> DataFrame:
     return v.where(F.col("k").isNotNull() & (F.size("e") == dim) & F.forall("e", lambda x: finite(x)) & F.exists("e", lambda x: x != 0))
 
 
+def matrix(lists: pa.Array) -> np.ndarray:
+    """A column of arrays of one length, without nulls, as the rows of a matrix."""
+    return lists.flatten().to_numpy(zero_copy_only=False).reshape(len(lists), -1)
+
+
+def unit_rows(m: np.ndarray) -> np.ndarray:
+    """Rows scaled to length one; neither very large nor very small values overflow."""
+    m = m / np.abs(m).max(axis=1, keepdims=True)
+    return m / np.linalg.norm(m, axis=1, keepdims=True)
+
+
 def unit(e: pd.Series, dtype: type = np.float64) -> np.ndarray:
     """A batch of vectors as rows of length one."""
-    m = np.array(e.tolist(), dtype=np.float64)
-    m /= np.abs(m).max(axis=1, keepdims=True)  # so that neither very large nor very small values overflow
-    return (m / np.linalg.norm(m, axis=1, keepdims=True)).astype(dtype)
+    return unit_rows(np.array(e.tolist(), dtype=np.float64)).astype(dtype)
 
 
 def sample(vectors: DataFrame, rows: int, seed: int = 0) -> tuple[np.ndarray, int]:
-    """About ``rows`` of the vectors as unit rows, chosen by a hash of the key, and how many there are in all."""
-    n = vectors.count()
+    """About ``rows`` of the vectors as unit rows, chosen by a hash of the key, and how many there are in all.
+
+    A key that comes again is there once; were its hashes to give more than twice ``rows``, the step would be raised.
+    """
+    n, place = vectors.count(), F.xxhash64("k", F.lit(seed))
     step = max(1, n // max(1, rows))
-    part = vectors.where(F.pmod(F.xxhash64("k", F.lit(seed)), F.lit(step)) == 0).limit(2 * rows).toPandas()
+    while step > 1 and vectors.where(F.pmod(place, F.lit(step)) == 0).groupBy("k").agg(F.min("e")).limit(2 * rows + 1).count() > 2 * rows:
+        step *= 2
+    part = vectors.where(F.pmod(place, F.lit(step)) == 0).groupBy("k").agg(F.min("e").alias("e")).toPandas()
     return (unit(part.sort_values("k").e) if len(part) else np.zeros((0, 1))), n
 
 
