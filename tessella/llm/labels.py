@@ -164,8 +164,13 @@ class Matcher:
             self.words[word] = hit
         return hit
 
-    def by_set(self, words: list[str]) -> int:
-        """The one entry whose words are the given ones in any order, apart from misspellings; else -1."""
+    def by_set(self, words: list[str], least: float = 0.9) -> int:
+        """The one entry whose words are most similar to the given ones as a set, in any order; else -1.
+
+        Similarity is twice the number of words that both have, misspelt or not, over the number of words of both; it
+        must reach ``least``, so that a missing or a further word of a short name makes another meaning. Of entries of
+        equal similarity the one that needs fewer edits is meant, and none if these are equal too.
+        """
         bare = [w for w in dict.fromkeys(words) if w != GENERIC and (w in self.of_word or not self.generic(w))]
         if not bare:
             return -1
@@ -173,17 +178,20 @@ class Matcher:
         if exact is not None:
             return exact
         spelled = [self.spelled(w) for w in bare]
-        if not all(spelled):
-            return -1
-        best: list[tuple[int, int]] = []
-        for bag in {b for w in spelled[0] for b in self.of_word[w]}:
-            if len(bag) == len(bare):
-                cost = sum(min((s[w] for w in bag if w in s), default=99) for s in spelled)
-                full = all(any(w in s for s in spelled) for w in bag)
-                if full and cost < 99:
-                    best.append((cost, self.sets[bag]))
-        best.sort()
-        return best[0][1] if best and (len(best) == 1 or best[0][0] < best[1][0] or best[0][1] == best[1][1]) else -1
+        ranked: list[tuple[float, int, int]] = []
+        for bag in {b for s in spelled for w in s for b in self.of_word[w]}:
+            left, cost, common = set(bag), 0, 0
+            for s in spelled:
+                near = min(((e, w) for w, e in s.items() if w in left), default=None)
+                if near:
+                    left.discard(near[1])
+                    common, cost = common + 1, cost + near[0]
+            score = 2 * common / (len(bare) + len(bag))
+            if score >= least:
+                ranked.append((-score, cost, self.sets[bag]))
+        ranked.sort()
+        sure = ranked and (len(ranked) == 1 or ranked[0][:2] < ranked[1][:2] or ranked[0][2] == ranked[1][2])
+        return ranked[0][2] if sure else -1
 
     def part(self, words: list[str]) -> int:
         """The entry that one meaning names: a mention that leaves no telling word over, else the token set."""
