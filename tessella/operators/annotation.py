@@ -31,7 +31,7 @@ def prompts(described: DataFrame, tissue: str | None = None, scale: str | None =
     low = F.when(F.col("reduced") != "", F.concat(F.lit("Markers below it: "), "reduced", F.lit(". "))).otherwise(F.lit(""))
     care = F.when(F.col("share_high") >= spillover, F.lit("Many markers are high at once; some may come from neighbouring cells. ")).otherwise(F.lit(""))
     gloss = F.coalesce(F.concat(F.lit("Markers: "), F.col("clause"), F.lit(". ")), F.lit("")) if "clause" in described.columns else F.lit("")
-    ask = F.lit('Name the most likely cell type. Answer with JSON: {"cell_type": name, "confidence": number from 0 to 1}.')
+    ask = F.lit('Name the most likely cell type; say "Unclassified" only where the markers fit none. Answer with JSON: {"cell_type": name, "confidence": number from 0 to 1}.')
     return described.select("cluster", F.concat(F.lit(where + how), high, low, gloss, care, ask).alias("prompt"))
 
 

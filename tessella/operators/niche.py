@@ -30,9 +30,9 @@ def fit_neighbourhoods(matrix: DataFrame, k: int, seed: int = 42) -> list[list[f
 
 
 def assign_nearest(matrix: DataFrame, centres: list[list[float]], column: str = "neighborhood") -> DataFrame:
-    """The number (from 1) of the nearest centre, the first on ties; ``k`` centres are a handful of literals."""
+    """The number (from 1) of the nearest centre, the first on ties (distances equal in 12 digits); ``k`` centres are a handful of literals."""
     d = [F.aggregate(F.zip_with("features", F.array(*[F.lit(x) for x in c]), lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x) for c in centres]
-    ranked = F.array_min(F.array(*[F.struct(x.alias("d"), F.lit(i).alias("i")) for i, x in enumerate(d, 1)]))
+    ranked = F.array_min(F.array(*[F.struct(F.round(x, 12).alias("d"), F.lit(i).alias("i")) for i, x in enumerate(d, 1)]))
     return matrix.withColumn(column, ranked["i"])
 
 

@@ -32,31 +32,29 @@ def qc_filter(spark: SparkSession, sf: str) -> DataFrame:
     return expression.qc_keep(s, (10, 250), (2, 7), (1000.0, 400000.0), max_density=0.01).select("cell", "total", "genes", "cluster")
 
 
-def _by_gene(df: DataFrame) -> DataFrame:
-    return df.groupBy("gene").agg(F.count(F.lit(1)).alias("cells"), F.round(F.sum("value"), 4).alias("total"), F.round(F.sum(F.col("value") * F.col("value")), 4).alias("squares"))
+def _values(df: DataFrame) -> DataFrame:
+    return df.select("cell", "gene", F.round("value", 6).alias("value"))
 
 
 def normalize_lognorm(spark: SparkSession, sf: str) -> DataFrame:
-    """Log-normalised counts, summed up by gene."""
-    return _by_gene(expression.normalized(counts(spark, sf), "lognorm"))
+    """Log-normalised counts."""
+    return _values(expression.normalized(counts(spark, sf), "lognorm"))
 
 
 def normalize_cp10k(spark: SparkSession, sf: str) -> DataFrame:
-    """Counts per ten thousand, summed up by gene."""
-    df = expression.normalized(counts(spark, sf), "cp10k")
-    return df.groupBy("gene").agg(F.count(F.lit(1)).alias("cells"), F.round(F.sum("value"), 2).alias("total"))
+    """Counts per ten thousand."""
+    return _values(expression.normalized(counts(spark, sf), "cp10k"))
 
 
 def normalize_cellvol(spark: SparkSession, sf: str) -> DataFrame:
-    """Counts by cell volume, summed up by gene."""
+    """Counts by cell volume."""
     v = counted_cells(spark, sf).select("cell", F.col("area").alias("volume"))
-    return _by_gene(expression.normalized(counts(spark, sf), "cellvol", v))
+    return _values(expression.normalized(counts(spark, sf), "cellvol", v))
 
 
 def normalize_pearson(spark: SparkSession, sf: str) -> DataFrame:
-    """Pearson residuals of every cell and gene, summed up by gene."""
-    df = expression.normalized(counts(spark, sf), "pearson")
-    return df.groupBy("gene").agg(F.count(F.lit(1)).alias("cells"), F.round(F.sum("value"), 3).alias("total"), F.round(F.sum(F.col("value") * F.col("value")), 3).alias("squares"))
+    """Pearson residuals of every cell and gene."""
+    return _values(expression.normalized(counts(spark, sf), "pearson"))
 
 
 def hvg_variance(spark: SparkSession, sf: str) -> DataFrame:
@@ -87,9 +85,8 @@ def cluster_tabulation(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def marker_zscale(spark: SparkSession, sf: str) -> DataFrame:
-    """Each marker against all cells, by cluster."""
-    z = expression.zscaled(_long(spark, sf)).groupBy("cluster", "marker").agg(F.avg("z").alias("mean_z"), F.count(F.lit(1)).alias("n"))
-    return _round(z, 5, "mean_z")
+    """Each marker of each cell against all cells."""
+    return _round(expression.zscaled(_long(spark, sf)).select("k", "marker", "z"), 5, "z")
 
 
 def marker_de(spark: SparkSession, sf: str) -> DataFrame:
@@ -108,15 +105,20 @@ def marker_bh(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def bh_adjustment(spark: SparkSession, sf: str) -> DataFrame:
-    """Benjamini-Hochberg over the model's doubts (one minus confidence), by cluster."""
-    p = table(spark, sf, "gemma_predictions").where(F.col("confidence").between(0, 1)).groupBy("cluster_id", "prediction_id").agg(F.min(1 - F.col("confidence")).alias("p"))
-    return p.select("cluster_id", "prediction_id", F.round(ranks.adjusted(F.col("p"), "cluster_id"), 9).alias("p_adj")).groupBy("cluster_id").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("p_adj"), 5).alias("total"), F.round(F.min("p_adj"), 6).alias("least"))
+    """Benjamini-Hochberg over the model's doubts (one minus confidence), by cluster; some confidences are in percent."""
+    c = F.when(F.col("confidence") > 1, F.col("confidence") / 100).otherwise(F.col("confidence"))
+    p = table(spark, sf, "gemma_predictions").where(F.col("confidence").isNotNull()).groupBy("cluster_id", "prediction_id").agg(F.min(1 - c).alias("p"))
+    return p.select("cluster_id", "prediction_id", F.round(ranks.adjusted(F.col("p"), "cluster_id"), 9).alias("p_adj"))
+
+
+def _types(c: DataFrame) -> list[str]:
+    return sorted(r[0] for r in c.select("celltype").distinct().collect())  # types of cells: a few
 
 
 def morans_i(spark: SparkSession, sf: str) -> DataFrame:
     """Spatial autocorrelation of being each type of cell, over ten neighbours."""
     c = cells(spark, sf)
-    v = c.select("g", "k", F.explode(F.array(*[F.struct(F.lit(t).alias("marker"), (F.col("celltype") == t).cast("double").alias("v")) for t in ("B Cell", "CD8 T Cell", "Tumor Cell")])).alias("m")).select("g", "k", "m.marker", "m.v")
+    v = c.select("g", "k", F.explode(F.array(*[F.struct(F.lit(t).alias("marker"), (F.col("celltype") == t).cast("double").alias("v")) for t in _types(c)])).alias("m")).select("g", "k", "m.marker", "m.v")
     r = ranks.morans_i(neighbours.nearest(c, 10), v)
     return r.select(F.col("g").alias("sample"), "marker", F.round("i", 5).alias("i"), F.round("z", 3).alias("z"))
 
@@ -182,7 +184,7 @@ def _votes(spark: SparkSession, sf: str) -> DataFrame:
 def vote_mode(spark: SparkSession, sf: str) -> DataFrame:
     """The label most predictions of a cluster agree on."""
     v = annotation.vote(_votes(spark, sf), ["sample_id", "cluster_id"], F.col("Phenotype"))
-    return v.select("sample_id", "cluster_id", "top", F.round("agreement", 6).alias("agreement"), "n")
+    return v.select("sample_id", "cluster_id", "top", F.round("agreement", 6).alias("agreement"), "n", "detail")
 
 
 def harmonize_labels(spark: SparkSession, sf: str) -> DataFrame:
@@ -201,14 +203,10 @@ def json_extract(spark: SparkSession, sf: str) -> DataFrame:
 def label_join_signal(spark: SparkSession, sf: str) -> DataFrame:
     """Predictions of each cluster beside the cluster's signal; clusters without signal stay."""
     v = table(spark, sf, "gemma_predictions").where(F.col("cluster_id").isNotNull()).groupBy(F.col("cluster_id").alias("cluster")).agg(F.count_distinct("prediction_id").alias("predictions"))
-    return v.join(expression.cluster_sizes(profiles(spark, sf)).select("cluster", F.col("n").alias("cells")), "cluster", "left")
+    return v.join(expression.cluster_signal(profiles(spark, sf)).select("cluster", F.col("n").alias("cells"), (F.round("signal", 2) + 0.0).alias("signal")), "cluster", "left")
 
 
 # --- niches
-CENTRES = [[1.0 if i == j else 0.0 for i in range(4)] for j in range(4)]
-NICHE_TYPES = ["B Cell", "CD4 T Cell", "Macrophage", "Tumor Cell"]
-
-
 def niche_composition(spark: SparkSession, sf: str) -> DataFrame:
     """Types among the ten nearest cells of every cell."""
     c = cells(spark, sf)
@@ -217,12 +215,13 @@ def niche_composition(spark: SparkSession, sf: str) -> DataFrame:
 
 def _assigned(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     c = cells(spark, sf)
-    m = niche.composition_matrix(niche.composition(neighbours.nearest(c, 10), c), NICHE_TYPES)
-    return niche.assign_nearest(m, CENTRES), c
+    types = _types(c)
+    m = niche.composition_matrix(niche.composition(neighbours.nearest(c, 10), c), types)
+    return niche.assign_nearest(m, [[float(i == j) for i in range(len(types))] for j in range(len(types))]), c
 
 
 def nearest_centroid(spark: SparkSession, sf: str) -> DataFrame:
-    """The nearest of four fixed centres for every cell's surroundings."""
+    """The nearest of the centres that each are all of one type, for every cell's surroundings."""
     return _assigned(spark, sf)[0].select("k", "neighborhood")
 
 
@@ -240,8 +239,7 @@ def assignment_summary(spark: SparkSession, sf: str) -> DataFrame:
 def kmeans_neighborhoods(spark: SparkSession, sf: str) -> DataFrame:
     """Neighbourhoods found by k-means over all cells' surroundings, of all types."""
     c = cells(spark, sf)
-    types = sorted(r[0] for r in c.select("celltype").distinct().collect())
-    m = materialize(niche.composition_matrix(niche.composition(neighbours.nearest(c, 10), c), types), "niche")
+    m = materialize(niche.composition_matrix(niche.composition(neighbours.nearest(c, 10), c), _types(c)), "niche")
     return niche.assignment_summary(niche.assign_nearest(m, niche.fit_neighbourhoods(m, 4)))
 
 
@@ -329,8 +327,7 @@ def vocabulary_union(spark: SparkSession, sf: str) -> DataFrame:
 # --- rasters
 def mask_disk_pixels(spark: SparkSession, sf: str) -> DataFrame:
     """Pixels covered by each type's disks."""
-    p = raster.mask_pixels(cells(spark, sf), raster.disk_offsets(2), ["g", "celltype"])
-    return p.groupBy("g", "celltype").agg(F.count(F.lit(1)).alias("pixels")).withColumnRenamed("g", "sample")
+    return raster.mask_pixels(cells(spark, sf), raster.disk_offsets(2), ["g", "celltype"]).withColumnRenamed("g", "sample")
 
 
 def region_props(spark: SparkSession, sf: str) -> DataFrame:
@@ -361,7 +358,7 @@ QUERIES = {
     )
 }
 
-_BY_GENE = "select gene, count(*) as cells, round(sum(value), 4) as total, round(sum(value * value), 4) as squares from v group by gene"
+_EACH = "select cell, gene, round(value, 6) as value from v"
 _LONG = f"{PROFILES}, long as (select k, g, cluster, marker, v from (select k, g, cluster, unnest(e) as v, unnest(range(32)) as position from profiles) join features using (position))"
 _HEAT = f"""{_LONG},
 c0 as (select cluster, marker, median(v) as median, avg(v) as mean from long group by 1, 2),
@@ -370,9 +367,8 @@ heat as (select cluster, marker, centre, greatest(-5, least(5, (centre - avg(cen
 _NICHE = f"""{CELLS}, {_knn(10)},
 comp as (select n.g, n.src as k, c.celltype, count(*) / max(t.n)::double as share
   from knn n join cells c on c.k = n.dst join (select src, count(*) as n from knn group by 1) t on t.src = n.src group by 1, 2, 3),
-feat as (select g, k, {", ".join(f"coalesce(max(case when celltype = '{t}' then share end), 0) as f{i}" for i, t in enumerate(NICHE_TYPES))} from comp group by 1, 2),
-dist as (select g, k, {", ".join("(" + " + ".join(f"pow(f{i} - {c[i]}, 2)" for i in range(4)) + f") as d{j}" for j, c in enumerate(CENTRES))} from feat),
-assigned as (select g, k, case least(d0, d1, d2, d3) when d0 then 1 when d1 then 2 when d2 then 3 else 4 end as neighborhood from dist)"""
+types as (select celltype, row_number() over (order by celltype) as place from (select distinct celltype from cells)),
+assigned as (select comp.g, k, arg_min(place, {{'a': -share, 'b': place}})::int as neighborhood from comp join types using (celltype) group by 1, 2)"""
 _EKNN = """eknn as (
   select a.k as src, b.k as dst, list_distance(a.e, b.e) as d, row_number() over (partition by a.k order by list_distance(a.e, b.e), b.k) as rank
   from profiles a join profiles b on a.k <> b.k qualify rank <= 10)"""
@@ -388,15 +384,14 @@ SQL = {
 with {COUNTS}, {COUNTED_CELLS}, s as (select cell, sum(n) as total, count(*) filter (where n > 0) as genes from counts group by cell)
 select cell, total, genes, cluster from s join counted_cells using (cell)
 where total between 10 and 250 and genes between 2 and 7 and area between 1000 and 400000 and total / (area + 1e-10) <= 0.01""",
-    "normalize_lognorm": f"with {COUNTS}, v as (select gene, ln(1 + n / (sum(n) over (partition by cell)) * 1e4) as value from counts) {_BY_GENE}",
-    "normalize_cp10k": f"with {COUNTS}, v as (select gene, n / (sum(n) over (partition by cell)) * 1e4 as value from counts) select gene, count(*) as cells, round(sum(value), 2) as total from v group by gene",
-    "normalize_cellvol": f"with {COUNTS}, {COUNTED_CELLS}, v as (select gene, ln(1 + n / case when area > 0 then area else 1e-6 end * (select median(case when area > 0 then area else 1e-6 end) from counted_cells)) as value from counts join counted_cells using (cell)) {_BY_GENE}",
+    "normalize_lognorm": f"with {COUNTS}, v as (select cell, gene, ln(1 + n / (sum(n) over (partition by cell)) * 1e4) as value from counts) {_EACH}",
+    "normalize_cp10k": f"with {COUNTS}, v as (select cell, gene, n / (sum(n) over (partition by cell)) * 1e4 as value from counts) {_EACH}",
+    "normalize_cellvol": f"with {COUNTS}, {COUNTED_CELLS}, v as (select cell, gene, ln(1 + n / case when area > 0 then area else 1e-6 end * (select median(case when area > 0 then area else 1e-6 end) from counted_cells)) as value from counts join counted_cells using (cell)) {_EACH}",
     "normalize_pearson": f"""
 with {COUNTS}, lib as (select cell, sum(n) as lib from counts group by 1), genes as (select gene, sum(n) as of_gene from counts group by 1),
 grid as (select cell, gene, lib * of_gene / (select sum(n) from counts) as mu from lib, genes),
-r as (select gene, (coalesce(n, 0) - mu) / sqrt(mu + mu * mu / 100) as r, sqrt((select count(*) from lib)) as bound from grid left join counts using (cell, gene)),
-v as (select gene, greatest(-bound, least(bound, r)) as value from r)
-select gene, count(*) as cells, round(sum(value), 3) as total, round(sum(value * value), 3) as squares from v group by gene""",
+r as (select cell, gene, (coalesce(n, 0) - mu) / sqrt(mu + mu * mu / 100) as r, sqrt((select count(*) from lib)) as bound from grid left join counts using (cell, gene)),
+v as (select cell, gene, greatest(-bound, least(bound, r)) as value from r) {_EACH}""",
     "hvg_variance": f"""
 with {COUNTS}, v as (select cell, gene, ln(1 + n / (sum(n) over (partition by cell)) * 1e4) as value from counts), c as (select count(distinct cell) as n from counts),
 s as (select gene, (sum(value * value) - sum(value) * sum(value) / (select n from c)) / ((select n from c) - 1) as variance from v group by 1)
@@ -404,7 +399,7 @@ select gene, round(variance, 6) as variance, (row_number() over (order by varian
     "cluster_heatmap_z": f"with {_HEAT} select cluster, marker, round(centre, 5) as centre, round(z, 5) as z from heat",
     "cluster_signal_qc": f"with {PROFILES} select cluster, count(*) as n, round(round(avg(list_avg(e)), 3), 2) + 0.0 as signal, round(round(avg(len(list_filter(e, lambda x: x > 1))), 2), 1) as markers_high from profiles group by 1",
     "cluster_tabulation": f"with {PROFILES} select cluster, count(*) as n, round(count(*) / sum(count(*)) over (), 6) as share from profiles group by 1",
-    "marker_zscale": f"with {_LONG}, z as (select cluster, marker, (v - avg(v) over (partition by marker)) / stddev_samp(v) over (partition by marker) as z from long) select cluster, marker, round(avg(z), 5) as mean_z, count(*) as n from z group by 1, 2",
+    "marker_zscale": f"with {_LONG}, s as (select marker, avg(v) as m, stddev_samp(v) as s from long group by 1) select k, marker, round((v - m) / s, 5) as z from long join s using (marker) where s > 0",
     "marker_de": f"""
 with {COUNTS}, {COUNTED_CELLS}, c as (select cell, cluster as grp, gene, n as value from counts join counted_cells using (cell)),
 cl as (select distinct cell, grp from c), dense as (select cl.cell, cl.grp, g.gene, coalesce(c.value, 0) as value from cl cross join (select distinct gene from c) g left join c on c.cell = cl.cell and c.gene = g.gene),
@@ -414,12 +409,12 @@ b as (select gene, grp, count(*) as n1, sum(value) as s1, sum((value > 0)::int)
 select gene, grp, n1, n - n1 as n2, round(s1 / n1, 6) as mean1, round((s - s1) / (n - n1), 6) as mean2, round(p1 / n1, 6) as pct1, round((p - p1) / (n - n1), 6) as pct2, (r1 - n1 * (n1 + 1) / 2.0)::double as u
 from b join a using (gene) where n1 >= 3 and n - n1 >= 3""",
     "bh_adjustment": """
-with p as (select cluster_id, prediction_id, min(1 - confidence) as p from gemma_predictions where confidence between 0 and 1 group by 1, 2),
+with p as (select cluster_id, prediction_id, min(1 - case when confidence > 1 then confidence / 100 else confidence end) as p from gemma_predictions where confidence is not null group by 1, 2),
 r as (select *, p * count(*) over (partition by cluster_id) / row_number() over (partition by cluster_id order by p) as q, row_number() over (partition by cluster_id order by p) as rk from p),
-a as (select cluster_id, round(least(1.0, min(q) over (partition by cluster_id order by rk rows between current row and unbounded following)), 9) as p_adj from r)
-select cluster_id, count(*) as n, round(sum(p_adj), 5) as total, round(min(p_adj), 6) as least from a group by 1""",
+a as (select cluster_id, prediction_id, round(least(1.0, min(q) over (partition by cluster_id order by rk rows between current row and unbounded following)), 9) as p_adj from r)
+select cluster_id, prediction_id, p_adj from a""",
     "morans_i": f"""
-with {CELLS}, {_knn(10)}, m as (select unnest(['B Cell', 'CD8 T Cell', 'Tumor Cell']) as marker),
+with {CELLS}, {_knn(10)}, m as (select distinct celltype as marker from cells),
 v as (select g, k, marker, (celltype = marker)::int::double as v from cells, m),
 s as (select g, marker, avg(v) as m, sum(v * v) - count(*) * avg(v) * avg(v) as ss, count(*) as n from v group by 1, 2),
 e as (select g, src, dst, 1 / (d + 1e-6) as w from knn), t as (select g, sum(w) as total from e group by 1),
@@ -446,12 +441,12 @@ select cluster, length(clause)::int as chars, clause from c""",
     "vote_mode": f"""
 with {_VOTES}, c as (select sample_id, cluster_id, lower(trim(label, ' ')) as l, count(*) as c from votes where trim(label, ' ') <> '' group by 1, 2, 3),
 r as (select *, row_number() over (partition by sample_id, cluster_id order by c desc, l) as r, sum(c) over (partition by sample_id, cluster_id) as n from c)
-select sample_id, cluster_id, l as top, round(c / n, 6) as agreement, n::bigint as n from r where r = 1""",
+select sample_id, cluster_id, max(case when r = 1 then l end) as top, round(max(case when r = 1 then c / n end), 6) as agreement, max(n)::bigint as n, string_agg(l || ':' || c, ', ' order by r) as detail from r group by 1, 2""",
     "harmonize_labels": f"with {_VOTES} select coalesce(c.label, trim(v.label, ' ')) as harmonized, count(*) as n from votes v left join canonical_labels c on c.short_label = trim(v.label, ' ') where v.label is not null group by 1",
     "json_extract": "select event_type, count(*) as n, count(try_cast(json_extract(props, '$.k') as bigint)) as with_k, sum(try_cast(json_extract(props, '$.k') as bigint))::bigint as total from events group by 1",
     "label_join_signal": f"""
 with {PROFILES}, v as (select cluster_id as cluster, count(distinct prediction_id) as predictions from gemma_predictions where cluster_id is not null group by 1)
-select v.cluster, predictions, cells from v left join (select cluster, count(*) as cells from profiles group by 1) p on p.cluster = v.cluster""",
+select v.cluster, predictions, cells, signal from v left join (select cluster, count(*) as cells, round(round(avg(list_avg(e)), 3), 2) + 0.0 as signal from profiles group by 1) p on p.cluster = v.cluster""",
     "niche_composition": f"with {_NICHE} select g as sample, k, celltype, round(share, 6) as share from comp",
     "nearest_centroid": f"with {_NICHE} select k, neighborhood from assigned",
     "niche_frequency": f"with {_NICHE}, f as (select neighborhood, celltype, count(*) as n from assigned join cells using (k) group by 1, 2) select neighborhood, celltype, n, round(n / sum(n) over (partition by neighborhood), 6) as share from f",
@@ -472,7 +467,7 @@ select g as sample, ref, query, floor(d / 5.0)::int as bin, count(*) as pairs fr
 with {CELLS}, m as (select sample_id as g, min(lower(trim(condition, ' '))) as condition from sample_manifest group by 1)
 select coalesce(case when condition <> '' then condition end, 'unknown') as condition, celltype, count(*) as n from cells left join m using (g) group by 1, 2""",
     "vocabulary_union": f"with {CELLS}, a as (select distinct celltype, 'cells' as side from cells union all select label, 'list' from canonical_labels) select celltype, string_agg(distinct side, '+' order by side) as sides from a group by 1",
-    "mask_disk_pixels": f"with {_PIXELS(2)} select g as sample, celltype, count(*) as pixels from pix group by 1, 2",
+    "mask_disk_pixels": f"with {_PIXELS(2)} select g as sample, celltype, px, py from pix",
     "region_props": f"with {_PIXELS(1)} select g || '/' || celltype as label, round(avg(py), 5) as y, round(avg(px), 5) as x, count(*) as area from pix group by 1 having count(*) >= 5",
     "crop_boxes": f"with {CELLS} select g as sample, trunc(min(x))::int as x0, trunc(min(y))::int as y0, trunc(max(x))::int + 1 as x1, trunc(max(y))::int + 1 as y1 from cells group by 1",
     "name_functions": """
