@@ -110,6 +110,68 @@ def distance_histogram(cells: DataFrame, r_max: float, bins: int) -> DataFrame:
     return p.select("g", F.least("celltype_1", "celltype_2").alias("ref"), F.greatest("celltype_1", "celltype_2").alias("query"), b).groupBy("g", "ref", "query", "bin").agg(F.count(F.lit(1)).alias("pairs"))
 
 
+def pair_effect_sizes(cells: DataFrame, r_max: float, bins: int) -> DataFrame:
+    """One-sided Kolmogorov-Smirnov effect of each ordered pair of types: ``g, ref, query, pairs, effect``.
+
+    How far the cumulative share of distances from a reference type to a query type runs above that of its distances
+    to cells of any type, which is what randomly drawn cells expect. Distances up to ``r_max`` count, in ``bins``
+    steps, so one pair join and counts of fixed size are enough. Pairs that are never met are not there.
+    """
+    h = distance_histogram(cells, r_max, bins)
+    # Met once in each direction; pairs of one type twice in the same.
+    both = h.unionByName(h.select("g", F.col("query").alias("ref"), F.col("ref").alias("query"), "bin", "pairs")).groupBy("g", "ref", "query", "bin").agg(F.sum("pairs").alias("pairs"))
+    grid = both.groupBy("g", "ref", "query").agg(F.sum("pairs").alias("all")).withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
+    full = grid.join(both, ["g", "ref", "query", "bin"], "left").na.fill(0, ["pairs"])
+    upto = Window.partitionBy("g", "ref", "query").orderBy("bin")  # one row a step
+    any_type = both.groupBy("g", "ref", "bin").agg(F.sum("pairs").alias("any"))
+    total = any_type.groupBy("g", "ref").agg(F.sum("any").alias("any_all"))
+    steps = total.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1)))).join(any_type, ["g", "ref", "bin"], "left").na.fill(0, ["any"])
+    steps = steps.withColumn("f", F.sum("any").over(Window.partitionBy("g", "ref").orderBy("bin")) / F.col("any_all")).select("g", "ref", "bin", "f")
+    over = full.withColumn("own", F.sum("pairs").over(upto) / F.col("all")).join(steps, ["g", "ref", "bin"])
+    return over.groupBy("g", "ref", "query").agg(F.max("all").alias("pairs"), F.greatest(F.max(F.col("own") - F.col("f")), F.lit(0.0)).alias("effect"))
+
+
+def curve_summary(cells: DataFrame, curves: DataFrame) -> DataFrame:
+    """Curves with ``pcf_sum, normalization, min_count``: one row for each pair of types, skipped ones with nulls.
+
+    ``normalization`` is the product of both types' sums of 1 / intensity over the squared area of the cells' own
+    rectangle; ``pcf_sum`` adds up the curve divided by it, which is the column ``norm_curve``.
+    """
+    both = cells.unionByName(cells.withColumn("celltype", F.lit("All")))
+    inverse = intensities(both, windows(cells)).groupBy("g", "celltype").agg(F.sum(1 / F.col("lam")).alias("inverse"))
+    area = cells.groupBy("g").agg(((F.max("x") - F.min("x")) * (F.max("y") - F.min("y"))).alias("area"))
+    side = lambda t: inverse.select("g", F.col("celltype").alias(t), F.col("inverse").alias(f"inverse_{t}"))
+    n = curves.join(side("ref"), ["g", "ref"]).join(side("query"), ["g", "query"]).join(area, "g")
+    n = n.withColumn("normalization", F.when(~F.col("skipped"), F.try_divide(F.col("inverse_ref") * F.col("inverse_query"), F.col("area") * F.col("area"))))
+    n = n.withColumn("norm_curve", F.transform("curve", lambda v: F.try_divide(v, F.col("normalization"))))
+    return n.select("g", "ref", "query", "n_ref", "n_query", F.least("n_ref", "n_query").alias("min_count"), "skipped", "normalization", F.aggregate("norm_curve", F.lit(0.0), lambda s, v: s + v).alias("pcf_sum"), "curve", "norm_curve")
+
+
+def interaction_subset(summary: DataFrame, first: str, second: str, min_count: int = 0) -> DataFrame:
+    """The rows of one unordered pair of types whose smaller count is above ``min_count``."""
+    one = (F.col("ref") == first) & (F.col("query") == second)
+    other = (F.col("ref") == second) & (F.col("query") == first)
+    return summary.where((one | other) & (F.col("min_count") > min_count))
+
+
+def auc_table(summary: DataFrame, ref: str, step: float) -> DataFrame:
+    """``sample, r`` and a column for each type: the normalised curves of a reference type against all others.
+
+    ``All`` is the baseline and cannot be the reference. Types without a curve in any sample have no column, samples
+    without any curve no rows; a pair without a curve is null.
+    """
+    if ref == "All":
+        raise ValueError("'All' is what the other types are compared with")
+    of = summary.where(((F.col("ref") == ref) | (F.col("query") == ref)) & F.col("norm_curve").isNotNull() & ~((F.col("ref") == ref) & (F.col("query") == ref)))
+    of = of.withColumn("other", F.when(F.col("ref") == ref, F.col("query")).otherwise(F.col("ref")))
+    others = sorted((r[0] for r in of.select("other").distinct().collect()), key=lambda t: (t != "All", t))  # types of cells: a few
+    if not others:
+        raise ValueError(f"no curve of {ref} was computed; lower the least count or take a more abundant type")
+    long = of.select("g", "other", F.posexplode("norm_curve").alias("i", "value"))
+    sample = F.regexp_replace("g", "-vectra_cell_seg_data.*$", "").alias("sample")
+    return long.groupBy(sample, ((F.col("i") + 1) * step).alias("r")).pivot("other", others).agg(F.first("value"))
+
+
 def pair_grid(cells: DataFrame, min_count: int = 10) -> DataFrame:
     """Unordered pairs of types, ``All`` included, and whether a pair is skipped for too few cells."""
     sizes = cells.groupBy("g", "celltype").agg(F.count(F.lit(1)).alias("n"))

@@ -304,6 +304,25 @@ def pair_distance_histogram(spark: SparkSession, sf: str) -> DataFrame:
     return pcf.distance_histogram(cells(spark, sf), 80.0, 16).withColumnRenamed("g", "sample")
 
 
+def pair_effect_sizes(spark: SparkSession, sf: str) -> DataFrame:
+    """How much nearer a type lies to a reference type than cells of any type do."""
+    return _round(pcf.pair_effect_sizes(cells(spark, sf), 80.0, 40), 6, "effect").withColumnRenamed("g", "sample")
+
+
+def pcf_summary(spark: SparkSession, sf: str) -> DataFrame:
+    """Sum, normalization and counts of every pair's curve (a kernel estimate: no SQL)."""
+    c = materialize(cells(spark, sf), "cells")
+    found = pcf.curve_summary(c, materialize(pcf.pair_curves(c, 80.0, 100), "curves"))
+    return _round(found.select(F.col("g").alias("sample"), "ref", "query", "n_ref", "n_query", "min_count", "skipped", "normalization", "pcf_sum"), 4, "normalization", "pcf_sum")
+
+
+def spatial_markers(spark: SparkSession, sf: str) -> DataFrame:
+    """Spatial autocorrelation of the types of highest variance in each sample, with adjusted p-values (no normal distribution in SQL)."""
+    c = cells(spark, sf)
+    v = c.select("g", "k", F.explode(F.array(*[F.struct(F.lit(t).alias("marker"), (F.col("celltype") == t).cast("double").alias("v")) for t in _types(c)])).alias("m")).select("g", "k", "m.marker", "m.v")
+    return _round(ranks.spatially_variable(neighbours.nearest(c, 10), v, 200).withColumnRenamed("g", "sample"), 6, "i", "z", "p", "p_adj")
+
+
 def pcf_curves(spark: SparkSession, sf: str) -> DataFrame:
     """Mean pair-correlation curves over samples (a kernel estimate: no SQL)."""
     curves = pcf.pair_curves(cells(spark, sf), 80.0, 100)
@@ -353,7 +372,7 @@ QUERIES = {
     for f in (
         qc_stats, qc_filter, normalize_lognorm, normalize_cp10k, normalize_cellvol, normalize_pearson, hvg_variance, cluster_heatmap_z, cluster_signal_qc, cluster_tabulation, marker_zscale, marker_de, marker_bh,
         bh_adjustment, morans_i, ks_dplus, template_gating, template_gating_mixture, prompt_elevated_reduced, glossary_clause, cluster_prompts, annotated_clusters, vote_mode, harmonize_labels, json_extract, label_join_signal,
-        niche_composition, nearest_centroid, niche_frequency, assignment_summary, kmeans_neighborhoods, pca_variance, pca_scores, expression_knn, expression_snn, leiden_communities, resolution_sweep, shared_phenotypes, pair_grid_skips, pair_distance_histogram, pcf_curves,
+        niche_composition, nearest_centroid, niche_frequency, assignment_summary, kmeans_neighborhoods, pca_variance, pca_scores, expression_knn, expression_snn, leiden_communities, resolution_sweep, shared_phenotypes, pair_grid_skips, pair_distance_histogram, pair_effect_sizes, pcf_summary, spatial_markers, pcf_curves,
         composition_by_condition, vocabulary_union, mask_disk_pixels, region_props, crop_boxes, name_functions,
     )
 }
@@ -463,6 +482,14 @@ select a.g as sample, a.celltype as ref, b.celltype as query, a.n as n_ref, b.n
     "pair_distance_histogram": f"""
 with {CELLS}, p as (select a.g, least(a.celltype, b.celltype) as ref, greatest(a.celltype, b.celltype) as query, sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) as d from cells a join cells b on a.g = b.g and a.k < b.k)
 select g as sample, ref, query, floor(d / 5.0)::int as bin, count(*) as pairs from p where d > 0 and d < 80 group by 1, 2, 3, 4""",
+    "pair_effect_sizes": f"""
+with {CELLS}, p as (select a.g, a.celltype as ref, b.celltype as query, sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) as d from cells a join cells b on a.g = b.g and a.k <> b.k),
+h as (select g, ref, query, floor(d / 2.0)::int as bin, count(*) as pairs from p where d > 0 and d < 80 group by 1, 2, 3, 4),
+s as (select g, ref, query, sum(pairs) as every from h group by 1, 2, 3), b as (select unnest(range(40)) as bin),
+f as (select s.g, s.ref, s.query, b.bin, every, sum(coalesce(h.pairs, 0)) over (partition by s.g, s.ref, s.query order by b.bin) / every as own
+  from s cross join b left join h on h.g = s.g and h.ref = s.ref and h.query = s.query and h.bin = b.bin),
+t as (select g, ref, bin, sum(own * every) / sum(every) as f from f group by 1, 2, 3)
+select f.g as sample, f.ref, f.query, max(every)::bigint as pairs, round(greatest(max(own - f), 0.0), 6) as effect from f join t on t.g = f.g and t.ref = f.ref and t.bin = f.bin group by 1, 2, 3""",
     "composition_by_condition": f"""
 with {CELLS}, m as (select sample_id as g, min(lower(trim(condition, ' '))) as condition from sample_manifest group by 1)
 select coalesce(case when condition <> '' then condition end, 'unknown') as condition, celltype, count(*) as n from cells left join m using (g) group by 1, 2""",

@@ -179,3 +179,19 @@ def test_neighbourhoods_of_all_types(spark, tmp_path):
     spark.createDataFrame(rows, "cell_key long, `Sample Name` string, `Cell X Position` double, `Cell Y Position` double, Phenotype string").write.parquet(str(tmp_path / "cell_seg_data.parquet"))
     found = table_queries.kmeans_neighborhoods(spark, str(tmp_path)).collect()
     assert sorted(r["n_cells"] for r in found) == [12] * 4
+
+
+def test_curve_summary_and_table(spark):
+    rng = np.random.default_rng(8)
+    rows = [(g, i, float(x), float(y), t) for g in ("s1", "s2") for i, (x, y, t) in enumerate(zip(rng.random(60) * 100, rng.random(60) * 100, ["A", "B", "C"] * 20))]
+    rows += [("s1", 900, 5.0, 5.0, "rare")]
+    c = spark.createDataFrame(rows, "g string, k long, x double, y double, celltype string")
+    summary = pcf.curve_summary(c, pcf.pair_curves(c, 20.0, 10)).cache()
+    by = {(r["g"], r["ref"], r["query"]): r for r in summary.collect()}
+    assert by["s1", "A", "rare"]["skipped"] and by["s1", "A", "rare"]["pcf_sum"] is None and by["s1", "A", "rare"]["min_count"] == 1
+    assert by["s1", "A", "B"]["pcf_sum"] == pytest.approx(sum(by["s1", "A", "B"]["curve"]) / by["s1", "A", "B"]["normalization"])
+    assert pcf.interaction_subset(summary, "B", "A", 19).count() == 2 and pcf.interaction_subset(summary, "B", "A", 20).count() == 0
+    table = pcf.auc_table(summary, "A", 2.0)
+    assert table.columns == ["sample", "r", "All", "B", "C"] and table.count() == 20
+    with pytest.raises(ValueError):
+        pcf.auc_table(summary, "All", 2.0)
