@@ -264,8 +264,8 @@ def fit_mixture(stats: DataFrame, seeds: np.ndarray, styles: np.ndarray, rounds:
 def classify(documents: DataFrame, key: str, text: str, examples: dict[str, dict[str, list[str]]]) -> DataFrame:
     """The statistics of each document's own text and its kind: ``doc, kind``, the component, and all statistics.
 
-    ``examples`` holds inspected texts by kind and style. Components take the kind of whose examples they explain the
-    largest share, those that explain none the kind of the style they began with; a document has the kind of its likeliest component. Documents that are null, empty, taken away or without a text
+    ``examples`` holds inspected texts by kind and style. Components take the kind of which they explain most
+    examples, those that explain none the kind of the style they began with; a document has the kind of its likeliest component. Documents that are null, empty, taken away or without a text
     of their own give no row; very long texts are read whole; repeated keys count once; other columns are ignored.
     """
     stats = document_statistics(documents, key, text)
@@ -275,8 +275,8 @@ def classify(documents: DataFrame, key: str, text: str, examples: dict[str, dict
     model = fit_mixture(stats, seeds, np.array([i for i, _, _ in shown]))
     r, _ = responsibilities(standard(seeds, model["mean"], model["scale"]), model["weight"], model["mu"], model["var"])
     kinds = list(examples)
-    share = np.array([r[[i for i, (_, k, _) in enumerate(shown) if k == kind]].mean(0) for kind in kinds])
-    kind_of = [kinds[share[:, j].argmax()] if share[:, j].max() > 0.01 else named[j][0] for j in range(len(named))]
+    share = np.array([r[[i for i, (_, k, _) in enumerate(shown) if k == kind]].sum(0) for kind in kinds])
+    kind_of = [kinds[share[:, j].argmax()] if share[:, j].max() > 0.5 else named[j][0] for j in range(len(named))]
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
