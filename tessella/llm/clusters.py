@@ -219,20 +219,182 @@ def members(vectors: DataFrame, key: str, vector: str, dim: int, reps: DataFrame
     return single.union(usable(vectors, key, vector, dim).join(copied, "e").select("k", "c", "e").distinct())
 
 
-def similar_pairs(vectors: DataFrame, key: str, vector: str, dim: int = 32, least_cosine: float = 0.985, levels: int = 2) -> DataFrame:
+def condense(nodes: pa.Table, edges: pa.Table, piece: int, min_size: int, floor: float) -> pa.Table:
+    """One piece of the condensed hierarchy, from its finest edge upwards.
+
+    ``nodes`` are ``label, n, core, total, sub, id``: single vectors or, with an ``id``, clusters that are open
+    already; ``edges`` are ``a, b, w`` of a forest over them. Two clusters of at least ``min_size`` keys that meet are
+    closed and a new one begins, anything smaller joins the cluster it meets; at distances up to ``floor`` nothing is
+    divided. A closed cluster's stability ``own`` is the sum over its keys of 1 / distance at which each is in it, less
+    that at which it meets its sibling; ``sub`` is the best that the clusters within it reach. Rows by ``kind``: 0 a
+    node with its root, its part at ``floor`` and the first cluster it is in; 1 a root's state; 2 a closed cluster.
+    """
+    names, at = np.unique(np.concatenate([nodes.column("label").to_numpy(), edges.column("a").to_numpy(), edges.column("b").to_numpy()]), return_inverse=True)
+    m, count = nodes.num_rows, edges.num_rows
+    place = np.empty(len(names), dtype=np.int64)
+    place[at[:m]] = np.arange(m)
+    w = np.maximum(edges.column("w").to_numpy(), floor)
+    order = np.argsort(w, kind="stable")
+    steps = zip(w[order].tolist(), at[m : m + count][order].tolist(), at[m + count :][order].tolist())
+    rows = nodes.select(["n", "core", "total", "sub", "id"]).take(pa.array(place)).to_pydict()
+    n, total, sub, ids = rows["n"], rows["total"], rows["sub"], rows["id"]
+    parent, loose = list(range(len(names))), [[i] if c is None else [] for i, c in enumerate(ids)]
+    first: list[int | None] = [None] * len(names)
+    lam: list[float | None] = [None] * len(names)
+    part, closed, made = parent, [], piece << 40
+
+    def root(i: int) -> int:
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    def enter(i: int, cluster: int, near: float) -> None:
+        for leaf in loose[i]:
+            first[leaf], lam[leaf] = cluster, near
+        loose[i] = []
+
+    def begin(i: int, near: float) -> None:
+        nonlocal made
+        made += 1
+        ids[i], total[i] = made, n[i] * near
+        enter(i, made, near)
+
+    def open_clusters() -> None:
+        for i in range(len(names)):
+            if parent[i] == i and ids[i] is None and n[i] >= min_size:
+                begin(i, 1 / (floor if len(loose[i]) > 1 else max(floor, rows["core"][i])))
+
+    at_floor = True
+    for d, a, b in steps:
+        if at_floor and d > floor:
+            at_floor, part = False, [root(i) for i in range(len(names))]
+            open_clusters()
+        a, b = sorted((root(a), root(b)))
+        near = 1 / d
+        parent[b] = a
+        if at_floor:
+            n[a], loose[a], loose[b] = n[a] + n[b], loose[a] + loose[b], []
+            continue
+        if ids[a] is not None and ids[b] is not None:
+            made += 1
+            best = 0.0
+            for i in (a, b):
+                own = total[i] - n[i] * near
+                closed.append((ids[i], made, own, sub[i]))
+                best += max(own, sub[i])
+            n[a] += n[b]
+            ids[a], total[a], sub[a] = made, n[a] * near, best
+        elif ids[a] is None and ids[b] is None:
+            n[a], loose[a], loose[b] = n[a] + n[b], loose[a] + loose[b], []
+            if n[a] >= min_size:
+                begin(a, near)
+        else:
+            has, small = (a, b) if ids[a] is not None else (b, a)
+            enter(small, ids[has], near)
+            ids[a], total[a], sub[a], n[a] = ids[has], total[has] + n[small] * near, sub[has], n[a] + n[b]
+    if at_floor:
+        part = [root(i) for i in range(len(names))]
+        open_clusters()
+    top = [root(i) for i in range(len(names))]
+    ends = [i for i, r in enumerate(top) if i == r]
+    kind = nodes.schema.field("label").type
+    none: list = [None] * len(closed)
+    shut = list(zip(*closed)) or [(), (), (), ()]
+    lead = lambda i: pa.array(names[np.asarray(i, dtype=np.int64)], type=kind)
+    gaps = [None] * len(names)
+    return pa.table(
+        {
+            "kind": pa.array([0] * len(names) + [1] * len(ends) + [2] * len(closed), pa.int32()),
+            "label": pa.concat_arrays([lead(range(len(names))), lead(ends), pa.array(none, kind)]),
+            "root": pa.concat_arrays([lead(top), lead(ends), pa.array(none, kind)]),
+            "part": pa.concat_arrays([lead(part), lead(ends), pa.array(none, kind)]),
+            "id": pa.array(first + [ids[i] for i in ends] + list(shut[0]), pa.int64()),
+            "up": pa.array(gaps + [None] * len(ends) + list(shut[1]), pa.int64()),
+            "n": pa.array(gaps + [n[i] for i in ends] + none, pa.int64()),
+            "lam": pa.array(lam + [None] * len(ends) + none, pa.float64()),
+            "own": pa.array(gaps + [total[i] for i in ends] + list(shut[2]), pa.float64()),
+            "sub": pa.array(gaps + [sub[i] for i in ends] + list(shut[3]), pa.float64()),
+        }
+    )
+
+
+def stable_clusters(tree: DataFrame, nodes: DataFrame, most: float, floor: float, min_size: int, task_edges: int = 500_000) -> DataFrame:
+    """The cluster of each node by stability: ``k, cluster, stability, lam, part`` (null cluster: noise).
+
+    ``tree`` is the spanning forest ``a, b, w``, ``nodes`` its ``k, c, n, core``. The hierarchy is that of the forest's
+    own merge distances from ``floor`` to ``most``. Components are dealt to tasks whole; where the largest has more
+    than about ``task_edges`` edges, the forest is cut into steps of distance, and what a step has joined is one node
+    of the next, which gives the same clusters. A cluster is selected if its stability is no less than what the
+    clusters within it reach together and none above it is selected. ``lam``, 1 / distance from which a node is in a
+    cluster at all, is its persistence; ``part`` names what is joined at ``floor``.
+    """
+    spark = tree.sparkSession
+    kind = nodes.schema["k"].dataType.simpleString()
+    largest, every = nodes.groupBy("c").agg(F.count(F.lit(1)).alias("here")).agg(F.max("here"), F.sum("here")).first()
+    steps, buckets = max(1, -(-(largest or 0) // task_edges)), max(spark.sparkContext.defaultParallelism, 2 * -(-(every or 0) // task_edges))
+    bucket = F.pmod(F.hash("c"), F.lit(buckets)).alias("bucket")
+    edges = tree.join(nodes.select(F.col("k").alias("a"), "c"), "a").select("a", "b", "w", bucket)
+    state = nodes.select(F.col("k").alias("label"), F.col("n").cast("long").alias("n"), "core", F.lit(0.0).alias("total"), F.lit(0.0).alias("sub"), F.lit(None).cast("long").alias("id"), bucket)
+    cuts, points = [most], None
+    if steps > 1:
+        # Distances only deal out the work, so approximate ones will do. What lies at the floor is joined beforehand.
+        edges = materialize(edges, "steps")
+        inner = edges.where((F.col("w") > floor) & (F.col("w") < most))
+        cuts = sorted({*(inner.agg(F.percentile_approx("w", [i / steps for i in range(1, steps)])).first()[0] or []), most})
+        _, joined = boruvka(tree.where(F.col("w") <= floor))
+        parts = nodes.select("k", "n", "core", bucket).join(joined, "k", "left").withColumn("part", F.coalesce("c", "k"))
+        points = materialize(parts.select("k", "part", F.col("part").alias("label"), F.lit(None).cast("long").alias("id"), F.lit(None).cast("double").alias("lam")), "points")
+        state = parts.groupBy(F.col("part").alias("label"), "bucket").agg(F.sum("n").cast("long").alias("n"), F.when(F.count(F.lit(1)) > 1, F.lit(floor)).otherwise(F.min("core")).alias("core"))
+        state = state.withColumns({"total": F.lit(0.0), "sub": F.lit(0.0), "id": F.lit(None).cast("long")})
+    schema = f"bucket int, kind int, label {kind}, root {kind}, part {kind}, id long, up long, n long, lam double, own double, sub double"
+    shut, below = [], floor if steps > 1 else -1.0
+    for step, cut in enumerate(cuts):
+
+        def piece(key: tuple, of: pa.Table, joins: pa.Table) -> pa.Table:
+            b = key[0].as_py()
+            out = condense(of, joins, step * buckets + b, min_size, floor)
+            return out.add_column(0, "bucket", pa.array([b] * out.num_rows, pa.int32()))
+
+        now = edges.where((F.col("w") > below) & (F.col("w") <= cut))
+        if points is not None:
+            ends = points.select("k", "label")
+            now = now.join(ends.withColumnsRenamed({"k": "a", "label": "x"}), "a").join(ends.withColumnsRenamed({"k": "b", "label": "y"}), "b").select(F.col("x").alias("a"), F.col("y").alias("b"), "w", "bucket")
+        out = materialize(state.groupBy("bucket").cogroup(now.groupBy("bucket")).applyInArrow(piece, schema), "condensed")
+        leaf = out.where("kind = 0").select("label", "root", "part", "id", "lam")
+        if points is None:
+            points = leaf.select(F.col("label").alias("k"), "part", "id", "lam")
+        else:
+            to = leaf.select("label", "root", F.col("id").alias("first"), F.col("lam").alias("at"))
+            points = materialize(points.join(to, "label").select("k", "part", F.col("root").alias("label"), F.coalesce("id", "first").alias("id"), F.coalesce("lam", "at").alias("lam")), "points")
+        state = out.where("kind = 1").select("label", "n", F.lit(0.0).alias("core"), F.col("own").alias("total"), "sub", "id", "bucket")
+        shut.append(out.where("kind = 2").select("id", "up", "own", "sub"))
+        below = cut
+    chosen = state.where(F.col("id").isNotNull()).select("id", F.lit(None).cast("long").alias("up"), (F.col("total") - F.col("n") / most).alias("own"), "sub")
+    for s in shut:
+        chosen = chosen.union(s)
+    # The topmost cluster that is no worse than those within it, found by doubling the way up in every round.
+    chosen = materialize(chosen.select("id", "up", F.when(F.col("own") >= F.col("sub"), F.struct(F.col("id").alias("cluster"), F.col("own").alias("stability"))).alias("pick")), "picked")
+    while not chosen.where(F.col("up").isNotNull()).isEmpty():
+        above = chosen.select(F.col("id").alias("up"), F.col("up").alias("next"), F.col("pick").alias("held"))
+        chosen = materialize(chosen.join(above, "up", "left").select("id", F.col("next").alias("up"), F.coalesce("held", "pick").alias("pick")), "picked")
+    named = points.join(chosen.select("id", "pick"), "id", "left").select("k", "pick.cluster", "pick.stability", "lam", "part")
+    return named
+
+
+def similar_pairs(vectors: DataFrame, key: str, vector: str, dim: int = 32, least_cosine: float = 0.985, reach: float = 2.0) -> DataFrame:
     """Pairs of different keys in one cluster of the density hierarchy, as near as ``least_cosine``: ``key_1 < key_2, cosine``.
 
     The condensed hierarchy (two samples to a core, clusters of two keys and more) begins at that distance, below which
-    no cluster is divided, and goes up ``levels - 1`` doublings of it. Pairs are those of a cluster that stability
-    selects, met within its parts at the finest level and checked exactly. Vectors that are null, of another length, all
+    no cluster is divided, and goes up to ``reach`` times it. Pairs are those of a cluster that stability selects, met
+    within its parts at the lowest distance and checked exactly. Vectors that are null, of another length, all
     zero or not finite take no part, repeated rows count once, an empty table gives no pairs. Where groups of similar
     keys are very large ``describe_clusters`` names them without expanding their pairs.
     """
-    distances = [(1 - least_cosine) * 2**i for i in range(levels)]
-    reps, tree, nodes = similarity_forest(vectors, key, vector, dim, 1 - distances[-1], 2, copies=True)
-    labels = hierarchy_levels(tree, nodes, distances)
-    chosen = condense(labels, distances, 2).where(F.col("cluster").isNotNull()).select("k")
-    found = materialize(labels.join(chosen, "k").select("k", F.col("c1").alias("c")), "found")
+    floor = 1 - least_cosine
+    reps, tree, nodes = similarity_forest(vectors, key, vector, dim, 1 - reach * floor, 2, copies=True)
+    chosen = stable_clusters(tree, nodes, reach * floor, floor, 2).where(F.col("cluster").isNotNull())
+    found = materialize(chosen.select("k", F.col("part").alias("c")), "found")
     m = materialize(members(vectors, key, vector, dim, reps, found), "members")
     norm = F.sqrt(F.aggregate("e", F.lit(0.0), lambda s, x: s + x * x))
     m = m.withColumn("u", F.transform("e", lambda x: x / norm)).select("k", "c", "u")
@@ -241,84 +403,27 @@ def similar_pairs(vectors: DataFrame, key: str, vector: str, dim: int = 32, leas
     return a.join(b, "c").where(F.col("key_1") < F.col("key_2")).select("key_1", "key_2", cosine.alias("cosine")).where(F.col("cosine") >= least_cosine - 1e-12)
 
 
-def hierarchy_levels(tree: DataFrame, nodes: DataFrame, distances: list[float]) -> DataFrame:
-    """Components of the forest at each distance, finest first: ``k, n, core, c1, ..., cL``.
-
-    A level's components are those of the level below, joined by the edges in between; each tree edge is used once.
-    """
-    labels = nodes.select("k", "n", "core", F.col("k").alias("c0"))
-    below = -1.0
-    for i, t in enumerate(distances, 1):
-        ends = labels.select("k", f"c{i - 1}")
-        e = tree.where((F.col("w") > below) & (F.col("w") <= t))
-        e = e.join(ends.withColumnsRenamed({"k": "a", f"c{i - 1}": "x"}), "a").join(ends.withColumnsRenamed({"k": "b", f"c{i - 1}": "y"}), "b").select(F.col("x").alias("a"), F.col("y").alias("b"), "w")
-        _, found = boruvka(e)
-        up = found.select(F.col("k").alias(f"c{i - 1}"), F.col("c").alias(f"c{i}"))
-        labels = materialize(labels.join(up, f"c{i - 1}", "left").withColumn(f"c{i}", F.coalesce(f"c{i}", f"c{i - 1}")), "levels")
-        below = t
-    return labels.drop("c0")
-
-
-def condense(labels: DataFrame, distances: list[float], min_size: int) -> DataFrame:
-    """The cluster of each node by stability: ``k, cluster, stability, level`` (null cluster: noise).
-
-    A component of at least ``min_size`` keys (``n`` of its nodes, copies counted) lives on while one such component is left of it at the next finer
-    level; where it falls into two or more, new clusters begin. A cluster's stability is its size times the span of
-    1 / distance it lives for; it is selected if that is no less than what the clusters within it reach together.
-    A node is there from its core distance on. ``level`` is the finest one at which a node is still in such a component: its persistence.
-    """
-    depth = len(distances)
-    span = [1 / distances[0], *[1 / distances[i - 1] - 1 / distances[i] for i in range(1, depth)]]
-    tables = []
-    for i in range(1, depth + 1):
-        parent = F.first(f"c{i + 1}") if i < depth else F.lit(None)
-        size = F.sum(F.when(F.col("core") <= distances[i - 1], F.col("n")).otherwise(0))
-        own_life = size * span[i - 1]
-        t = labels.groupBy(F.col(f"c{i}").alias("c")).agg(size.alias("size"), parent.alias("up"), own_life.alias("life")).where(F.col("size") >= min_size)
-        if tables:
-            inside = tables[-1].groupBy(F.col("up").alias("c")).agg(F.count(F.lit(1)).alias("kids"), F.sum("own").alias("kid_own"), F.sum("sub").alias("kid_sub"), F.sum(F.greatest("own", "sub")).alias("kid_best"))
-            t = t.join(inside, "c", "left").na.fill(0, ["kids", "kid_own", "kid_sub", "kid_best"])
-            t = t.withColumn("own", F.col("life") + F.when(F.col("kids") == 1, F.col("kid_own")).otherwise(0.0)).withColumn("sub", F.when(F.col("kids") == 1, F.col("kid_sub")).otherwise(F.col("kid_best")))
-        else:
-            t = t.withColumns({"kids": F.lit(0), "own": F.col("life"), "sub": F.lit(0.0)})
-        tables.append(materialize(t.select("c", "size", "up", "kids", "own", "sub"), "condensed"))
-    picked = None
-    for i in range(depth, 0, -1):
-        t = tables[i - 1]
-        chosen = F.when(F.col("own") >= F.col("sub"), F.struct(F.col("c").alias("cluster"), F.col("own").alias("stability")))
-        if picked is None:
-            t = t.select("c", chosen.alias("pick"))
-        else:
-            above = picked.join(tables[i].select("c", "kids"), "c").select(F.col("c").alias("up"), F.col("pick").alias("held"), F.col("kids").alias("up_kids"))
-            t = t.join(above, "up", "left").select("c", F.coalesce("held", F.when(F.coalesce("up_kids", F.lit(2)) != 1, chosen)).alias("pick"))
-        picked = materialize(t, "picked")
-        labels = labels.join(picked.select(F.col("c").alias(f"c{i}"), F.col("pick").alias(f"p{i}"), F.lit(i).alias(f"l{i}")), f"c{i}", "left")
-    cluster = F.coalesce(*[F.col(f"p{i}") for i in range(depth, 0, -1)])
-    level = F.coalesce(*[F.col(f"l{i}") for i in range(1, depth + 1)])
-    return labels.select("k", cluster.alias("p"), level.alias("level")).select("k", "p.cluster", "p.stability", "level")
-
-
-def describe_clusters(vectors: DataFrame, key: str, vector: str, dim: int = 32, least_cosine: float = 0.9, min_samples: int = 3, min_size: int = 3, levels: int = 4, exemplars: int = 3) -> DataFrame:
+def describe_clusters(vectors: DataFrame, key: str, vector: str, dim: int = 32, least_cosine: float = 0.9, min_samples: int = 3, min_size: int = 3, finest: float = 1e-3, exemplars: int = 3) -> DataFrame:
     """Each key with its cluster: ``k, cluster, size, stability, exemplar`` (1, 2, ... for the most typical members).
 
     Keys without a cluster are noise (null cluster) and are there too. The most persistent members, those that stay
     in their cluster down to the smallest distance, are its exemplars; the nearer to a neighbour the better, then the
-    smaller key. The hierarchy is taken at ``levels`` distances, each half the one before. Copies of a vector are in
-    the same cluster, and each counts as a sample and for the size, so copies alone can be one. Vectors that take no part (null, of another length, zero, not finite) give no row, repeated
-    rows count once, an empty table gives no rows.
+    smaller key. The hierarchy is that of all merge distances down to ``finest``, below which nothing is told apart;
+    a cluster is named by its smallest key. Copies of a vector are in the same cluster, and each counts as a sample and
+    for the size, so copies alone can be one. Vectors that take no part (null, of another length, zero, not finite)
+    give no row, repeated rows count once, an empty table gives no rows.
     """
-    distances = sorted((1 - least_cosine) / 2**i for i in range(levels))
     reps, tree, nodes = similarity_forest(vectors, key, vector, dim, least_cosine, min_samples, counted=True)
     tree = materialize(tree, "tree")
-    found = condense(hierarchy_levels(tree, nodes, distances), distances, min_size)
+    found = stable_clusters(tree, nodes, 1 - least_cosine, finest, min_size)
     copies_near = nodes.where(F.col("n") > 1).select("k", F.col("core").alias("w"))
     nearest = tree.select(F.explode(F.array("a", "b")).alias("k"), "w").union(copies_near).groupBy("k").agg(F.min("w").alias("w"))
-    of_rep = materialize(reps.join(found, "k", "left").join(nearest, "k", "left").select("e", F.col("k").alias("rep"), "last", "cluster", "stability", "level", "w"), "found")
-    shared = ["cluster", "stability", "level", "w"]
+    of_rep = materialize(reps.join(found, "k", "left").join(nearest, "k", "left").select("e", F.col("k").alias("rep"), "last", "cluster", "stability", "lam", "w"), "found")
+    shared = ["cluster", "stability", "lam", "w"]
     single = of_rep.where(F.col("rep") == F.col("last")).select(F.col("rep").alias("k"), *shared)
     copies = usable(vectors, key, vector, dim).join(of_rep.where(F.col("rep") != F.col("last")).select("e", *shared), "e").select("k", *shared).distinct()
     every = materialize(single.unionByName(copies), "every")
-    sizes = every.where(F.col("cluster").isNotNull()).groupBy("cluster").agg(F.count(F.lit(1)).alias("size"))
-    order = Window.partitionBy("cluster").orderBy("level", "w", "k")
+    sizes = every.where(F.col("cluster").isNotNull()).groupBy("cluster").agg(F.count(F.lit(1)).alias("size"), F.min("k").alias("name"))
+    order = Window.partitionBy("cluster").orderBy(F.desc("lam"), "w", "k")
     typical = every.where(F.col("cluster").isNotNull()).withColumn("exemplar", F.row_number().over(order)).where(F.col("exemplar") <= exemplars).select("k", "exemplar")
-    return every.join(sizes, "cluster", "left").join(typical, "k", "left").select("k", "cluster", "size", "stability", "exemplar")
+    return every.join(sizes, "cluster", "left").join(typical, "k", "left").select("k", F.col("name").alias("cluster"), "size", "stability", "exemplar")

@@ -133,3 +133,71 @@ def test_copies_count_in_clusters(spark):
     assert sorted(by[k]["exemplar"] for k in range(5) if by[k]["exemplar"]) == [1, 2, 3]
     assert {(by[k]["cluster"], by[k]["size"]) for k in (7, 8, 13)} == {(7, 3)}  # two vectors, three keys
     assert {by[k]["cluster"] for k in (5, 6, 9, 10, 11, 12)} == {None}  # two copies are too few samples
+
+
+def by_recursion(keys, edges, most, floor, min_size):
+    """Condensed clusters from the top down: the selected ones as sets of keys, with their stability."""
+
+    def parts(of, below):
+        left, out = set(of), []
+        while left:
+            todo, seen = [left.pop()], set()
+            while todo:
+                u = todo.pop()
+                seen.add(u)
+                for a, b, w in edges:
+                    if w < below and u in (a, b):
+                        v = b if u == a else a
+                        if v in left:
+                            left.discard(v)
+                            todo.append(v)
+            out.append(seen)
+        return out
+
+    def grow(of, birth):
+        """Stability and best selection of a cluster that begins at distance ``birth`` with the keys ``of``."""
+        own, now = 0.0, set(of)
+        while True:
+            inner = sorted({max(w, floor) for a, b, w in edges if a in now and b in now}, reverse=True)
+            if not inner or inner[0] <= floor:
+                return own + len(now) * (1 / floor - 1 / birth), None, of
+            big = [p for p in parts(now, inner[0]) if len(p) >= min_size]
+            if len(big) == 1:
+                own += (len(now) - len(big[0])) * (1 / inner[0] - 1 / birth)
+                now = big[0]
+                continue
+            own += len(now) * (1 / inner[0] - 1 / birth)
+            return own, [grow(p, inner[0]) for p in big], of
+
+    def pick(c):
+        own, kids, of = c
+        below = [pick(k) for k in kids or []]
+        reach = sum(b for b, _ in below)
+        return (own, [(frozenset(of), own)]) if own >= reach else (reach, [x for _, l in below for x in l])
+
+    return {x for p in parts(keys, most + 1) if len(p) >= min_size for x in pick(grow(p, most))[1]}
+
+
+def test_hierarchy_equals_recursion(spark):
+    rng = np.random.default_rng(11)
+    edges = [(int(rng.integers(0, b)), b, float(rng.uniform(0.001, 0.1))) for b in range(1, 120)]
+    edges = [e for e in edges if e[2] < 0.095]  # several trees
+    e = spark.createDataFrame(edges, "a long, b long, w double")
+    _, found = clusters.boruvka(e)
+    near = {k: min(w for a, b, w in edges if k in (a, b)) for k in {x for a, b, _ in edges for x in (a, b)}}
+    nodes = found.join(spark.createDataFrame([(k, 1, w) for k, w in near.items()], "k long, n int, core double"), "k")
+    for size, floor, task in ((2, 0.02, 10**6), (3, 0.004, 10**6), (3, 0.004, 15), (5, 0.001, 9)):
+        want = {(s, round(own, 6)) for s, own in by_recursion(set(near), edges, 0.1, floor, size)}
+        got: dict = {}
+        for r in clusters.stable_clusters(e, nodes, 0.1, floor, size, task).collect():
+            if r["cluster"] is not None:
+                got.setdefault((r["cluster"], round(r["stability"], 6)), set()).add(r["k"])
+        assert {(frozenset(v), s) for (_, s), v in got.items()} == want
+
+
+def test_clusters_between_doublings(spark):
+    """Two tight groups that join early, a third one soon after: each is seen, whatever the distances are."""
+    turn = lambda deg, n: np.array([[np.cos(np.radians(deg + i * 0.2)), np.sin(np.radians(deg + i * 0.2)), 0, 0] for i in range(n)])
+    x = np.concatenate([turn(0, 5), turn(14, 5), turn(32, 5)])
+    by = {r["k"]: r["cluster"] for r in clusters.describe_clusters(frame(spark, x), "key", "vec", 4, least_cosine=0.9).collect()}
+    assert [by[k] for k in range(15)] == [0] * 5 + [5] * 5 + [10] * 5
