@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessella.operators.order import running_sums
 from tessella.session import materialize
 
 
@@ -87,14 +88,9 @@ def communities(edges: DataFrame, resolution: float = 1.0, rounds: int = 12, lev
 
 
 def numbered_by_size(counted: DataFrame, name: str) -> DataFrame:
-    """``name, community``: numbers from 1 for the largest ``n``, ties by name, without sorting all in one task.
-
-    Rows of one size are numbered on their own, above the number of rows of larger size.
-    """
-    per = counted.groupBy("n").agg(F.count(F.lit(1)).alias("rows"))  # one row a size
-    before = per.withColumn("before", F.coalesce(F.sum("rows").over(Window.orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    place = F.row_number().over(Window.partitionBy("n").orderBy(name))
-    return counted.withColumn("place", place).join(before.select("n", "before"), "n").select(name, (F.col("before") + F.col("place")).cast("int").alias("community"))
+    """``name, community``: numbers from 1 for the largest ``n``, ties by name, without sorting all in one task."""
+    upto = running_sums(counted.select("n", name, F.lit(1).alias("one")), [F.desc("n"), name], ["one"])
+    return upto.select(name, F.col("upto_one").cast("int").alias("community"))
 
 
 def resolution_sweep(edges: DataFrame, resolutions: list[float], most: int = 100, objective: str = "modularity") -> tuple[DataFrame, list[tuple[float, int]]]:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessella.functions.numeric import clipped
+from tessella.operators.order import percentiles
 
 
 def qc_statistics(counts: DataFrame) -> DataFrame:
@@ -43,7 +44,7 @@ def normalized(counts: DataFrame, method: str = "lognorm", volumes: DataFrame |
         return counts.withColumn("value", F.col("n"))
     if method == "cellvol" and volumes is not None:
         usable = volumes.select("cell", F.when(F.col("volume") > 0, F.col("volume")).otherwise(1e-6).alias("volume"))
-        middle = usable.agg(F.percentile("volume", F.lit(0.5)).alias("middle"))
+        middle = percentiles(usable, [], "volume", [0.5]).agg(F.max("value").alias("middle"))
         v = counts.join(usable, "cell", "left").crossJoin(F.broadcast(middle)).withColumn("volume", F.coalesce("volume", F.lit(1e-6)))  # one row
         return v.select("cell", "gene", "n", F.log1p(F.col("n") / F.col("volume") * F.col("middle")).alias("value"))
     if method in ("lognorm", "cp10k", "cellvol"):
@@ -87,7 +88,9 @@ def zscaled(long: DataFrame, *by: str) -> DataFrame:
 
 def cluster_heatmap(long: DataFrame, limit: float = 5.0) -> DataFrame:
     """Median of each marker by cluster (mean where the medians are all zero), as z-scores across clusters, clipped."""
-    c = long.groupBy("cluster", "marker").agg(F.percentile("v", F.lit(0.5)).alias("median"), F.avg("v").alias("mean"))
+    median = percentiles(long, ["cluster", "marker"], "v", [0.5]).select("cluster", "marker", F.col("value").alias("median"))
+    mean = long.groupBy("cluster", "marker").agg(F.avg("v").alias("mean"))
+    c = mean.join(median, (mean["cluster"].eqNullSafe(median["cluster"])) & (mean["marker"] == median["marker"]), "left").select(mean["cluster"], mean["marker"], "median", "mean")
     w = Window.partitionBy("marker")
     c = c.withColumn("centre", F.when(F.max(F.abs("median")).over(w) == 0, F.col("mean")).otherwise(F.col("median")))
     z = F.try_divide(F.col("centre") - F.avg("centre").over(w), F.stddev_samp("centre").over(w))

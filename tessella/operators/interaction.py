@@ -7,7 +7,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessella.operators.order import percentiles
 from tessella.operators.proximity import pairs_within
+from tessella.session import materialize
 
 NEG_INF = float("-inf")
 
@@ -122,17 +124,16 @@ def threshold_objective(cells: DataFrame, thresholds: list[float], targets: list
     ``min_cells`` cells and all target types. The objective is its share of target cells times the logarithm of the
     spread of both deltas, written as a sum so that nothing overflows.
     """
-    cut = cells.groupBy("g").agg(F.percentile("smooth", F.array(*[F.lit(float(t)) for t in thresholds])).alias("cut"))
-    cut = cut.select("g", F.posexplode("cut").alias("i", "at")).withColumn("threshold", F.element_at(F.array(*[F.lit(float(t)) for t in thresholds]), F.col("i") + 1))
-    region = cells.join(cut, "g").where(F.col("smooth") > F.col("at"))
-    q = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
+    cut = percentiles(cells, ["g"], "smooth", thresholds).select("g", F.col("share").alias("threshold"), F.col("value").alias("at"))
+    region = materialize(cells.join(cut, "g").where(F.col("smooth") > F.col("at")), "regions")
     found = region.groupBy("g", "threshold").agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(F.col("celltype").isin(targets)).alias("hits"),
         F.count_distinct(F.when(F.col("celltype").isin(targets), F.col("celltype"))).alias("kinds"),
-        F.percentile("delta_z", q).alias("qd"),
-        F.percentile("smooth", q).alias("qs"),
     )
+    for name, column in (("qd", "delta_z"), ("qs", "smooth")):
+        q = percentiles(region, ["g", "threshold"], column, [0.25, 0.5, 0.75]).groupBy("g", "threshold")
+        found = found.join(q.agg(F.array_sort(F.collect_list("value")).alias(name)), ["g", "threshold"])  # three values
     spread = lambda c: F.col(c)[1] / 2 + (F.col(c)[0] + F.col(c)[2]) / 4
     found = found.where((F.col("n") >= min_cells) & (F.col("kinds") == len(targets)))
     return found.select("g", "threshold", "n", (F.col("hits") / F.col("n") * (spread("qd") + spread("qs"))).alias("objective"))

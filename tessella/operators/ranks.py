@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessella.functions.numeric import normal_sf
+from tessella.operators.order import running_sums
+from tessella.operators.proximity import finite
 
 
 def adjusted(p: Column, *partition: str) -> Column:
@@ -97,10 +99,14 @@ def spatially_variable(edges: DataFrame, values: DataFrame, top: int = 200) -> D
 
 
 def distribution_distance(values: DataFrame, group: str, value: str, first: str, second: str) -> DataFrame:
-    """Greatest excess of the first sample's cumulative share over the second's (one-sided two-sample D+)."""
-    v = values.where(F.col(group).isin(first, second) & F.col(value).isNotNull())
-    steps = v.groupBy(F.col(value).alias("v")).agg(F.count_if(F.col(group) == first).alias("a"), F.count_if(F.col(group) == second).alias("b"))
-    w = Window.orderBy("v")
-    whole = Window.partitionBy()
-    share = lambda c: F.sum(c).over(w) / F.sum(c).over(whole)
-    return steps.select((share("a") - share("b")).alias("excess")).agg(F.greatest(F.max("excess"), F.lit(0.0)).alias("d_plus"))
+    """Greatest excess of the first sample's cumulative share over the second's (one-sided two-sample D+).
+
+    Equal values are counted first and the distinct ones summed up over all tasks in order. Null and non-finite values
+    do not count; without values of one of the samples the distance is 0.
+    """
+    v = values.where(F.col(group).isin(first, second) & finite(value))
+    steps = v.groupBy((F.col(value) + 0.0).alias("v")).agg(F.count_if(F.col(group) == first).alias("a"), F.count_if(F.col(group) == second).alias("b"))
+    upto = running_sums(steps, ["v"], ["a", "b"])
+    whole = upto.agg(F.max("upto_a").alias("all_a"), F.max("upto_b").alias("all_b"))
+    excess = F.try_divide(F.col("upto_a"), F.col("all_a")) - F.try_divide(F.col("upto_b"), F.col("all_b"))
+    return upto.crossJoin(F.broadcast(whole)).agg(F.coalesce(F.greatest(F.max(excess), F.lit(0.0)), F.lit(0.0)).alias("d_plus"))  # one row
