@@ -12,6 +12,14 @@ from pyspark.sql import functions as F
 
 from tessella.functions.names import marker_key
 
+# Markers that tell what a cell is doing, by role; they say nothing of its lineage.
+STATE_ROLES = {
+    "proliferation": ["KI67", "MKI67", "PCNA", "MCM2", "TOP2A", "PHH3", "PHOSPHOHISTONEH3", "BRDU", "CCNB1", "AURKB"],
+    "activation/checkpoint": ["PD1", "PDCD1", "TIM3", "HAVCR2", "LAG3", "TIGIT", "CTLA4", "CD69", "ICOS", "OX40", "TNFRSF4", "CD137", "TNFRSF9", "41BB"],
+    "cytotoxic effector": ["GZMB", "GRANZYMEB", "PRF1", "PERFORIN", "GNLY", "GRANULYSIN"],
+    "apoptosis/survival": ["BCL2", "CLEAVEDCASPASE3", "CASP3", "CC3"],
+}
+
 #: A model: takes prompts and a seed, returns one raw answer (or None) each.
 Model = Callable[[list[str], int], list[str | None]]
 
@@ -23,16 +31,56 @@ def glossary_clause(profile: DataFrame, glossary: DataFrame) -> DataFrame:
     return p.join(g, "key").groupBy("cluster").agg(F.array_join(F.sort_array(F.collect_list(F.concat("marker", F.lit(": "), "gloss"))), "; ").alias("clause"))  # a panel of markers
 
 
+def state_clause(profile: DataFrame, roles: dict[str, list[str]] | None = None) -> DataFrame:
+    """``cluster, state``: those of a cluster's ``marker`` that report a state, with their role, by role and name.
+
+    Names are compared as keys. Clusters without such markers have no row.
+    """
+    pairs = [(i, role, m) for i, (role, of) in enumerate((STATE_ROLES if roles is None else roles).items()) for m in of]
+    known = profile.sparkSession.createDataFrame(pairs, "place int, role string, name string").select("place", "role", marker_key(F.col("name")).alias("key")).distinct()
+    hits = profile.select("cluster", "marker", marker_key(F.col("marker")).alias("key")).distinct().join(F.broadcast(known), "key")  # a list of this module
+    each = F.transform(F.sort_array(F.collect_list(F.struct("place", "marker", "role"))), lambda h: F.concat(h["marker"], F.lit(" ("), h["role"], F.lit(")")))
+    return hits.groupBy("cluster").agg(F.array_join(each, ", ").alias("state"))  # a panel of markers
+
+
+def ontology_text(markers: list[str], trained: str | None = None, known: list[str] | None = None) -> str:
+    """Rules ``A+B+ -> type``, one after the other: the trained ones as they are, an open one for each other marker.
+
+    Without trained rules every marker gets an open one, and what fits none is ``Other``.
+    """
+    new = [m for m in dict.fromkeys(markers) if trained is None or m not in (known or [])]
+    rules = [f"{m}+ -> ?" for m in new]
+    return " | ".join([*rules, "Other -> Other"] if trained is None else [trained, *rules])
+
+
+def listing_prompts(values: DataFrame, unit: str, ontology: str, about: str | None = None) -> DataFrame:
+    """``unit, prompt`` that lists every marker's mean with an ontology to choose from; one for each ``unit``.
+
+    ``values`` has ``unit, place, marker, v``: by cluster, or by cell where each cell is a unit. Markers stand in the
+    order of ``place``; null values do not count, a marker without any is left out.
+    """
+    means = values.where(F.col("v").isNotNull()).groupBy(unit, "place", "marker").agg(F.avg("v").alias("v"))
+    listed = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("place", "marker", "v"))), lambda m: F.format_string("%s=%.3f", m["marker"], m["v"])), ", ")
+    head = f"Markers ({about}): " if about else "Markers: "
+    return means.groupBy(unit).agg(listed.alias("listed")).select(unit, F.concat(F.lit(head), "listed", F.lit(f". Choose the type by these rules: {ontology}.")).alias("prompt"))  # a panel of markers each
+
+
 def prompts(described: DataFrame, tissue: str | None = None, scale: str | None = None, spillover: float = 0.25) -> DataFrame:
-    """``cluster, prompt`` from ``cluster, elevated, reduced, share_high`` (and ``clause`` if there is one)."""
+    """``cluster, prompt`` from ``cluster, elevated, reduced, share_high`` (and ``clause`` and ``state`` if there are any).
+
+    Where no marker is elevated the prompt says so, gives the lowest ones as such and allows for no type at all.
+    """
     where = f"The tissue is {tissue}. " if tissue else ""
     how = f"Values are {scale}. " if scale else ""
-    high = F.when(F.col("elevated") != "", F.concat(F.lit("Markers above the rest of the profile: "), "elevated", F.lit(". "))).otherwise(F.lit("No marker stands out from the profile. "))
-    low = F.when(F.col("reduced") != "", F.concat(F.lit("Markers below it: "), "reduced", F.lit(". "))).otherwise(F.lit(""))
+    some = F.col("elevated") != ""
+    high = F.when(some, F.concat(F.lit("Markers above the rest of the profile: "), "elevated", F.lit(". "))).otherwise(F.lit("No marker stands out from the profile. "))
+    low = F.when(F.col("reduced") != "", F.concat(F.when(some, "Markers below it: ").otherwise("The lowest ones: "), "reduced", F.lit(". "))).otherwise(F.lit(""))
+    state = F.coalesce(F.concat(F.lit("These tell a state and no lineage; use them to qualify the type only: "), "state", F.lit(". ")), F.lit("")) if "state" in described.columns else F.lit("")
     care = F.when(F.col("share_high") >= spillover, F.lit("Many markers are high at once; some may come from neighbouring cells. ")).otherwise(F.lit(""))
     gloss = F.coalesce(F.concat(F.lit("Markers: "), F.col("clause"), F.lit(". ")), F.lit("")) if "clause" in described.columns else F.lit("")
-    ask = F.lit('Name the most likely cell type; say "Unclassified" only where the markers fit none. Answer with JSON: {"cell_type": name, "confidence": number from 0 to 1}.')
-    return described.select("cluster", F.concat(F.lit(where + how), high, low, gloss, care, ask).alias("prompt"))
+    open_ = F.when(some, 'Name the most likely cell type; say "Unclassified" only where the markers contradict each other. ').otherwise('Name the most likely cell type if anything speaks for one, else say "Unclassified". ')
+    form = F.lit('Answer with JSON: {"cell_type": name, "confidence": number from 0 to 1}.')
+    return described.select("cluster", F.concat(F.lit(where + how), high, low, gloss, state, care, open_, form).alias("prompt"))
 
 
 def first_object(text: str | None) -> dict | None:

@@ -145,7 +145,21 @@ def template_gating_mixture(spark: SparkSession, sf: str) -> DataFrame:
 
 def prompt_elevated_reduced(spark: SparkSession, sf: str) -> DataFrame:
     """Markers that stand out in each cluster's profile."""
-    return expression.elevated_reduced(_levels(spark, sf))
+    return expression.elevated_reduced(_levels(spark, sf)).drop("up")
+
+
+def state_markers(spark: SparkSession, sf: str) -> DataFrame:
+    """Elevated markers of each cluster that report a state, with their role."""
+    up = expression.elevated_reduced(_levels(spark, sf)).select("cluster", F.explode("up").alias("marker"))
+    return annotation.state_clause(up)
+
+
+def ontology_prompts(spark: SparkSession, sf: str) -> DataFrame:
+    """Prompts that list each cluster's mean of every marker, with rules still to be filled in."""
+    panel = markers(spark, sf)
+    names_ = [r["marker"] for r in panel.orderBy("position").collect()]  # one row per marker
+    v = expression.marker_table(profiles(spark, sf), panel).join(F.broadcast(panel), "marker").withColumnRenamed("position", "place")
+    return annotation.listing_prompts(v, "cluster", annotation.ontology_text(names_), "means")
 
 
 def glossary_clause(spark: SparkSession, sf: str) -> DataFrame:
@@ -157,7 +171,9 @@ def glossary_clause(spark: SparkSession, sf: str) -> DataFrame:
 
 def cluster_prompts(spark: SparkSession, sf: str) -> DataFrame:
     """The prompt of each cluster."""
-    e = expression.elevated_reduced(_levels(spark, sf)).join(expression.cluster_signal(profiles(spark, sf)), "cluster")
+    e = materialize(expression.elevated_reduced(_levels(spark, sf)), "elevated")
+    state = annotation.state_clause(e.select("cluster", F.explode("up").alias("marker")))
+    e = e.join(state, "cluster", "left").join(expression.cluster_signal(profiles(spark, sf)), "cluster")
     return annotation.prompts(e, tissue="tonsil", scale="z-scores across clusters")
 
 
@@ -371,7 +387,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         qc_stats, qc_filter, normalize_lognorm, normalize_cp10k, normalize_cellvol, normalize_pearson, hvg_variance, cluster_heatmap_z, cluster_signal_qc, cluster_tabulation, marker_zscale, marker_de, marker_bh,
-        bh_adjustment, morans_i, ks_dplus, template_gating, template_gating_mixture, prompt_elevated_reduced, glossary_clause, cluster_prompts, annotated_clusters, vote_mode, harmonize_labels, json_extract, label_join_signal,
+        bh_adjustment, morans_i, ks_dplus, template_gating, template_gating_mixture, prompt_elevated_reduced, state_markers, ontology_prompts, glossary_clause, cluster_prompts, annotated_clusters, vote_mode, harmonize_labels, json_extract, label_join_signal,
         niche_composition, nearest_centroid, niche_frequency, assignment_summary, kmeans_neighborhoods, pca_variance, pca_scores, expression_knn, expression_snn, leiden_communities, resolution_sweep, shared_phenotypes, pair_grid_skips, pair_distance_histogram, pair_effect_sizes, pcf_summary, spatial_markers, pcf_curves,
         composition_by_condition, vocabulary_union, mask_disk_pixels, region_props, crop_boxes, name_functions,
     )
@@ -452,6 +468,17 @@ with {_HEAT}, q as (select cluster, quantile_cont(z, 0.9) as hi, quantile_cont(z
 select cluster, coalesce(string_agg(marker || '=' || printf('%+.2f', z), ', ' order by z desc, marker) filter (where z > hi and z >= 0.5), '') as elevated,
   coalesce(string_agg(marker || '=' || printf('%+.2f', z), ', ' order by z, marker) filter (where z < lo), '') as reduced
 from heat join q using (cluster) group by 1""",
+    "state_markers": f"""
+with {_HEAT}, q as (select cluster, quantile_cont(z, 0.9) as hi from heat group by 1),
+up as (select cluster, marker, upper(regexp_replace(marker, '[^A-Za-z0-9]', '', 'g')) as key from heat join q using (cluster) where z > hi and z >= 0.5),
+roles as (select * from (values {", ".join(f"({i}, '{r}', '{m}')" for i, (r, of) in enumerate(annotation.STATE_ROLES.items()) for m in of)}) t(place, role, key))
+select cluster, string_agg(marker || ' (' || role || ')', ', ' order by place, marker) as state from up join roles using (key) group by 1""",
+    "ontology_prompts": f"""
+with {PROFILES}, long as (select cluster, unnest(e) as v, unnest(range(32)) as position from profiles),
+m as (select cluster, position, avg(v) as v from long group by 1, 2),
+rules as (select string_agg(marker || '+ -> ?', ' | ' order by position) || ' | Other -> Other' as rules from features)
+select cluster, 'Markers (means): ' || string_agg(marker || '=' || printf('%.3f', m.v), ', ' order by position) || '. Choose the type by these rules: ' || any_value(rules) || '.' as prompt
+from m join features using (position) cross join rules group by 1""",
     "glossary_clause": """
 with g as (select upper(regexp_replace(short_label, '[^A-Za-z0-9]', '', 'g')) as key, label as gloss from canonical_labels where short_label is not null),
 p as (select distinct cluster_id as cluster, "Phenotype" as marker, upper(regexp_replace("Phenotype", '[^A-Za-z0-9]', '', 'g')) as key from gemma_predictions where cluster_id is not null and "Phenotype" is not null),
