@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessella.functions import names, numeric
-from tessella.operators import annotation, communities, components, expression, gating, neighbours, niche, pcf, ranks, raster
+from tessella.operators import annotation, communities, components, expression, gating, neighbours, niche, pcf, ranks, raster, selection
 from tessella.operators.proximity import finite
 from tessella.plans.bindings import CELLS, COUNTED_CELLS, COUNTS, PROFILES, cells, counted_cells, counts, markers, profiles
 from tessella.plans.spatial_queries import RADII, _knn
@@ -302,6 +302,24 @@ def resolution_sweep(spark: SparkSession, sf: str) -> DataFrame:
     return communities.resolution_sweep(e, [0.25, 1.0])[0].groupBy("resolution", "community").agg(F.count(F.lit(1)).alias("n"))
 
 
+# --- choosing rows
+def single_type_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Deliveries whose phenotype names exactly one of the two lineages."""
+    c = table(spark, sf, "cell_seg_data")
+    return c.where(selection.matches_one(F.col("Phenotype"), ["T Cell", "CD8"])).select("cell_key", F.col("Phenotype").alias("phenotype"))
+
+
+def recoded_types(spark: SparkSession, sf: str) -> DataFrame:
+    """Cells by target type; those of none are counted as else."""
+    t = selection.recoded(F.col("celltype"), ["T Cell", "CD8 T Cell", "Tumor"])
+    return cells(spark, sf).groupBy(F.col("g").alias("sample"), t.alias("target")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def sample_conditions(spark: SparkSession, sf: str) -> DataFrame:
+    """The first filled condition of each sample, by time of registration."""
+    return selection.first_filled(table(spark, sf, "sample_manifest"), "sample_id", "condition", ["registered_at"])
+
+
 # --- sets, pairs of types, curves
 def shared_phenotypes(spark: SparkSession, sf: str) -> DataFrame:
     """Types found in every sample."""
@@ -386,7 +404,7 @@ def name_functions(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        qc_stats, qc_filter, normalize_lognorm, normalize_cp10k, normalize_cellvol, normalize_pearson, hvg_variance, cluster_heatmap_z, cluster_signal_qc, cluster_tabulation, marker_zscale, marker_de, marker_bh,
+        single_type_rows, recoded_types, sample_conditions, qc_stats, qc_filter, normalize_lognorm, normalize_cp10k, normalize_cellvol, normalize_pearson, hvg_variance, cluster_heatmap_z, cluster_signal_qc, cluster_tabulation, marker_zscale, marker_de, marker_bh,
         bh_adjustment, morans_i, ks_dplus, template_gating, template_gating_mixture, prompt_elevated_reduced, state_markers, ontology_prompts, glossary_clause, cluster_prompts, annotated_clusters, vote_mode, harmonize_labels, json_extract, label_join_signal,
         niche_composition, nearest_centroid, niche_frequency, assignment_summary, kmeans_neighborhoods, pca_variance, pca_scores, expression_knn, expression_snn, leiden_communities, resolution_sweep, shared_phenotypes, pair_grid_skips, pair_distance_histogram, pair_effect_sizes, pcf_summary, spatial_markers, pcf_curves,
         composition_by_condition, vocabulary_union, mask_disk_pixels, region_props, crop_boxes, name_functions,
@@ -468,6 +486,13 @@ with {_HEAT}, q as (select cluster, quantile_cont(z, 0.9) as hi, quantile_cont(z
 select cluster, coalesce(string_agg(marker || '=' || printf('%+.2f', z), ', ' order by z desc, marker) filter (where z > hi and z >= 0.5), '') as elevated,
   coalesce(string_agg(marker || '=' || printf('%+.2f', z), ', ' order by z, marker) filter (where z < lo), '') as reduced
 from heat join q using (cluster) group by 1""",
+    "single_type_rows": """
+select cell_key, "Phenotype" as phenotype from cell_seg_data where (contains("Phenotype", 'T Cell'))::int + (contains("Phenotype", 'CD8'))::int = 1""",
+    "recoded_types": f"""
+with {CELLS} select g as sample, case when contains(celltype, 'Tumor') then 'Tumor' when contains(celltype, 'CD8 T Cell') then 'CD8 T Cell' when contains(celltype, 'T Cell') then 'T Cell' else 'else' end as target, count(*) as n
+from cells group by 1, 2""",
+    "sample_conditions": """
+select sample_id, arg_min(trim(condition), (registered_at, condition)) as condition from sample_manifest where trim(condition) <> '' and sample_id is not null group by 1""",
     "state_markers": f"""
 with {_HEAT}, q as (select cluster, quantile_cont(z, 0.9) as hi from heat group by 1),
 up as (select cluster, marker, upper(regexp_replace(marker, '[^A-Za-z0-9]', '', 'g')) as key from heat join q using (cluster) where z > hi and z >= 0.5),
