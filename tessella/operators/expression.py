@@ -117,11 +117,11 @@ def scale_kind(long: DataFrame) -> DataFrame:
     return per.agg(F.when(z, "z-scores").when(F.min("low") < -0.05, "centred").otherwise("transformed").alias("scale"))
 
 
-def elevated_reduced(profile: DataFrame, min_z: float = 0.5, high: float = 0.9, low: float = 0.1) -> DataFrame:
+def elevated_reduced(profile: DataFrame, min_z: float = 0.5, high: float = 0.9, low: float = 0.1, names: bool = False) -> DataFrame:
     """By cluster, markers above the 90th percentile of its profile and at least ``min_z``, and those below the 10th.
 
     ``profile`` has ``cluster, marker, z``; elevated ones come from the highest, reduced ones from the lowest.
-    ``up`` holds the elevated markers' names.
+    With ``names`` a further column ``up`` holds the elevated markers' names.
     """
     q = profile.groupBy("cluster").agg(F.percentile("z", F.array(F.lit(high), F.lit(low))).alias("q"))
     p = profile.join(q, "cluster")
@@ -129,4 +129,5 @@ def elevated_reduced(profile: DataFrame, min_z: float = 0.5, high: float = 0.9,
     down = F.when(F.col("z") < F.col("q")[1], F.struct(F.col("z").alias("by"), "marker", "z"))
     out = p.groupBy("cluster").agg(F.sort_array(F.collect_list(up)).alias("up"), F.sort_array(F.collect_list(down)).alias("down"))  # a panel of markers each
     text = lambda c: F.array_join(F.transform(c, lambda m: F.concat(m["marker"], F.lit("="), F.format_string("%+.2f", m["z"]))), ", ")
-    return out.select("cluster", text("up").alias("elevated"), text("down").alias("reduced"), F.transform("up", lambda m: m["marker"]).alias("up"))
+    more = [F.transform("up", lambda m: m["marker"]).alias("up")] if names else []
+    return out.select("cluster", text("up").alias("elevated"), text("down").alias("reduced"), *more)

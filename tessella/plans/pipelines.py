@@ -146,7 +146,7 @@ def run_annotation(profiles: DataFrame, panel: DataFrame, model: annotation.Mode
     """Clusters labelled by a language model: prompts, answers with retries and votes, labels of all cells."""
     heat = expression.cluster_heatmap(expression.marker_table(profiles, panel)).select("cluster", "marker", "z")
     signal = expression.cluster_signal(profiles)
-    described = materialize(expression.elevated_reduced(heat), "elevated")
+    described = materialize(expression.elevated_reduced(heat, names=True), "elevated")
     state = annotation.state_clause(described.select("cluster", F.explode("up").alias("marker")))
     asked = materialize(annotation.prompts(described.join(state, "cluster", "left").join(signal, "cluster"), tissue), "prompts")
     answers = materialize(annotation.retry_failed(annotation.ask(asked, model), model, retry), "answers")

@@ -145,12 +145,12 @@ def template_gating_mixture(spark: SparkSession, sf: str) -> DataFrame:
 
 def prompt_elevated_reduced(spark: SparkSession, sf: str) -> DataFrame:
     """Markers that stand out in each cluster's profile."""
-    return expression.elevated_reduced(_levels(spark, sf)).drop("up")
+    return expression.elevated_reduced(_levels(spark, sf))
 
 
 def state_markers(spark: SparkSession, sf: str) -> DataFrame:
     """Elevated markers of each cluster that report a state, with their role."""
-    up = expression.elevated_reduced(_levels(spark, sf)).select("cluster", F.explode("up").alias("marker"))
+    up = expression.elevated_reduced(_levels(spark, sf), names=True).select("cluster", F.explode("up").alias("marker"))
     return annotation.state_clause(up)
 
 
@@ -171,7 +171,7 @@ def glossary_clause(spark: SparkSession, sf: str) -> DataFrame:
 
 def cluster_prompts(spark: SparkSession, sf: str) -> DataFrame:
     """The prompt of each cluster."""
-    e = materialize(expression.elevated_reduced(_levels(spark, sf)), "elevated")
+    e = materialize(expression.elevated_reduced(_levels(spark, sf), names=True), "elevated")
     state = annotation.state_clause(e.select("cluster", F.explode("up").alias("marker")))
     e = e.join(state, "cluster", "left").join(expression.cluster_signal(profiles(spark, sf)), "cluster")
     return annotation.prompts(e, tissue="tonsil", scale="z-scores across clusters")
