@@ -36,7 +36,9 @@ def group_rank_sums(values: DataFrame, sizes: DataFrame, min_group: int = 3) ->
     # A gene's distinct values, in order: ranks before each.
     before = F.sum("t").over(Window.partitionBy("gene").orderBy("value")) - F.col("t")
     ranked = tied.withColumn("rank", before + (F.col("t") + 1) / 2.0)
-    ties = ranked.groupBy("gene").agg(F.sum(F.col("t") * F.col("t") * F.col("t") - F.col("t")).cast("double").alias("ties"))
+    # Cubes of counts: a bigint holds those up to two million cells, a decimal those up to 10^12, and exactly.
+    cube = lambda c: (t := F.col(c).cast("decimal(12,0)")) * t * t - t
+    ties = ranked.groupBy("gene").agg(F.sum(cube("t")).alias("ties"))
     both = runs.join(ranked.select("gene", "value", "rank"), ["gene", "value"])
     g = both.groupBy("gene", "grp").agg(F.sum(F.col("c") * F.col("rank")).alias("r1"), F.sum(F.col("c") * F.col("value")).alias("s1"), F.sum(F.when(F.col("value") > 0, F.col("c")).otherwise(0)).alias("p1"))
     w = Window.partitionBy("gene")
@@ -44,7 +46,7 @@ def group_rank_sums(values: DataFrame, sizes: DataFrame, min_group: int = 3) ->
     g = g.where((F.col("n1") >= min_group) & (F.col("n2") >= min_group))
     u = F.col("r1") - F.col("n1") * (F.col("n1") + 1) / 2.0
     n = F.col("all").cast("double")
-    var = F.col("n1") * F.col("n2") / 12.0 * ((n + 1) - F.col("ties") / (n * (n - 1)))
+    var = F.col("n1") * F.col("n2") / 12.0 * ((cube("all") - F.col("ties")).cast("double") / (n * (n - 1)))
     off = u - F.col("n1") * F.col("n2") / 2.0
     z = F.when(var > 0, (off - F.signum(off) * 0.5) / F.sqrt(var))
     return g.select(

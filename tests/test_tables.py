@@ -45,6 +45,18 @@ def test_rank_sums_equal_dense_ranks(spark):
         assert r["u"] == pytest.approx(u) and r["mean1"] == pytest.approx(v[m].mean()) and r["pct2"] == pytest.approx((v[~m] > 0).mean())
 
 
+def test_rank_sums_of_millions_of_zeros(spark):
+    values = spark.createDataFrame([(1, "a", "g", 2.0), (2, "a", "g", 2.0), (3, "b", "g", 5.0), (4, "b", "flat", 0.0)], "cell long, grp string, gene string, value double")
+    sizes = spark.createDataFrame([("a", 4_000_000), ("b", 5_000_000)], "grp string, n long")
+    found = {(r["gene"], r["grp"]): r for r in ranks.group_rank_sums(values, sizes).collect()}
+    n, n1, n2, zeros = 9_000_000, 4_000_000, 5_000_000, 8_999_997
+    r1 = (n1 - 2) * (zeros + 1) / 2 + 2 * (zeros + 1.5)
+    off = r1 - n1 * (n1 + 1) / 2 - n1 * n2 / 2
+    spread = n**3 - n - (zeros**3 - zeros) - (2**3 - 2)
+    assert found["g", "a"]["z"] == pytest.approx((off - math.copysign(0.5, off)) / math.sqrt(n1 * n2 / 12 * (spread / (n * (n - 1)))))
+    assert found["g", "b"]["z"] == pytest.approx(-found["g", "a"]["z"]) and found["flat", "a"]["z"] is None
+
+
 def test_elevated_and_reduced(spark):
     z = [3.4, 1.75, 1.2, 0.6, 0.1, -0.1, -0.2, -0.5, -0.9, -1.4]
     df = spark.createDataFrame([("c", f"m{i}", v) for i, v in enumerate(z)], "cluster string, marker string, z double")
