@@ -4,15 +4,19 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
+from pyarrow import parquet
+from pyarrow.fs import FileSystem
 from pyspark.ml.feature import PCA, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessella.session import materialize
+from tessella.session import drop, materialize
 
 
 def gene_vectors(values: DataFrame, genes: DataFrame) -> DataFrame:
@@ -39,22 +43,98 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum((a * a).sum(1)[:, None] - 2 * a @ b.T + (b * b).sum(1)[None, :], 0))
 
 
-def _nearest_rows(q: np.ndarray, x: np.ndarray, own: np.ndarray | None, keys: np.ndarray, k: int, most: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row of the query, place and exact distance of its ``k`` nearest rows of ``x`` that are not farther than ``most``."""
-    rows, places, dist = [np.zeros(0, int)], [np.zeros(0, int)], [np.zeros(0)]
-    for at in range(0, len(q), step := max(1, 1_000_000 // max(1, len(x)))):
-        d = _distances(q[at : at + step], x)
-        if own is not None:
-            d[np.arange(len(d)), own[at : at + step]] = np.inf
-        limit = np.partition(d, k - 1, axis=1)[:, k - 1] if len(x) > k else np.full(len(d), 1e300)
-        # The product's rounding must not decide ties: a little more is taken and measured again.
-        r, c = np.nonzero(d <= (np.minimum(np.minimum(limit, most[at : at + step]), 1e300) * (1 + 1e-6) + 1e-6)[:, None])
-        rows.append(r + at), places.append(c), dist.append(np.sqrt(((q[r + at] - x[c]) ** 2).sum(1)))
-    rows, places, dist = np.concatenate(rows), np.concatenate(places), np.concatenate(dist)
-    order = np.lexsort((keys[places], dist, rows))
-    rows, places, dist = rows[order], places[order], dist[order]
-    first = np.arange(len(rows)) - np.searchsorted(rows, rows) < k
-    return rows[first], places[first], dist[first]
+class _Tiles:
+    """Vectors in tiles of near ones: row ``i`` of tile ``t`` stands at ``starts[t] + i``."""
+
+    def __init__(self, keys: np.ndarray, x: np.ndarray, starts: np.ndarray, centres: np.ndarray):
+        self.keys, self.x, self.starts, self.centres = keys, x, starts, centres
+
+    def prepare(self) -> _Tiles:
+        """Each tile's middle and radius, and vectors in single precision, once in each process."""
+        if not hasattr(self, "middle"):
+            spans = [slice(a, b) for a, b in zip(self.starts[:-1], self.starts[1:])]
+            self.middle = np.array([self.x[s].mean(0) for s in spans])
+            self.radius = np.array([np.sqrt(((self.x[s] - m) ** 2).sum(1).max()) for s, m in zip(spans, self.middle)]) * (1 + 1e-9)
+            self.shift = self.middle.mean(0)
+            self.narrow = []
+            for s in spans:
+                y = self.x[s] - self.shift
+                n = (y * y).sum(1)
+                self.narrow.append((np.ascontiguousarray(np.column_stack([y, n, np.ones(len(y))]).T.astype("float32")), n.max()))
+        return self
+
+
+@lru_cache(1)
+def _read_tiles(files: tuple[str, ...], width: int) -> _Tiles:
+    """The tiles in files of the scratch folder, in order; the last ones read stay in the process."""
+    keys, x, centres = [], [], []
+    for f in files:
+        store, path = FileSystem.from_uri(f.replace("s3a://", "s3://", 1))
+        t = parquet.read_table(path, filesystem=store)
+        keys += [v.values.to_numpy(zero_copy_only=False) for v in t["keys"]]
+        x += [v.values.to_numpy().reshape(-1, width) for v in t["v"]]
+        centres.append(t["centre"].to_numpy())
+    return _Tiles(np.concatenate(keys), np.concatenate(x), np.cumsum([0, *map(len, keys)]), np.concatenate(centres))
+
+
+def _merged(dist: np.ndarray, near: np.ndarray, r: np.ndarray, d: np.ndarray, keys: np.ndarray) -> None:
+    """Puts found rows, distances and keys into the lists of each row, which stay sorted by distance and key."""
+    k, some = dist.shape[1], np.unique(r)
+    rows, d, keys = np.concatenate([np.repeat(some, k), r]), np.concatenate([dist[some].ravel(), d]), np.concatenate([near[some].ravel(), keys])
+    order = np.lexsort((keys, d))
+    order = order[np.argsort(rows[order].astype("uint16" if some[-1] < 65536 else "int64"), kind="stable")]  # of few bits, as they are for tiles: not compared but counted
+    rows = rows[order]
+    order = order[np.arange(len(rows)) - np.searchsorted(rows, rows) < k]
+    dist[some], near[some] = d[order].reshape(-1, k), keys[order].reshape(-1, k)
+
+
+def _search(q: np.ndarray, qkeys: np.ndarray, dist: np.ndarray, near: np.ndarray, tiles: _Tiles, allowed: np.ndarray | None) -> None:
+    """Improves the nearest keys ``near`` and distances ``dist`` (infinite where there is none yet) of queries by the tiles' vectors.
+
+    Tiles are asked from the nearest on, and only where the triangle inequality lets them hold a nearer vector than
+    those found. Products are made in single precision; what they leave, with a margin for their rounding, is measured
+    exactly. Where the margin would not be small against the distances, products are made in double precision.
+    """
+    k, y = dist.shape[1], q - tiles.shift
+    low = _distances(q, tiles.middle) - tiles.radius
+    norm = (y * y).sum(1)
+    wide = np.column_stack([-2 * y, np.ones(len(y)), norm])
+    with np.errstate(over="ignore"):
+        slim = wide.astype("float32")
+    widest = int(np.diff(tiles.starts).max())
+    product, close = np.empty(512 * widest, "float32"), np.empty(512 * widest, bool)  # used again and again: fresh memory costs as much as the product
+    waiting, held = [], 0
+    for t in np.argsort(low.min(0), kind="stable"):
+        ask = low[:, t] <= dist[:, -1] * (1 + 1e-9) + 1e-6
+        if allowed is not None:
+            ask &= allowed[:, t]
+        asking = np.flatnonzero(ask)
+        (other, most), x, keys = tiles.narrow[t], tiles.x[tiles.starts[t] : tiles.starts[t + 1]], tiles.keys[tiles.starts[t] : tiles.starts[t + 1]]
+        for at in range(0, len(asking), 512):
+            i = asking[at : at + 512]
+            limit, size = dist[i, -1] ** 2, norm[i] + most
+            exact = not (2e-5 * size.max() < 0.1 * limit.mean() and size.max() < 1e30)
+            if exact:
+                z = x - tiles.shift
+                d = wide[i] @ np.column_stack([z, (z * z).sum(1), np.ones(len(z))]).T
+            else:
+                d = np.matmul(slim[i], other, out=product[: len(i) * len(keys)].reshape(len(i), -1))
+            margin = (1e-12 if exact else 2e-5) * size
+            if len(keys) > k + 1 and not np.isfinite(limit).all():
+                limit = np.minimum(limit, np.partition(d, k, axis=1)[:, k])  # one of the k + 1 least may be the query itself
+            within = np.less_equal(d, np.minimum(limit + margin, np.finfo(d.dtype).max)[:, None].astype(d.dtype), out=close[: d.size].reshape(d.shape))
+            r, c = np.divmod(np.flatnonzero(within), len(keys))
+            r = i[r]
+            other_one = keys[c] != qkeys[r]
+            r, c = r[other_one], c[other_one]
+            if len(r):
+                waiting.append((r, np.sqrt(((q[r] - x[c]) ** 2).sum(1)), keys[c]))
+                held += len(r)
+        if held and (held > 16 * len(q) or np.isinf(dist[asking, -1]).any()):
+            _merged(dist, near, *map(np.concatenate, zip(*waiting)))
+            waiting, held = [], 0
+    if held:
+        _merged(dist, near, *map(np.concatenate, zip(*waiting)))
 
 
 def _centres(vectors: DataFrame, n: int, count: int, seed: int) -> np.ndarray:
@@ -72,67 +152,79 @@ def _centres(vectors: DataFrame, n: int, count: int, seed: int) -> np.ndarray:
     return c
 
 
-def nearest_vectors(vectors: DataFrame, k: int, probes: int | None = None, block: int = 4096, most_centres: int = 4096, seed: int = 0) -> DataFrame:
+def nearest_vectors(vectors: DataFrame, k: int, probes: int | None = None, block: int = 1024, most_centres: int = 4096, chunk_bytes: int = 128 << 20, seed: int = 0) -> DataFrame:
     """The ``k`` nearest other vectors (Euclidean) of each: ``src, dst, d, rank`` (ties by ``dst``).
 
     ``vectors`` has ``k, v`` with unique keys and finite values of one length. Vectors are filed by the nearest of
-    about sqrt(n) centres, full ones in parts of ``block`` rows. A vector's neighbours in its own part bound the
-    true ones; by the triangle inequality it asks only the parts whose radius reaches into that bound, so the result
-    is exact. Where dimensions are many, that can be most parts: ``probes`` asks just the parts of so many nearest
-    centres, with a recall to be measured.
+    about sqrt(n) centres and packed in tiles of up to ``block`` rows. Chunks of tiles of at most ``chunk_bytes`` are
+    broadcast, one by one; tasks take tiles of queries and ask all tiles but those that the triangle inequality rules
+    out, so the result is exact. Where dimensions are many, that can be most tiles, and the work is quadratic:
+    ``probes`` asks just the tiles of so many nearest centres, with a recall to be measured.
     """
     spark, kind = vectors.sparkSession, vectors.schema["k"].dataType.simpleString()
     vectors = materialize(vectors.select("k", "v"), "vectors")
     n = vectors.count()
     if n < 2:
         return spark.createDataFrame([], f"src {kind}, dst {kind}, d double, rank int")
-    block = max(block, n // 200_000)
-    centres = spark.sparkContext.broadcast(_centres(vectors, n, min(most_centres, max(1, math.isqrt(n) // 2)), seed))
+    tasks = 4 * spark.sparkContext.defaultParallelism
+    found = _centres(vectors, n, min(most_centres, max(1, math.isqrt(n) // 2)), seed)
+    # Centres in the order of their longest direction, so that neighbouring tiles are near each other.
+    found = found[np.argsort((found - found.mean(0)) @ np.linalg.svd(found - found.mean(0), full_matrices=False)[2][0], kind="stable")]
+    centres, width = spark.sparkContext.broadcast(found), found.shape[1]
 
     def file(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             if len(pdf):
-                d = _distances(np.array(pdf.v.tolist(), float), centres.value)
-                yield pdf.assign(centre=d.argmin(1).astype("int32"), off=d.min(1))
-
-    filed = materialize(vectors.mapInPandas(file, f"k {kind}, v array<double>, centre int, off double"), "filed")
-    sizes = filed.groupBy("centre").agg(F.count(F.lit(1)).alias("held")).withColumn("parts", F.ceil(F.col("held") / block).cast("int"))  # one row a centre
-    filed = filed.join(F.broadcast(sizes.select("centre", "parts")), "centre").withColumn("part", F.pmod(F.xxhash64("k"), F.col("parts")).cast("int"))
-    filed = materialize(filed.drop("parts"), "parts")
-    parts = filed.groupBy("centre", "part").agg(F.max("off").alias("radius")).orderBy("centre", "part").toPandas()  # centres + n / block rows
-    listed = spark.sparkContext.broadcast((parts.centre.to_numpy(), parts.part.to_numpy(), parts.radius.to_numpy()))
-
-    def within(pdf: pd.DataFrame) -> pd.DataFrame:
-        x, keys = np.array(pdf.v.tolist(), float), pdf.k.to_numpy()
-        r, c, d = _nearest_rows(x, x, np.arange(len(x)), keys, k, np.full(len(x), np.inf))
-        cut = np.searchsorted(r, np.arange(1, len(x)))
-        near, far = np.split(keys[c], cut), np.split(d, cut)
-        reach = np.array([f[-1] if len(f) >= k else np.inf for f in far])
-        own, (pc, pp, pr) = (int(pdf.centre.iloc[0]), int(pdf.part.iloc[0])), listed.value
-        to = []
-        for at in range(0, len(x), 512):
-            from_centre = _distances(x[at : at + 512], centres.value)
-            ask = (from_centre[:, pc] - pr[None, :]) <= reach[at : at + 512, None] * (1 + 1e-9) + 1e-6
-            if probes is not None and probes < from_centre.shape[1]:
-                ask &= (from_centre <= np.partition(from_centre, probes - 1, axis=1)[:, probes - 1 : probes])[:, pc]
-            ask &= ~((pc == own[0]) & (pp == own[1]))[None, :]
-            to += [np.flatnonzero(a) for a in ask]
-        return pd.DataFrame({"k": keys, "v": pdf.v.to_numpy(), "dst": pd.Series(near, dtype=object), "d": pd.Series(far, dtype=object), "reach": reach, "to": pd.Series(to, dtype=object)})
-
-    asked = materialize(filed.groupBy("centre", "part").applyInPandas(within, f"k {kind}, v array<double>, dst array<{kind}>, d array<double>, reach double, to array<bigint>"), "asked")
-    numbered = spark.createDataFrame([(i, int(c), int(p)) for i, (c, p) in enumerate(zip(parts.centre, parts.part))], "number bigint, centre int, part int")
-    held = filed.join(F.broadcast(numbered), ["centre", "part"]).select("number", "k", "v")  # as many rows as parts
-    queries = asked.select("k", "v", "reach", F.explode("to").alias("number"))
-
-    def answer(asking: pd.DataFrame, there: pd.DataFrame) -> pd.DataFrame:
-        if not len(asking) or not len(there):
-            return pd.DataFrame({"k": asking.k[:0], "dst": pd.Series([], dtype=object), "d": pd.Series([], dtype=object)})
-        keys = there.k.to_numpy()
-        r, c, d = _nearest_rows(np.array(asking.v.tolist(), float), np.array(there.v.tolist(), float), None, keys, k, asking.reach.to_numpy())
-        some, at = np.unique(r, return_index=True)
-        return pd.DataFrame({"k": asking.k.to_numpy()[some], "dst": pd.Series(np.split(keys[c], at[1:]) if len(some) else [], dtype=object), "d": pd.Series(np.split(d, at[1:]) if len(some) else [], dtype=object)})
-
-    found = F.arrays_zip("d", "dst").alias("near")
-    more = queries.groupBy("number").cogroup(held.groupBy("number")).applyInPandas(answer, f"k {kind}, dst array<{kind}>, d array<double>").select("k", found)
-    merged = asked.select("k", found).unionByName(more).groupBy("k").agg(F.slice(F.array_sort(F.flatten(F.collect_list("near"))), 1, k).alias("near"))  # k from each part asked
-    return merged.select(F.col("k").alias("src"), F.posexplode("near").alias("at", "near")).select("src", "near.dst", "near.d", (F.col("at") + 1).alias("rank"))
+                yield pdf.assign(centre=_distances(np.array(pdf.v.tolist(), float), centres.value).argmin(1).astype("int32"))
+
+    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        kept = None
+        for pdf in chain(batches, [None]):
+            whole = kept if pdf is None else pdf if kept is None else pd.concat([kept, pdf], ignore_index=True)
+            if whole is None or not len(whole):
+                continue
+            cuts = [0, *(np.flatnonzero(whole.centre.to_numpy()[1:] != whole.centre.to_numpy()[:-1]) + 1), len(whole)]
+            spans = [(i, min(i + block, b)) for a, b in zip(cuts[:-1], cuts[1:]) for i in range(a, b, block)]
+            kept = None if pdf is None else whole.iloc[spans.pop()[0] :]
+            if spans:
+                yield pd.DataFrame({"centre": [whole.centre.iloc[a] for a, _ in spans], "keys": pd.Series([whole.k.to_numpy()[a:b] for a, b in spans], dtype=object), "v": pd.Series([np.array(whole.v.iloc[a:b].tolist(), float).ravel() for a, b in spans], dtype=object)})
+
+    placed = vectors.mapInPandas(file, f"k {kind}, v array<double>, centre int").repartition(tasks, "centre").sortWithinPartitions("centre", "k")
+    packed = materialize(placed.mapInPandas(pack, f"centre int, keys array<{kind}>, v array<double>"), "tiles")
+    drop(vectors)
+    # Scratch files are on a disk that all executors share: tasks read chunks of tiles from there, so nothing is broadcast.
+    most, chunks, held, places = max(1, chunk_bytes // (8 * width)), [[]], 0, []
+    listed = packed.select(F.input_file_name().alias("file"), F.size("keys").alias("rows"), F.monotonically_increasing_id().alias("at")).orderBy("file", "at").collect()  # centres + n / block rows
+    for r in listed:
+        if r["file"] not in chunks[-1]:
+            if held and held + sum(x["rows"] for x in listed if x["file"] == r["file"]) > most:
+                chunks.append([])
+                held = 0
+            chunks[-1].append(r["file"])
+        held += r["rows"]
+        places.append((r["file"], places[-1][1] + 1 if places and places[-1][0] == r["file"] else 0))
+
+    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        mine = [places[i] for pdf in batches for i in pdf.id]
+        asking = []
+        for f in dict.fromkeys(f for f, _ in mine):
+            own = _read_tiles((f,), width)
+            for i in (i for g, i in mine if g == f):
+                at = slice(own.starts[i], own.starts[i + 1])
+                q, keys = own.x[at], own.keys[at]
+                asking.append((own.centres[i], q, keys, np.full((len(q), k), np.inf), np.repeat(keys, k).reshape(-1, k)))
+        for files in chunks:
+            if asking:
+                tiles = _read_tiles(tuple(files), width).prepare()
+            for centre, q, keys, dist, near in asking:
+                allowed = None
+                if probes is not None and probes < len(centres.value):
+                    away = _distances(q, centres.value)
+                    allowed = (away <= np.partition(away, probes - 1, axis=1)[:, probes - 1 : probes])[:, tiles.centres] | (tiles.centres == centre)
+                _search(q, keys, dist, near, tiles, allowed)
+        for _, _, keys, dist, near in asking:
+            there = np.isfinite(dist).ravel()
+            yield pd.DataFrame({"src": np.repeat(keys, k)[there], "dst": near.ravel()[there], "d": dist.ravel()[there], "rank": np.tile(np.arange(1, k + 1, dtype="int32"), len(keys))[there]})
+
+    found = spark.range(0, len(places), 1, tasks).mapInPandas(search, f"src {kind}, dst {kind}, d double, rank int")
+    return materialize(found, "nearest")  # searched once, however often it is read

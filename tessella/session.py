@@ -62,6 +62,12 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop(df: DataFrame) -> None:
+    """Removes the files of a materialized table that nothing reads any more."""
+    for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        _remove(df.sparkSession, path)
+
+
 def broadcast_if_small(df: DataFrame, most_bytes: int = 32 << 20) -> DataFrame:
     """``df`` marked for broadcast if its rows measure at most ``most_bytes``, else as it is.
 

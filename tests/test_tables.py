@@ -105,6 +105,21 @@ def test_nearest_vectors_equal_brute_force(spark, block, rows):
     assert components.nearest_vectors(spark.createDataFrame([], "k long, v array<double>"), 4).count() == 0
 
 
+def test_nearest_vectors_over_chunks_copies_and_names(spark):
+    rng = np.random.default_rng(8)
+    x = np.round(rng.normal(size=(300, 6)) * rng.choice([1, 3], 300)[:, None], 1)
+    x[:15], x[15:18] = x[0], 1e7 + x[15:18]  # more copies than neighbours; some far off, where single precision tells nothing
+    keys = [f"v{i:03}" for i in range(300)]
+    df = spark.createDataFrame([(n, v.tolist()) for n, v in zip(keys, x)], "k string, v array<double>")
+    got = {(r["src"], r["rank"]): (r["dst"], r["d"]) for r in components.nearest_vectors(df, 5, block=16, chunk_bytes=100 * 6 * 8).collect()}
+    assert len(got) == 300 * 5
+    for i in range(300):
+        near = sorted((float(np.sqrt(((x[i] - x[j]) ** 2).sum())), keys[j]) for j in range(300) if j != i)[:5]
+        assert [got[keys[i], p + 1] for p in range(5)] == [(j, d) for d, j in near]
+    some = components.nearest_vectors(df, 5, block=16, chunk_bytes=100 * 6 * 8, probes=1).collect()
+    assert 0 < sum(got[r["src"], r["rank"]] == (r["dst"], r["d"]) for r in some) < 300 * 5
+
+
 def test_component_scores(spark):
     rng = np.random.default_rng(7)
     x = rng.normal(size=(50, 4)) @ rng.normal(size=(4, 4))
