@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessella.operators.order import running_sums
@@ -41,14 +47,126 @@ def _moves(edges: DataFrame, sizes: DataFrame, resolution: float, rounds: int, o
     return labels.select("k", "c")
 
 
-def connected_parts(edges: DataFrame, labels: DataFrame) -> DataFrame:
+#: Edges up to which one task holds the graph and moves its nodes by itself; it takes about 150 bytes an edge.
+MOST_LOCAL = 4_000_000
+#: Resolutions of a sweep that are tried at the same time.
+SIDE_BY_SIDE = 2
+
+
+def _moves_of(src: np.ndarray, dst: np.ndarray, weight: np.ndarray, turn: np.ndarray, size: np.ndarray, resolution: float, rounds: int, objective: str) -> np.ndarray:
+    """As ``_moves``, over nodes 0, 1, ...: each one's community. Bit ``i`` of ``turn`` is the half of a node in rounds 2 ``i`` and 2 ``i`` + 1."""
+    n, apart = len(size), src != dst
+    a, b, w = np.concatenate([src[apart], dst[apart]]), np.concatenate([dst[apart], src[apart]]), np.concatenate([weight[apart]] * 2)
+    deg = size.astype(float)
+    if objective == "modularity":
+        deg = np.bincount(a, w, n) + np.bincount(src[~apart], 2 * weight[~apart], n)
+    total = (deg.sum() or 1.0) if objective == "modularity" else 1.0
+    own, still, every = np.arange(n), 0, np.arange(n)
+    for i in range(rounds):
+        moving = ((turn >> (i // 2)) + i) % 2 == 0
+        tot = np.bincount(own, deg, n)
+        some = moving[a]
+        # Weight into each neighbouring community, and none into the own one.
+        key = np.concatenate([a[some] * n + own[b[some]], every[moving] * n + own[moving]])
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, int)
+        into = np.add.reduceat(np.concatenate([w[some], np.zeros(int(moving.sum()))])[order], first) if len(key) else np.zeros(0)
+        k, c = np.divmod(key[first], n)
+        stays = c == own[k]
+        gain = np.round(into - resolution * deg[k] * (tot[c] - np.where(stays, deg[k], 0.0)) / total, 12)
+        best = np.lexsort((-c, stays, gain, k))
+        last = best[np.concatenate([k[best][1:] != k[best][:-1], [True]])] if len(best) else best
+        now = own.copy()
+        now[k[last]] = c[last]
+        still = 0 if (now != own).any() else still + 1
+        own = now
+        if still == 2:
+            break
+    return own
+
+
+def _parts_of(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
+    """The smallest node that is connected with each of 0, 1, ..., by edges in both directions."""
+    name = np.arange(n)
+    while True:
+        before = name.copy()
+        np.minimum.at(name, a, before[b])
+        name = name[name]
+        if (name == before).all():
+            return name
+
+
+def _in_one_task(edges: DataFrame, more: list[str], make: Callable[[pd.DataFrame], tuple[np.ndarray, np.ndarray]]) -> DataFrame:
+    """``k, c`` that ``make`` finds of all edges, with further columns ``more``, in one task."""
+    kind = edges.schema["src"].dataType.simpleString()
+
+    def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = [pdf for pdf in batches if len(pdf)]
+        if rows:
+            k, c = make(pd.concat(rows, ignore_index=True))
+            yield pd.DataFrame({"k": k, "c": c})
+
+    return edges.select("src", "dst", *more).coalesce(1).mapInPandas(whole, f"k {kind}, c {kind}")
+
+
+def _levels_in_one_task(graph: DataFrame, sizes: DataFrame, resolution: float, rounds: int, levels: int, objective: str, split: bool) -> DataFrame:
+    """``k, c`` of all nodes after ``levels`` of moving and merging, in one task; with ``split``, connected parts of those."""
+
+    def turn(c: str) -> Column:
+        bits = [F.shiftleft(F.pmod(F.xxhash64(c, F.lit(i)), F.lit(2)), i) for i in range((rounds + 1) // 2)]
+        return reduce(lambda x, y: x.bitwiseOR(y), bits, F.lit(0).cast("bigint"))
+
+    g = graph.withColumns({"turn_s": turn("src"), "turn_d": turn("dst")})
+    if objective == "modularity":
+        g = g.withColumns({"size_s": F.lit(1), "size_d": F.lit(1)})
+    else:
+        g = g.join(sizes.select(F.col("k").alias("src"), F.col("size").alias("size_s")), "src").join(sizes.select(F.col("k").alias("dst"), F.col("size").alias("size_d")), "dst")
+
+    def make(e: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+        keys, at = np.unique(np.concatenate([e.src.to_numpy(), e.dst.to_numpy()]), return_index=True)
+        turns, size = np.concatenate([e.turn_s.to_numpy(), e.turn_d.to_numpy()])[at], np.concatenate([e.size_s.to_numpy(), e.size_d.to_numpy()])[at]
+        src, dst, weight, found, node = np.searchsorted(keys, e.src.to_numpy()), np.searchsorted(keys, e.dst.to_numpy()), e.weight.to_numpy(), np.arange(len(keys)), np.arange(len(keys))
+        whole_src, whole_dst = src, dst
+        del e
+        for _ in range(levels):
+            # ``node`` are the communities so far, by their place among all nodes; those of this level are numbered in order.
+            moved = node[_moves_of(src, dst, weight, turns[node], size, resolution, rounds, objective)]
+            found = moved[np.searchsorted(node, found)]
+            if (moved == node).all():
+                break
+            nxt = np.unique(moved)
+            to = np.searchsorted(nxt, moved)
+            s, d = to[src], to[dst]
+            pair, back = np.unique(np.minimum(s, d) * len(nxt) + np.maximum(s, d), return_inverse=True)
+            weight, size = np.bincount(back, weight, len(pair)), np.bincount(to, size, len(nxt)).astype("int64")
+            (src, dst), node = np.divmod(pair, len(nxt)), nxt
+        if split:
+            inside = found[whole_src] == found[whole_dst]
+            a, b = whole_src[inside], whole_dst[inside]
+            found = _parts_of(np.concatenate([a, b]), np.concatenate([b, a]), len(keys))
+        return keys, keys[found]
+
+    return _in_one_task(g, ["weight", "turn_s", "turn_d", "size_s", "size_d"], make)
+
+
+def connected_parts(edges: DataFrame, labels: DataFrame, most_local: int = MOST_LOCAL) -> DataFrame:
     """``k, c``: communities split into their connected parts, each named by its smallest node.
 
-    Every round a node takes the smallest name among itself and its neighbours of the same community.
+    Every round a node takes the smallest name among itself and its neighbours of the same community; up to
+    ``most_local`` edges that is one task's work.
     """
     a, b = labels.select(F.col("k").alias("src"), F.col("c").alias("s")), labels.select(F.col("k").alias("dst"), F.col("c").alias("d"))
     inside = edges.join(a, "src").join(b, "dst").where((F.col("s") == F.col("d")) & (F.col("src") != F.col("dst"))).select("src", "dst")
     inside = materialize(inside.union(inside.select("dst", "src")).distinct(), "inside")
+    if inside.count() <= 2 * most_local:
+
+        def make(e: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+            keys = np.unique(e.src.to_numpy())  # each edge is there in both directions
+            return keys, keys[_parts_of(np.searchsorted(keys, e.src.to_numpy()), np.searchsorted(keys, e.dst.to_numpy()), len(keys))]
+
+        linked = _in_one_task(inside, [], make)
+        return materialize(labels.select("k").join(linked, "k", "left").select("k", F.coalesce("c", "k").alias("c")), "names")
     names = labels.select("k", F.col("k").alias("c"))
     while True:
         seen = inside.join(names.select(F.col("k").alias("dst"), "c"), "dst").groupBy(F.col("src").alias("k")).agg(F.min("c").alias("near"))
@@ -60,29 +178,32 @@ def connected_parts(edges: DataFrame, labels: DataFrame) -> DataFrame:
             return names
 
 
-def communities(edges: DataFrame, resolution: float = 1.0, rounds: int = 12, levels: int = 10, objective: str = "modularity") -> DataFrame:
+def communities(edges: DataFrame, resolution: float = 1.0, rounds: int = 12, levels: int = 10, objective: str = "modularity", most_local: int = MOST_LOCAL) -> DataFrame:
     """``k, community`` of the nodes of ``src, dst, weight`` (keys are numbers), from 1 for the largest community.
 
     ``objective`` is ``modularity`` or ``cpm`` (constant Potts: a community's inner weight against ``resolution`` times
     its pairs of nodes). Nodes move in alternating halves, so neighbours do not swap for ever, until none gains or
     after ``rounds``; then communities become nodes and move again, until none joins another. What is not connected is split at the end. In
     contrast to the sequential algorithms of this family there is no randomized refinement between levels. Every
-    step is a join and an aggregation. Nodes without edges are not there; an empty table gives no rows.
+    step is a join and an aggregation, until a level has at most ``most_local`` edges: one task holds those and makes
+    the same moves for the levels that are left. Nodes without edges are not there; an empty table gives no rows.
     """
     if objective not in ("modularity", "cpm"):
         raise ValueError(f"unknown objective {objective}")
+    edges = materialize(edges.select("src", "dst", F.col("weight").cast("double").alias("weight")), "edges")
     found, graph = None, edges
     sizes = edges.select(F.col("src").alias("k")).union(edges.select("dst")).distinct().withColumn("size", F.lit(1))
-    for _ in range(levels):
-        moved = _moves(graph, sizes, resolution, rounds, objective)
+    for level in range(levels):
+        local = graph.count() <= most_local
+        moved = materialize(_levels_in_one_task(graph, sizes, resolution, rounds, levels - level, objective, level == 0), "moved") if local else _moves(graph, sizes, resolution, rounds, objective)
         found = moved if found is None else found.select("k", F.col("c").alias("b")).join(moved.withColumnsRenamed({"k": "b", "c": "c"}), "b").select("k", "c")
         found = materialize(found, "found")
-        if moved.where(F.col("k") != F.col("c")).isEmpty():
+        if local or moved.where(F.col("k") != F.col("c")).isEmpty():
             break
         a, b = moved.select(F.col("k").alias("src"), F.col("c").alias("s")), moved.select(F.col("k").alias("dst"), F.col("c").alias("d"))
         graph = materialize(graph.join(a, "src").join(b, "dst").groupBy(F.least("s", "d").alias("src"), F.greatest("s", "d").alias("dst")).agg(F.sum("weight").alias("weight")), "graph")
         sizes = materialize(sizes.join(moved, "k").groupBy(F.col("c").alias("k")).agg(F.sum("size").alias("size")), "sizes")
-    parts = connected_parts(edges, found)
+    parts = found if local and level == 0 else connected_parts(edges, found, most_local)
     counted = parts.groupBy("c").agg(F.count(F.lit(1)).alias("n"))
     return parts.join(numbered_by_size(counted, "c"), "c").select("k", "community")
 
@@ -100,8 +221,13 @@ def resolution_sweep(edges: DataFrame, resolutions: list[float], most: int = 100
     ``most`` communities, which is not kept. Also returns each resolution tried with its number of communities.
     """
     graph, kept, tried, last = materialize(edges, "graph"), None, [], 0
-    for r in sorted(resolutions):
-        found = materialize(communities(graph, r, objective=objective), "swept")
+    ordered = sorted(resolutions)
+    ahead: list[DataFrame] = []
+    for i, r in enumerate(ordered):
+        if not ahead:  # a few at a time: where a graph is one task's work, they do not wait for each other
+            with ThreadPoolExecutor(SIDE_BY_SIDE) as pool:
+                ahead = list(pool.map(lambda x: materialize(communities(graph, x, objective=objective), "swept"), ordered[i : i + SIDE_BY_SIDE]))
+        found = ahead.pop(0)
         n = found.agg(F.max("community")).first()[0] or 0
         tried.append((r, n))
         if n > most:

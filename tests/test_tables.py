@@ -141,6 +141,16 @@ def test_connected_parts_and_objectives(spark):
         communities.communities(chain, objective="other")
 
 
+@pytest.mark.parametrize("objective,resolution", [("modularity", 1.0), ("cpm", 0.3)])
+def test_communities_in_one_task_equal_distributed_ones(spark, objective, resolution):
+    rng = np.random.default_rng(9)
+    kind = rng.integers(0, 4, 60)
+    rows = [(3 * i, 3 * j, float(rng.integers(1, 5)) / 4) for i in range(60) for j in range(i + 1, 60) if rng.random() < (0.3 if kind[i] == kind[j] else 0.02)]
+    edges = spark.createDataFrame([*rows, (900, 901, 1.0)], "src long, dst long, weight double")
+    local, spread = ({(r["k"], r["community"]) for r in communities.communities(edges, resolution, levels=3, objective=objective, most_local=m).collect()} for m in (1000, 0))
+    assert local == spread and len({c for _, c in local}) > 2
+
+
 def test_communities_find_cliques(spark):
     cliques = [range(0, 6), range(10, 16), range(20, 26)]
     e = [(a, b, 1.0) for c in cliques for a in c for b in c if a < b] + [(5, 10, 0.1), (15, 20, 0.1)]
