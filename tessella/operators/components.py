@@ -18,6 +18,11 @@ from pyspark.sql import functions as F
 
 from tessella.session import drop, materialize
 
+#: Longest directions along which tiles are cut, and along which their boxes are held against queries.
+CUT_AXES, BOUND_AXES = 6, 12
+#: Queries whose products with a tile are made at a time, so that they stay in the cache.
+ROWS = 512
+
 
 def gene_vectors(values: DataFrame, genes: DataFrame) -> DataFrame:
     """``k, e``: one array per cell over the listed genes (``gene, rank`` from 1 on), zeros where a value is absent."""
@@ -43,19 +48,71 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum((a * a).sum(1)[:, None] - 2 * a @ b.T + (b * b).sum(1)[None, :], 0))
 
 
+class _Tree:
+    """Median cuts of a sample along its longest directions; every vector falls in one of ``2 ** depth`` leaves."""
+
+    def __init__(self, x: np.ndarray, depth: int):
+        self.mean = x.mean(0)
+        y = (x - self.mean) / max(np.abs(x - self.mean).max(), 1e-300)
+        # Rotated, distances stay the same: how far a box lies off along some of the axes is never more than the distance.
+        self.axes = np.linalg.svd(np.linalg.qr(y, mode="r"))[2].T[:, :BOUND_AXES]
+        self.depth, inner = depth, 2**depth - 1
+        self.axis, self.cut, self.centres = np.zeros(inner, int), np.full(inner, np.inf), np.zeros((2 * inner + 1, x.shape[1]))
+        y, at = self.turned(x), [np.arange(len(x))]
+        for node in range(2 * inner + 1):
+            rows = at[node]
+            self.centres[node] = x[rows].mean(0) if len(rows) else self.centres[(node - 1) // 2]
+            if node < inner:
+                if len(rows):
+                    self.axis[node] = _widest(y[rows])
+                    self.cut[node] = np.median(y[rows, self.axis[node]])
+                right = y[rows, self.axis[node]] > self.cut[node]
+                at += [rows[~right], rows[right]]
+        self.centres = self.centres[inner:]
+
+    def turned(self, x: np.ndarray) -> np.ndarray:
+        """Places along the longest directions."""
+        return (x - self.mean) @ self.axes
+
+    def leaves(self, x: np.ndarray) -> np.ndarray:
+        """The leaf of each vector; those next to each other have near numbers."""
+        y, node = self.turned(x), np.zeros(len(x), int)
+        for _ in range(self.depth):
+            node = 2 * node + 1 + (y[np.arange(len(y)), self.axis[node]] > self.cut[node])
+        return node - (2**self.depth - 1)
+
+    def tiles(self, x: np.ndarray, most: int) -> list[np.ndarray]:
+        """The rows of vectors, cut in halves until none has more than ``most``."""
+        y, waiting, done = self.turned(x), [np.arange(len(x))], []
+        while waiting:
+            rows = waiting.pop()
+            if len(rows) <= most:
+                done.append(rows)
+                continue
+            rows = rows[np.argsort(y[rows, _widest(y[rows])], kind="stable")]
+            waiting += [rows[len(rows) // 2 :], rows[: len(rows) // 2]]
+        return done
+
+
+def _widest(y: np.ndarray) -> int:
+    """The axis among the first ones along which most rows spread farthest; a few far off do not count."""
+    low, high = np.percentile(y[:, :CUT_AXES], [10, 90], axis=0)
+    return int(np.argmax(high - low))
+
+
 class _Tiles:
     """Vectors in tiles of near ones: row ``i`` of tile ``t`` stands at ``starts[t] + i``."""
 
     def __init__(self, keys: np.ndarray, x: np.ndarray, starts: np.ndarray, centres: np.ndarray):
         self.keys, self.x, self.starts, self.centres = keys, x, starts, centres
 
-    def prepare(self) -> _Tiles:
-        """Each tile's middle and radius, and vectors in single precision, once in each process."""
-        if not hasattr(self, "middle"):
-            spans = [slice(a, b) for a, b in zip(self.starts[:-1], self.starts[1:])]
-            self.middle = np.array([self.x[s].mean(0) for s in spans])
-            self.radius = np.array([np.sqrt(((self.x[s] - m) ** 2).sum(1).max()) for s, m in zip(spans, self.middle)]) * (1 + 1e-9)
-            self.shift = self.middle.mean(0)
+    def prepare(self, tree: _Tree) -> _Tiles:
+        """Each tile's box along the tree's axes, and vectors in single precision, once in each process."""
+        if not hasattr(self, "low"):
+            spans, y = [slice(a, b) for a, b in zip(self.starts[:-1], self.starts[1:])], tree.turned(self.x)
+            self.low, self.high = np.array([y[s].min(0) for s in spans]), np.array([y[s].max(0) for s in spans])
+            self.far = len(tree.mean) * max(np.abs(self.x).max(), np.abs(tree.mean).max())
+            self.shift = self.x.mean(0)
             self.narrow = []
             for s in spans:
                 y = self.x[s] - self.shift
@@ -63,6 +120,18 @@ class _Tiles:
                 self.narrow.append((np.ascontiguousarray(np.column_stack([y, n, np.ones(len(y))]).T.astype("float32")), n.max()))
         return self
 
+    def least(self, q: np.ndarray, tree: _Tree) -> np.ndarray:
+        """How near each tile's vectors can be to each of ``q`` at most."""
+        y = tree.turned(q)
+        out, gap, other = np.zeros((len(q), len(self.low))), np.empty((len(q), len(self.low))), np.empty((len(q), len(self.low)))
+        for i in range(y.shape[1]):
+            np.subtract(self.low[:, i], y[:, i, None], out=gap)
+            np.subtract(y[:, i, None], self.high[:, i], out=other)
+            np.maximum(gap, other, out=gap)
+            np.maximum(gap, 0, out=gap)
+            out += np.multiply(gap, gap, out=gap)
+        return np.sqrt(out, out=out) - 1e-12 * (self.far + q.shape[1] * np.abs(q).max())  # the rotation's own rounding
+
 
 @lru_cache(1)
 def _read_tiles(files: tuple[str, ...], width: int) -> _Tiles:
@@ -88,30 +157,34 @@ def _merged(dist: np.ndarray, near: np.ndarray, r: np.ndarray, d: np.ndarray, ke
     dist[some], near[some] = d[order].reshape(-1, k), keys[order].reshape(-1, k)
 
 
-def _search(q: np.ndarray, qkeys: np.ndarray, dist: np.ndarray, near: np.ndarray, tiles: _Tiles, allowed: np.ndarray | None) -> None:
+def _search(q: np.ndarray, qkeys: np.ndarray, dist: np.ndarray, near: np.ndarray, tiles: _Tiles, tree: _Tree, allowed: np.ndarray | None) -> None:
     """Improves the nearest keys ``near`` and distances ``dist`` (infinite where there is none yet) of queries by the tiles' vectors.
 
-    Tiles are asked from the nearest on, and only where the triangle inequality lets them hold a nearer vector than
-    those found. Products are made in single precision; what they leave, with a margin for their rounding, is measured
+    Tiles are asked from the nearest on, and only where their box is near enough to hold a nearer vector than those
+    found. Products are made in single precision; what they leave, with a margin for their rounding, is measured
     exactly. Where the margin would not be small against the distances, products are made in double precision.
     """
     k, y = dist.shape[1], q - tiles.shift
-    low = _distances(q, tiles.middle) - tiles.radius
+    low = tiles.least(q, tree)
     norm = (y * y).sum(1)
     wide = np.column_stack([-2 * y, np.ones(len(y)), norm])
     with np.errstate(over="ignore"):
         slim = wide.astype("float32")
     widest = int(np.diff(tiles.starts).max())
-    product, close = np.empty(512 * widest, "float32"), np.empty(512 * widest, bool)  # used again and again: fresh memory costs as much as the product
+    product, close = np.empty(ROWS * widest, "float32"), np.empty(ROWS * widest, bool)  # used again and again: fresh memory costs as much as the product
     waiting, held = [], 0
-    for t in np.argsort(low.min(0), kind="stable"):
-        ask = low[:, t] <= dist[:, -1] * (1 + 1e-9) + 1e-6
-        if allowed is not None:
-            ask &= allowed[:, t]
-        asking = np.flatnonzero(ask)
+    order = np.argsort(low.mean(0), kind="stable")
+    low = np.ascontiguousarray(low.T)
+    if allowed is not None:
+        low[~allowed.T] = np.inf
+    least, reach = low.min(1), dist[:, -1] * (1 + 1e-9) + 1e-6
+    for t in order:
+        if least[t] > reach.max():
+            continue
+        asking = np.flatnonzero((low[t] <= reach) & (low[t] < np.inf))
         (other, most), x, keys = tiles.narrow[t], tiles.x[tiles.starts[t] : tiles.starts[t + 1]], tiles.keys[tiles.starts[t] : tiles.starts[t + 1]]
-        for at in range(0, len(asking), 512):
-            i = asking[at : at + 512]
+        for at in range(0, len(asking), ROWS):
+            i = asking[at : at + ROWS]
             limit, size = dist[i, -1] ** 2, norm[i] + most
             exact = not (2e-5 * size.max() < 0.1 * limit.mean() and size.max() < 1e30)
             if exact:
@@ -122,7 +195,11 @@ def _search(q: np.ndarray, qkeys: np.ndarray, dist: np.ndarray, near: np.ndarray
             margin = (1e-12 if exact else 2e-5) * size
             if len(keys) > k + 1 and not np.isfinite(limit).all():
                 limit = np.minimum(limit, np.partition(d, k, axis=1)[:, k])  # one of the k + 1 least may be the query itself
-            within = np.less_equal(d, np.minimum(limit + margin, np.finfo(d.dtype).max)[:, None].astype(d.dtype), out=close[: d.size].reshape(d.shape))
+            limit = np.minimum(limit + margin, np.finfo(d.dtype).max).astype(d.dtype)
+            some = np.flatnonzero(d.min(axis=1) <= limit)  # most tiles have nothing for most queries
+            if 2 * len(some) < len(i):
+                i, limit, d = i[some], limit[some], d[some]
+            within = np.less_equal(d, limit[:, None], out=close[: d.size].reshape(d.shape))
             r, c = np.divmod(np.flatnonzero(within), len(keys))
             r = i[r]
             other_one = keys[c] != qkeys[r]
@@ -130,36 +207,27 @@ def _search(q: np.ndarray, qkeys: np.ndarray, dist: np.ndarray, near: np.ndarray
             if len(r):
                 waiting.append((r, np.sqrt(((q[r] - x[c]) ** 2).sum(1)), keys[c]))
                 held += len(r)
-        if held and (held > 16 * len(q) or np.isinf(dist[asking, -1]).any()):
+        if held and (held > 4 * len(q) or np.isinf(dist[asking, -1]).any()):
             _merged(dist, near, *map(np.concatenate, zip(*waiting)))
-            waiting, held = [], 0
+            waiting, held, reach = [], 0, dist[:, -1] * (1 + 1e-9) + 1e-6
     if held:
         _merged(dist, near, *map(np.concatenate, zip(*waiting)))
 
 
-def _centres(vectors: DataFrame, n: int, count: int, seed: int) -> np.ndarray:
-    """``count`` centres from a hash sample of about twenty rows each, moved by a few rounds of k-means."""
-    step = max(1, n // (20 * count))
-    x = np.array(vectors.where(F.pmod(F.xxhash64("k", F.lit(seed)), F.lit(step)) == 0).orderBy("k").toPandas().v.tolist(), float)
-    if not len(x):
-        x = np.array([r["v"] for r in vectors.orderBy("k").limit(count).collect()], float)
-    c = x[np.random.default_rng(seed).choice(len(x), min(count, len(x)), replace=False)]
-    for _ in range(4):
-        near = np.argmin((c * c).sum(1) - 2 * x @ c.T, axis=1)
-        size, total = np.bincount(near, minlength=len(c)), np.zeros_like(c)
-        np.add.at(total, near, x)
-        c[size > 0] = total[size > 0] / size[size > 0, None]
-    return c
+def _sample(vectors: DataFrame, n: int, count: int, seed: int) -> np.ndarray:
+    """A hash sample of about ``count`` vectors, at least one."""
+    x = vectors.where(F.pmod(F.xxhash64("k", F.lit(seed)), F.lit(max(1, n // count))) == 0).orderBy("k").toPandas().v.tolist()
+    return np.array(x or [r["v"] for r in vectors.orderBy("k").limit(count).collect()], float)
 
 
 def nearest_vectors(vectors: DataFrame, k: int, probes: int | None = None, block: int = 1024, most_centres: int = 4096, chunk_bytes: int = 128 << 20, seed: int = 0) -> DataFrame:
     """The ``k`` nearest other vectors (Euclidean) of each: ``src, dst, d, rank`` (ties by ``dst``).
 
-    ``vectors`` has ``k, v`` with unique keys and finite values of one length. Vectors are filed by the nearest of
-    about sqrt(n) centres and packed in tiles of up to ``block`` rows. Chunks of tiles of at most ``chunk_bytes`` are
-    broadcast, one by one; tasks take tiles of queries and ask all tiles but those that the triangle inequality rules
-    out, so the result is exact. Where dimensions are many, that can be most tiles, and the work is quadratic:
-    ``probes`` asks just the tiles of so many nearest centres, with a recall to be measured.
+    ``vectors`` has ``k, v`` with unique keys and finite values of one length. Vectors are filed by the leaves
+    of a tree of median cuts (at most ``most_centres``) and packed in tiles of up to ``block`` rows. Tasks take tiles of
+    queries, read the others in chunks of at most ``chunk_bytes`` and ask all tiles but those whose box is too far off,
+    so the result is exact. Where dimensions are many, that can be half of the tiles, and the work is quadratic:
+    ``probes`` asks just the tiles of so many leaves whose centres are nearest, with a recall to be measured.
     """
     spark, kind = vectors.sparkSession, vectors.schema["k"].dataType.simpleString()
     vectors = materialize(vectors.select("k", "v"), "vectors")
@@ -167,15 +235,14 @@ def nearest_vectors(vectors: DataFrame, k: int, probes: int | None = None, block
     if n < 2:
         return spark.createDataFrame([], f"src {kind}, dst {kind}, d double, rank int")
     tasks = 4 * spark.sparkContext.defaultParallelism
-    found = _centres(vectors, n, min(most_centres, max(1, math.isqrt(n) // 2)), seed)
-    # Centres in the order of their longest direction, so that neighbouring tiles are near each other.
-    found = found[np.argsort((found - found.mean(0)) @ np.linalg.svd(found - found.mean(0), full_matrices=False)[2][0], kind="stable")]
-    centres, width = spark.sparkContext.broadcast(found), found.shape[1]
+    depth = max(0, math.ceil(math.log2(max(1, min(n / block, most_centres)))))
+    cuts = spark.sparkContext.broadcast(_Tree(_sample(vectors, n, 20 * 2**depth, seed), depth))
+    width = len(cuts.value.mean)
 
     def file(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             if len(pdf):
-                yield pdf.assign(centre=_distances(np.array(pdf.v.tolist(), float), centres.value).argmin(1).astype("int32"))
+                yield pdf.assign(centre=cuts.value.leaves(np.array(pdf.v.tolist(), float)).astype("int32"))
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         kept = None
@@ -183,11 +250,16 @@ def nearest_vectors(vectors: DataFrame, k: int, probes: int | None = None, block
             whole = kept if pdf is None else pdf if kept is None else pd.concat([kept, pdf], ignore_index=True)
             if whole is None or not len(whole):
                 continue
-            cuts = [0, *(np.flatnonzero(whole.centre.to_numpy()[1:] != whole.centre.to_numpy()[:-1]) + 1), len(whole)]
-            spans = [(i, min(i + block, b)) for a, b in zip(cuts[:-1], cuts[1:]) for i in range(a, b, block)]
-            kept = None if pdf is None else whole.iloc[spans.pop()[0] :]
-            if spans:
-                yield pd.DataFrame({"centre": [whole.centre.iloc[a] for a, _ in spans], "keys": pd.Series([whole.k.to_numpy()[a:b] for a, b in spans], dtype=object), "v": pd.Series([np.array(whole.v.iloc[a:b].tolist(), float).ravel() for a, b in spans], dtype=object)})
+            ends = [0, *(np.flatnonzero(whole.centre.to_numpy()[1:] != whole.centre.to_numpy()[:-1]) + 1), len(whole)]
+            spans = list(zip(ends[:-1], ends[1:]))
+            # The last leaf may go on in the next batch; one of very many rows is cut as it comes.
+            kept = None if pdf is None or len(whole) - ends[-2] > 64 * block else whole.iloc[spans.pop()[0] :]
+            tiles = []
+            for a, b in spans:
+                keys, v = whole.k.to_numpy()[a:b], np.array(whole.v.iloc[a:b].tolist(), float)
+                tiles += [(whole.centre.iloc[a], keys[rows], v[rows].ravel()) for rows in cuts.value.tiles(v, block)]
+            if tiles:
+                yield pd.DataFrame({"centre": [c for c, _, _ in tiles], "keys": pd.Series([x for _, x, _ in tiles], dtype=object), "v": pd.Series([x for _, _, x in tiles], dtype=object)})
 
     placed = vectors.mapInPandas(file, f"k {kind}, v array<double>, centre int").repartition(tasks, "centre").sortWithinPartitions("centre", "k")
     packed = materialize(placed.mapInPandas(pack, f"centre int, keys array<{kind}>, v array<double>"), "tiles")
@@ -215,13 +287,13 @@ def nearest_vectors(vectors: DataFrame, k: int, probes: int | None = None, block
                 asking.append((own.centres[i], q, keys, np.full((len(q), k), np.inf), np.repeat(keys, k).reshape(-1, k)))
         for files in chunks:
             if asking:
-                tiles = _read_tiles(tuple(files), width).prepare()
+                tiles = _read_tiles(tuple(files), width).prepare(cuts.value)
             for centre, q, keys, dist, near in asking:
                 allowed = None
-                if probes is not None and probes < len(centres.value):
-                    away = _distances(q, centres.value)
+                if probes is not None and probes < len(cuts.value.centres):
+                    away = _distances(q, cuts.value.centres)
                     allowed = (away <= np.partition(away, probes - 1, axis=1)[:, probes - 1 : probes])[:, tiles.centres] | (tiles.centres == centre)
-                _search(q, keys, dist, near, tiles, allowed)
+                _search(q, keys, dist, near, tiles, cuts.value, allowed)
         for _, _, keys, dist, near in asking:
             there = np.isfinite(dist).ravel()
             yield pd.DataFrame({"src": np.repeat(keys, k)[there], "dst": near.ravel()[there], "d": dist.ravel()[there], "rank": np.tile(np.arange(1, k + 1, dtype="int32"), len(keys))[there]})

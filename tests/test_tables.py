@@ -120,6 +120,33 @@ def test_nearest_vectors_over_chunks_copies_and_names(spark):
     assert 0 < sum(got[r["src"], r["rank"]] == (r["dst"], r["d"]) for r in some) < 300 * 5
 
 
+def test_tiles_with_far_rows_rule_out_most_vectors():
+    rng = np.random.default_rng(9)
+    x = rng.normal(size=(6000, 10)) * np.linspace(3, 0.3, 10)
+    x[::50] *= 8  # in balls around centres, a few far rows widen every tile
+    tree = components._Tree(x[::3], 5)
+    leaf, parts = tree.leaves(x), []
+    for i in range(32):
+        rows = np.flatnonzero(leaf == i)
+        parts += [rows[t] for t in tree.tiles(x[rows], 64)]
+    assert sorted(np.concatenate(parts)) == list(range(6000)) and max(map(len, parts)) <= 64
+    rows = np.concatenate(parts)
+    tiles = components._Tiles(rows, x[rows], np.cumsum([0, *map(len, parts)]), np.zeros(len(parts), int)).prepare(tree)
+    q, asked, balls = x[:200], 0, 0
+    d, low = components._distances(q, x), tiles.least(q, tree)
+    for t, part in enumerate(parts):
+        assert (low[:, t] <= d[:, part].min(1) + 1e-9).all()  # never more than the nearest is away
+        reach, middle = np.partition(d, 10, axis=1)[:, 10], x[part].mean(0)
+        asked += (low[:, t] <= reach).sum() * len(part)
+        balls += (np.sqrt(((q - middle) ** 2).sum(1)) - np.sqrt(((x[part] - middle) ** 2).sum(1).max()) <= reach).sum() * len(part)
+    assert asked < 0.3 * 200 * 6000 and asked < 0.5 * balls
+    q, keys, dist = tiles.x[:64], tiles.keys[:64], np.full((64, 4), np.inf)
+    near = np.repeat(keys, 4).reshape(-1, 4)
+    components._search(q, keys, dist, near, tiles, tree, None)
+    for i, key in enumerate(keys):
+        assert [j for _, j in sorted((float(np.sqrt(((q[i] - v) ** 2).sum())), j) for j, v in enumerate(x) if j != key)[:4]] == near[i].tolist()
+
+
 def test_component_scores(spark):
     rng = np.random.default_rng(7)
     x = rng.normal(size=(50, 4)) @ rng.normal(size=(4, 4))
