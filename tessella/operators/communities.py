@@ -49,6 +49,8 @@ def _moves(edges: DataFrame, sizes: DataFrame, resolution: float, rounds: int, o
 
 #: Edges up to which one task holds the graph and moves its nodes by itself; it takes about 150 bytes an edge.
 MOST_LOCAL = 4_000_000
+#: Edges of the nodes whose moves are found at a time, of those one task holds.
+AT_A_TIME = 500_000
 #: Resolutions of a sweep that are tried at the same time.
 SIDE_BY_SIDE = 2
 
@@ -56,29 +58,42 @@ SIDE_BY_SIDE = 2
 def _moves_of(src: np.ndarray, dst: np.ndarray, weight: np.ndarray, turn: np.ndarray, size: np.ndarray, resolution: float, rounds: int, objective: str) -> np.ndarray:
     """As ``_moves``, over nodes 0, 1, ...: each one's community. Bit ``i`` of ``turn`` is the half of a node in rounds 2 ``i`` and 2 ``i`` + 1."""
     n, apart = len(size), src != dst
-    a, b, w = np.concatenate([src[apart], dst[apart]]), np.concatenate([dst[apart], src[apart]]), np.concatenate([weight[apart]] * 2)
+    a = np.concatenate([src[apart], dst[apart]])
+    order = np.argsort(a, kind="stable")
+    a, b = a[order], np.concatenate([dst[apart], src[apart]])[order]
+    w = np.concatenate([weight[apart]] * 2)[order]
+    del order
     deg = size.astype(float)
     if objective == "modularity":
         deg = np.bincount(a, w, n) + np.bincount(src[~apart], 2 * weight[~apart], n)
     total = (deg.sum() or 1.0) if objective == "modularity" else 1.0
-    own, still, every = np.arange(n), 0, np.arange(n)
+    starts = np.searchsorted(a, np.arange(n + 1))
+    ends = np.unique(np.concatenate([np.searchsorted(starts, np.arange(0, len(a), AT_A_TIME)), [0, n]]))
+    own, still = np.arange(n), 0
     for i in range(rounds):
         moving = ((turn >> (i // 2)) + i) % 2 == 0
-        tot = np.bincount(own, deg, n)
-        some = moving[a]
-        # Weight into each neighbouring community, and none into the own one.
-        key = np.concatenate([a[some] * n + own[b[some]], every[moving] * n + own[moving]])
-        order = np.argsort(key, kind="stable")
-        key = key[order]
-        first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, int)
-        into = np.add.reduceat(np.concatenate([w[some], np.zeros(int(moving.sum()))])[order], first) if len(key) else np.zeros(0)
-        k, c = np.divmod(key[first], n)
-        stays = c == own[k]
-        gain = np.round(into - resolution * deg[k] * (tot[c] - np.where(stays, deg[k], 0.0)) / total, 12)
-        best = np.lexsort((-c, stays, gain, k))
-        last = best[np.concatenate([k[best][1:] != k[best][:-1], [True]])] if len(best) else best
-        now = own.copy()
-        now[k[last]] = c[last]
+        tot, now = np.bincount(own, deg, n), own.copy()
+        for low, high in zip(ends[:-1], ends[1:]):
+            # Nodes move by the state before the round, so those of a stretch need no other's edges.
+            at, nodes = slice(starts[low], starts[high]), low + np.flatnonzero(moving[low:high])
+            if not len(nodes):
+                continue
+            some = moving[a[at]]
+            # Weight into each neighbouring community, and none into the own one.
+            key = np.concatenate([a[at][some] * n + own[b[at][some]], nodes * n + own[nodes]])
+            order = np.argsort(key, kind="stable")
+            key = key[order]
+            first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            into = np.add.reduceat(np.concatenate([w[at][some], np.zeros(len(nodes))])[order], first)
+            k, c = np.divmod(key[first], n)
+            stays = c == own[k]
+            gain = np.round(into - resolution * deg[k] * (tot[c] - np.where(stays, deg[k], 0.0)) / total, 12)
+            begin = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
+            most = np.flatnonzero(gain == np.repeat(np.maximum.reduceat(gain, begin), np.diff([*begin, len(k)])))
+            k, c, stays = k[most], c[most], stays[most]
+            best = np.lexsort((-c, stays, k))
+            last = best[np.concatenate([k[best][1:] != k[best][:-1], [True]])]
+            now[k[last]] = c[last]
         still = 0 if (now != own).any() else still + 1
         own = now
         if still == 2:
@@ -101,10 +116,15 @@ def _in_one_task(edges: DataFrame, more: list[str], make: Callable[[pd.DataFrame
     """``k, c`` that ``make`` finds of all edges, with further columns ``more``, in one task."""
     kind = edges.schema["src"].dataType.simpleString()
 
+    def joined(rows: list[pd.DataFrame]) -> pd.DataFrame:
+        e = pd.concat(rows, ignore_index=True)
+        rows.clear()  # not held twice
+        return e
+
     def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = [pdf for pdf in batches if len(pdf)]
         if rows:
-            k, c = make(pd.concat(rows, ignore_index=True))
+            k, c = make(joined(rows))
             yield pd.DataFrame({"k": k, "c": c})
 
     return edges.select("src", "dst", *more).coalesce(1).mapInPandas(whole, f"k {kind}, c {kind}")
@@ -190,7 +210,14 @@ def communities(edges: DataFrame, resolution: float = 1.0, rounds: int = 12, lev
     """
     if objective not in ("modularity", "cpm"):
         raise ValueError(f"unknown objective {objective}")
-    edges = materialize(edges.select("src", "dst", F.col("weight").cast("double").alias("weight")), "edges")
+    return _communities(_written(edges), resolution, rounds, levels, objective, most_local)
+
+
+def _written(edges: DataFrame) -> DataFrame:
+    return materialize(edges.select("src", "dst", F.col("weight").cast("double").alias("weight")), "edges")
+
+
+def _communities(edges: DataFrame, resolution: float = 1.0, rounds: int = 12, levels: int = 10, objective: str = "modularity", most_local: int = MOST_LOCAL) -> DataFrame:
     found, graph = None, edges
     sizes = edges.select(F.col("src").alias("k")).union(edges.select("dst")).distinct().withColumn("size", F.lit(1))
     for level in range(levels):
@@ -220,13 +247,15 @@ def resolution_sweep(edges: DataFrame, resolutions: list[float], most: int = 100
     Resolutions are tried in ascending order over one graph; the sweep ends with the first that gives more than
     ``most`` communities, which is not kept. Also returns each resolution tried with its number of communities.
     """
-    graph, kept, tried, last = materialize(edges, "graph"), None, [], 0
+    if objective not in ("modularity", "cpm"):
+        raise ValueError(f"unknown objective {objective}")
+    graph, kept, tried, last = _written(edges), None, [], 0
     ordered = sorted(resolutions)
     ahead: list[DataFrame] = []
     for i, r in enumerate(ordered):
         if not ahead:  # a few at a time: where a graph is one task's work, they do not wait for each other
             with ThreadPoolExecutor(SIDE_BY_SIDE) as pool:
-                ahead = list(pool.map(lambda x: materialize(communities(graph, x, objective=objective), "swept"), ordered[i : i + SIDE_BY_SIDE]))
+                ahead = list(pool.map(lambda x: materialize(_communities(graph, x, objective=objective), "swept"), ordered[i : i + SIDE_BY_SIDE]))
         found = ahead.pop(0)
         n = found.agg(F.max("community")).first()[0] or 0
         tried.append((r, n))

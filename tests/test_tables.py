@@ -1,5 +1,6 @@
 import json
 import math
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -178,6 +179,20 @@ def test_communities_in_one_task_equal_distributed_ones(spark, objective, resolu
     assert local == spread and len({c for _, c in local}) > 2
 
 
+def test_moves_of_some_nodes_at_a_time(monkeypatch):
+    rng = np.random.default_rng(10)
+    n, m = 20_000, 200_000
+    edges, w, found = [rng.integers(0, n, m), rng.integers(0, n, m)], rng.integers(1, 5, m) / 4, []
+    for most in (m * 2, m // 10):
+        monkeypatch.setattr(communities, "AT_A_TIME", most)
+        tracemalloc.start()
+        found.append(communities._moves_of(*edges, w, np.arange(n) % 64, np.ones(n, int), 1.0, 12, "modularity"))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+    assert (found[0] == found[1]).all() and len(np.unique(found[0])) < n / 2
+    assert peak < 130 * m
+
+
 def test_communities_find_cliques(spark):
     cliques = [range(0, 6), range(10, 16), range(20, 26)]
     e = [(a, b, 1.0) for c in cliques for a in c for b in c if a < b] + [(5, 10, 0.1), (15, 20, 0.1)]
