@@ -1,15 +1,22 @@
-"""Inhomogeneous pair-correlation curves between types of cells, from one pair join per sample."""
+"""Inhomogeneous pair-correlation curves between types of cells, from one search for pairs per sample."""
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
+from itertools import chain
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessella.operators.proximity import pairs_within
+from tessella.operators.proximity import in_cells, pairs_within
+from tessella.session import broadcast_if_small, materialize
 
 GRID = 32
+#: Distances measured at a time.
+AT_A_TIME = 1_000_000
 
 
 def windows(cells: DataFrame) -> DataFrame:
@@ -17,80 +24,170 @@ def windows(cells: DataFrame) -> DataFrame:
     return cells.groupBy("g").agg((F.min("x") - 1).alias("x0"), (F.max("x") + 1).alias("x1"), (F.min("y") - 1).alias("y0"), (F.max("y") + 1).alias("y1"))
 
 
-def circle_inside(x: Column, y: Column, d: Column) -> Column:
+def circle_inside(x: np.ndarray, y: np.ndarray, d: np.ndarray, box: tuple[float, float, float, float]) -> np.ndarray:
     """The share of a circle of radius ``d`` around a point that lies inside the window ``x0, x1, y0, y1``."""
-    sides = [x - F.col("x0"), F.col("y1") - y, F.col("x1") - x, y - F.col("y0")]
-    half = [F.when(s < d, F.acos(F.least(F.lit(1.0), s / d))).otherwise(0.0) for s in sides]
-    out = None
-    for i in range(4):
-        a, b = sides[i], sides[(i + 1) % 4]
-        corner = F.when(a * a + b * b < d * d, F.lit(math.pi / 2)).otherwise(half[i] + half[(i + 1) % 4])
-        out = corner if out is None else out + corner
-    return F.greatest(F.lit(0.05), 1 - out / (2 * math.pi))
+    x0, x1, y0, y1 = box
+    out = np.ones(len(d))
+    some = np.flatnonzero(np.minimum(np.minimum(x - x0, x1 - x), np.minimum(y - y0, y1 - y)) < d)  # circles that cross the border
+    x, y, d = x[some], y[some], d[some]
+    sides = [x - x0, y1 - y, x1 - x, y - y0]
+    half = [np.where(s < d, np.arccos(np.minimum(1.0, s / d)), 0.0) for s in sides]
+    off = sum(np.where(sides[i] ** 2 + sides[(i + 1) % 4] ** 2 < d * d, math.pi / 2, half[i] + half[(i + 1) % 4]) for i in range(4))
+    out[some] = np.maximum(0.05, 1 - off / (2 * math.pi))
+    return out
 
 
 def intensities(cells: DataFrame, box: DataFrame) -> DataFrame:
-    """Kernel intensity of each cell's own type at its place: ``g, k, celltype, lam``.
+    """Kernel intensities where each type has cells: ``g, celltype, bx, by, n, lam, lam_all``, with rows of ``All`` types.
 
     A Gaussian kernel of an eighth of the window's shorter side over counts on a 32 x 32 grid, one axis after the
-    other, divided by the kernel's mass inside the window; a cell takes its grid cell's value.
+    other, divided by the kernel's mass inside the window; a cell takes its grid cell's value, of its own type and of all.
     """
+    n = on_grid(cells, box).groupBy("g", "celltype", "bx", "by", "w", "h", "s").agg(F.count(F.lit(1)).alias("n"))
+    grids = n.groupBy("g", "w", "h", "s").agg(*[F.collect_list(c).alias(c) for c in ("celltype", "bx", "by", "n")])  # at most 32 x 32 entries for each type
+    kind = cells.schema["g"].dataType.simpleString()
+
+    def smooth(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        apart = np.arange(GRID)[:, None] - np.arange(GRID)[None, :]
+        for pdf in batches:
+            for r in pdf.itertuples():
+                across, up = np.exp(-0.5 * (apart * r.w / r.s) ** 2), np.exp(-0.5 * (apart * r.h / r.s) ** 2)
+                mass = across.sum(1)[:, None] * up.sum(1)[None, :] * r.w * r.h
+                bx, by, count, (names, of) = np.asarray(r.bx, int), np.asarray(r.by, int), np.asarray(r.n, int), np.unique(r.celltype, return_inverse=True)
+                total = np.zeros((GRID, GRID))
+                np.add.at(total, (bx, by), count)
+                lam_all, out = (across @ total @ up) / mass, []
+                for i, name in enumerate(names):
+                    grid, at = np.zeros((GRID, GRID)), of == i
+                    grid[bx[at], by[at]] = count[at]
+                    out.append(pd.DataFrame({"celltype": name, "bx": bx[at], "by": by[at], "n": count[at], "lam": ((across @ grid @ up) / mass)[bx[at], by[at]]}))
+                tx, ty = np.nonzero(total)
+                out.append(pd.DataFrame({"celltype": "All", "bx": tx, "by": ty, "n": total[tx, ty].astype(int), "lam": lam_all[tx, ty]}))
+                whole = pd.concat([x for x, name in zip(out, [*names, ""]) if name != "All"], ignore_index=True)
+                yield whole.assign(g=r.g, lam_all=lam_all[whole.bx, whole.by])[["g", "celltype", "bx", "by", "n", "lam", "lam_all"]]
+
+    return materialize(grids.mapInPandas(smooth, f"g {kind}, celltype string, bx bigint, by bigint, n bigint, lam double, lam_all double"), "intensities")
+
+
+def on_grid(cells: DataFrame, box: DataFrame) -> DataFrame:
+    """Cells with their window, its grid cells' size ``w, h``, the kernel's width ``s`` and the grid cell ``bx, by``."""
     b = box.withColumns({"w": (F.col("x1") - F.col("x0")) / GRID, "h": (F.col("y1") - F.col("y0")) / GRID, "s": F.least(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0")) / 8})
-    at = cells.join(b, "g").withColumns({"bx": F.least(F.floor((F.col("x") - F.col("x0")) / F.col("w")), F.lit(GRID - 1)), "by": F.least(F.floor((F.col("y") - F.col("y0")) / F.col("h")), F.lit(GRID - 1))})
-    n = at.groupBy("g", "celltype", "bx", "by", "w", "h", "s").agg(F.count(F.lit(1)).cast("double").alias("v"))
-    steps = F.explode(F.sequence(F.lit(0), F.lit(GRID - 1)))
-
-    def weight(t: str, u: str, size: str) -> Column:
-        z = (F.col(t) - F.col(u)) * F.col(size) / F.col("s")
-        return F.exp(-0.5 * z * z)
-
-    def mass(t: str, size: str) -> Column:
-        terms = [F.exp(-0.5 * F.pow((F.col(t) - F.lit(i)) * F.col(size) / F.col("s"), F.lit(2))) for i in range(GRID)]
-        out = terms[0]
-        for x in terms[1:]:
-            out = out + x
-        return out
-
-    n = n.withColumn("tx", steps).withColumn("v", F.col("v") * weight("tx", "bx", "w")).groupBy("g", "celltype", "tx", "by", "w", "h", "s").agg(F.sum("v").alias("v"))
-    n = n.withColumn("ty", steps).withColumn("v", F.col("v") * weight("ty", "by", "h")).groupBy("g", "celltype", "tx", "ty", "w", "h", "s").agg(F.sum("v").alias("v"))
-    lam = n.select("g", "celltype", F.col("tx").alias("bx"), F.col("ty").alias("by"), (F.col("v") / (mass("tx", "w") * mass("ty", "h") * F.col("w") * F.col("h"))).alias("lam"))
-    return at.join(lam, ["g", "celltype", "bx", "by"]).select("g", "k", "celltype", "x", "y", "lam")
+    return cells.join(F.broadcast(b), "g").withColumns({"bx": F.least(F.floor((F.col("x") - F.col("x0")) / F.col("w")), F.lit(GRID - 1)), "by": F.least(F.floor((F.col("y") - F.col("y0")) / F.col("h")), F.lit(GRID - 1))})  # one row per sample
+
+
+def _pair_sums(own: DataFrame, box: DataFrame, r_max: float, steps: int) -> DataFrame:
+    """``g, ref, query, w``: weights of the pairs of types by distance step, 0 to ``steps``, of some part of a sample in each row."""
+    kind = own.schema["g"].dataType.simpleString()
+    placed = in_cells(own.join(F.broadcast(box), "g"), r_max, ["celltype", "lam", "lam_all", "x0", "x1", "y0", "y1"])  # one row per sample
+    # Some hundred cells of a sample to a task: few rows come out, and no large sample is one task's work.
+    placed = placed.repartition("g", F.floor(F.col("cx") / 16), F.floor(F.col("cy") / 16)).sortWithinPartitions("g", "cx", "cy", "copy", "k", F.desc("celltype"))
+
+    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        kept, of, found = None, None, {}
+
+        def rows() -> pd.DataFrame:
+            return pd.DataFrame({"g": of, "ref": [r for r, _ in found], "query": [q for _, q in found], "w": list(found.values())})
+
+        def add(pdf: pd.DataFrame, pairs: list[tuple[np.ndarray, np.ndarray]]) -> None:
+            i, j = (np.concatenate(p) for p in zip(*pairs))
+            x, y, k = pdf.x.to_numpy(), pdf.y.to_numpy(), pdf.k.to_numpy()
+            d = np.sqrt((x[i] - x[j]) ** 2 + (y[i] - y[j]) ** 2)
+            met = (d <= r_max) & (d > 0) & (k[i] != k[j])
+            i, j, d = i[met], j[met], d[met]
+            if not len(d):
+                return
+            window = tuple(pdf[c].iloc[i[0]] for c in ("x0", "x1", "y0", "y1"))
+            e = (1 / circle_inside(x[i], y[i], d, window) + 1 / circle_inside(x[j], y[j], d, window)) / 2
+            names, code = np.unique([*pdf.celltype, "All"], return_inverse=True)
+            step, every = np.floor(d / (r_max / steps)).astype(int), code[-1]
+            lam, lam_all = pdf.lam.to_numpy(), pdf.lam_all.to_numpy()
+            # Ordered pairs: each end once as reference; (All, All) and same types get both directions.
+            for (a, la), (b, lb) in ((("own", lam), ("own", lam)), (("own", lam), ("all", lam_all)), (("all", lam_all), ("own", lam)), (("all", lam_all), ("all", lam_all))):
+                ta, tb = (code[i] if a == "own" else np.full(len(i), every)), (code[j] if b == "own" else np.full(len(j), every))
+                w = np.where(ta == tb, 2.0, 1.0) * e / (la[i] * lb[j])
+                both = np.minimum(ta, tb) * len(names) + np.maximum(ta, tb)
+                there = np.flatnonzero(np.bincount(both, minlength=len(names) ** 2))
+                place = np.zeros(len(names) ** 2, int)
+                place[there] = np.arange(len(there))
+                total = np.bincount(place[both] * (steps + 1) + step, w, len(there) * (steps + 1)).reshape(-1, steps + 1)
+                for p, v in zip(there, total):
+                    name = (names[p // len(names)], names[p % len(names)])
+                    found[name] = found[name] + v if name in found else v
+
+        for pdf in chain(batches, [None]):
+            whole = kept if pdf is None else pdf if kept is None else pd.concat([kept, pdf], ignore_index=True)
+            if whole is None or not len(whole):
+                continue
+            whole = whole[~whole.duplicated(["g", "cx", "cy", "copy", "k", "x", "y"])].reset_index(drop=True)  # repeated rows count once
+            g, cx, cy, x, y = (whole[c].to_numpy() for c in ("g", "cx", "cy", "x", "y"))
+            ends = [0, *(np.flatnonzero((g[1:] != g[:-1]) | (cx[1:] != cx[:-1]) | (cy[1:] != cy[:-1])) + 1), len(whole)]
+            spans, own_ones = list(zip(ends[:-1], ends[1:])), np.concatenate([[0], np.cumsum(whole["copy"].to_numpy() == 0)])
+            kept = None if pdf is None else whole.iloc[spans.pop()[0] :]  # a cell may go on in the next batch
+            pairs, held = [], 0
+            for a, b in spans:
+                if g[a] != of:
+                    if pairs:
+                        add(whole, pairs)
+                    if found:
+                        yield rows()
+                    of, found, pairs, held = g[a], {}, [], 0
+                most = own_ones[b] - own_ones[a]
+                for at in range(0, most, max(1, AT_A_TIME // (b - a))):
+                    upto = min(most, at + max(1, AT_A_TIME // (b - a)))
+                    dx, dy = x[a + at : a + upto, None] - x[None, a + at : b], y[a + at : a + upto, None] - y[None, a + at : b]
+                    i, j = np.nonzero(dx * dx + dy * dy <= r_max * r_max * (1 + 1e-9))
+                    later = j > i
+                    pairs.append((i[later] + a + at, j[later] + a + at))
+                    held += len(pairs[-1][0])
+                    if held > AT_A_TIME:
+                        add(whole, pairs)
+                        pairs, held = [], 0
+            if pairs:
+                add(whole, pairs)
+        if found:
+            yield rows()
+
+    return placed.mapInPandas(sums, f"g {kind}, ref string, query string, w array<double>")
 
 
 def pair_curves(cells: DataFrame, r_max: float, steps: int = 500, min_count: int = 10) -> DataFrame:
     """``g, ref, query, n_ref, n_query, skipped, curve``: the pair-correlation curve of each unordered pair of types.
 
-    All pairs of types share one pair join. Weights 1 / (lambda lambda share of circle) are added up per distance
-    step first, then smoothed by an Epanechnikov kernel of Stoyan's bandwidth (0.15 / square root of intensity), so
-    distances are rounded to a step. The value at distance zero is 0. Pairs with a type of fewer than ``min_count``
+    All pairs of types share one search for pairs. Weights 1 / (lambda lambda share of circle) are added up per distance
+    step where pairs are found, so that no row is made of a pair, then smoothed by an Epanechnikov kernel of Stoyan's
+    bandwidth (0.15 / square root of intensity), so distances are rounded to a step. The value at distance zero is 0. Pairs with a type of fewer than ``min_count``
     cells have a row without a curve. ``All`` stands for all cells, whatever their type.
     """
-    both = cells.unionByName(cells.withColumn("celltype", F.lit("All")))
     box = windows(cells)
-    lam = intensities(both, box)
-    sizes = both.groupBy("g", "celltype").agg(F.count(F.lit(1)).alias("n"))
-    own = lam.groupBy("g", "k", "x", "y").agg(F.max(F.when(F.col("celltype") != "All", F.col("celltype"))).alias("celltype"), F.max(F.when(F.col("celltype") != "All", F.col("lam"))).alias("lam"), F.max(F.when(F.col("celltype") == "All", F.col("lam"))).alias("lam_all"))
+    lam = intensities(cells, box)
+    sizes = lam.groupBy("g", "celltype").agg(F.sum("n").alias("n"))
+    own = on_grid(cells, box).select("g", "k", "x", "y", "celltype", "bx", "by").join(broadcast_if_small(lam.drop("n")), ["g", "celltype", "bx", "by"]).drop("bx", "by")
     step = r_max / steps
-    pairs = pairs_within(own, r_max, ["celltype", "lam", "lam_all", "x", "y"]).join(F.broadcast(box), "g").where(F.col("d") > 0)  # one row per sample
-    e = (1 / circle_inside(F.col("x_1"), F.col("y_1"), F.col("d")) + 1 / circle_inside(F.col("x_2"), F.col("y_2"), F.col("d"))) / 2
-    ends = [(F.col(f"celltype_{i}"), F.col(f"lam_{i}")) for i in (1, 2)]
-    alls = [(F.lit("All"), F.col(f"lam_all_{i}")) for i in (1, 2)]
-    # Ordered pairs: each end once as reference; (All, All) and same types get both directions.
-    kinds = F.array(*[F.struct(F.least(a[0], b[0]).alias("ref"), F.greatest(a[0], b[0]).alias("query"), (F.when(a[0] == b[0], 2.0).otherwise(1.0) * e / (a[1] * b[1])).alias("w")) for a, b in ((ends[0], ends[1]), (ends[0], alls[1]), (alls[0], ends[1]), (alls[0], alls[1]))])
-    binned = pairs.select("g", F.floor(F.col("d") / step).cast("int").alias("bin"), F.explode(kinds).alias("e")).groupBy("g", "e.ref", "e.query", "bin").agg(F.sum("e.w").alias("w"))
+    summed = _pair_sums(own, box, r_max, steps).groupBy("g", "ref", "query").agg(F.collect_list("w").alias("w"))  # a row for each part of the sample
     area = (F.col("x1") - F.col("x0")) * (F.col("y1") - F.col("y0"))
     grid = sizes.select("g", F.col("celltype").alias("ref"), F.col("n").alias("n_ref")).join(sizes.select("g", F.col("celltype").alias("query"), F.col("n").alias("n_query")), "g").where(F.col("ref") <= F.col("query"))
     grid = grid.join(box.withColumn("area", area).select("g", "area"), "g")
     low = F.least(F.when(F.col("ref") == "All", F.lit(min_count)).otherwise(F.col("n_ref")), F.when(F.col("query") == "All", F.lit(min_count)).otherwise(F.col("n_query")))
     grid = grid.withColumns({"skipped": low < min_count, "h": F.greatest(F.lit(step), 0.15 / F.sqrt(F.sqrt(F.col("n_ref") * F.col("n_query")) / F.col("area")))})
-    reach = F.ceil(F.col("h") / step).cast("int")
-    spread = binned.join(grid.where(~F.col("skipped")), ["g", "ref", "query"]).withColumn("at", F.explode(F.sequence(F.greatest(F.lit(1), F.col("bin") - reach), F.least(F.lit(steps - 1), F.col("bin") + reach))))
-    u = (F.col("at") - F.col("bin") - 0.5) * step / F.col("h")
-    kernel = F.when(F.abs(u) < 1, 0.75 * (1 - u * u) / F.col("h")).otherwise(0.0)
-    value = spread.groupBy("g", "ref", "query", "at").agg((F.sum(F.col("w") * kernel) / (2 * math.pi * F.first("at") * step * F.first("area"))).alias("v"))
-    curve = value.groupBy("g", "ref", "query").agg(F.map_from_entries(F.collect_list(F.struct("at", "v"))).alias("m"))  # at most ``steps`` entries
-    curve = curve.select("g", "ref", "query", F.transform(F.sequence(F.lit(0), F.lit(steps - 1)), lambda i: F.coalesce(F.try_element_at("m", i), F.lit(0.0))).alias("curve"))
-    return grid.join(curve, ["g", "ref", "query"], "left").select("g", "ref", "query", "n_ref", "n_query", "skipped", F.when(~F.col("skipped"), F.coalesce("curve", F.array_repeat(F.lit(0.0), steps))).alias("curve"))
+
+    def smooth(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        apart = np.arange(-steps, steps + 1)  # a step of the curve less that of a pair
+        for pdf in batches:
+            curves = []
+            for r in pdf.itertuples():
+                if r.w is None:
+                    curves.append(None if r.skipped else np.zeros(steps))
+                    continue
+                u = (apart - 0.5) * step / r.h
+                kernel = np.where(np.abs(u) < 1, 0.75 * (1 - u * u) / r.h, 0.0)
+                v = np.convolve(np.sum(np.stack(r.w), axis=0), kernel)[steps : 2 * steps]
+                v[0] = 0.0
+                v[1:] /= 2 * math.pi * np.arange(1, steps) * step * r.area
+                curves.append(v)
+            yield pdf[["g", "ref", "query", "n_ref", "n_query", "skipped"]].assign(curve=pd.Series(curves, dtype=object))
+
+    whole = grid.join(summed, ["g", "ref", "query"], "left").select("g", "ref", "query", "n_ref", "n_query", "skipped", "h", "area", F.when(~F.col("skipped"), F.col("w")).alias("w"))
+    return whole.mapInPandas(smooth, f"g {cells.schema['g'].dataType.simpleString()}, ref string, query string, n_ref bigint, n_query bigint, skipped boolean, curve array<double>")
 
 
 def curves_long(curves: DataFrame, r_max: float, steps: int = 500) -> DataFrame:
@@ -137,8 +234,7 @@ def curve_summary(cells: DataFrame, curves: DataFrame) -> DataFrame:
     ``normalization`` is the product of both types' sums of 1 / intensity over the squared area of the cells' own
     rectangle; ``pcf_sum`` adds up the curve divided by it, which is the column ``norm_curve``.
     """
-    both = cells.unionByName(cells.withColumn("celltype", F.lit("All")))
-    inverse = intensities(both, windows(cells)).groupBy("g", "celltype").agg(F.sum(1 / F.col("lam")).alias("inverse"))
+    inverse = intensities(cells, windows(cells)).groupBy("g", "celltype").agg(F.sum(F.col("n") / F.col("lam")).alias("inverse"))
     area = cells.groupBy("g").agg(((F.max("x") - F.min("x")) * (F.max("y") - F.min("y"))).alias("area"))
     side = lambda t: inverse.select("g", F.col("celltype").alias(t), F.col("inverse").alias(f"inverse_{t}"))
     n = curves.join(side("ref"), ["g", "ref"]).join(side("query"), ["g", "query"]).join(area, "g")

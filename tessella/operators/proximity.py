@@ -19,16 +19,8 @@ def finite(c: Column | str) -> Column:
     return F.coalesce(F.abs(c) < float("inf"), F.lit(False))
 
 
-def pairs_within(points: DataFrame, radius: float, keep: list[str] | None = None, above: float | None = None, cell_factor: float = 4.0) -> DataFrame:
-    """Pairs of points of one group at most ``radius`` apart, each once: ``k_1, k_2, d`` and both sides' ``keep``.
-
-    ``points`` has ``g, k, x, y`` and the columns ``keep``, without nulls in the first four and with finite
-    positions. With ``above``, only distances strictly between ``above`` and ``radius`` count. Every point goes to its
-    own grid cell (side ``cell_factor * radius``) and, if it lies within ``radius`` of the border, as a copy to the
-    cells before it, so each pair meets in exactly one cell: that of its earlier member. Own points and copies are one
-    shuffle, which both sides of the self-join read. Which end is ``_1`` is not defined; repeated rows count once.
-    """
-    keep = keep or []
+def in_cells(points: DataFrame, radius: float, keep: list[str], cell_factor: float = 4.0) -> DataFrame:
+    """``g, k, x, y``, ``keep`` and ``cx, cy, copy``: each point in its own grid cell, and copies in those before it within ``radius``."""
     side = float(cell_factor * radius)
     p = points.select("g", "k", "x", "y", *keep).withColumns({"cx": F.floor(F.col("x") / side), "cy": F.floor(F.col("y") / side)})
     # Slightly wider than the radius: rounding must not lose a copy; the join tests the distance itself.
@@ -44,7 +36,20 @@ def pairs_within(points: DataFrame, radius: float, keep: list[str] | None = None
         F.array(to(0, 0, 0), F.when(left, to(-1, 0, 1)), F.when(low, to(0, -1, 1)), F.when(left & low, to(-1, -1, 1)), F.when(left & high, to(-1, 1, 1))),
         lambda c: c.isNotNull(),
     )
-    placed = p.select("g", "k", "x", "y", *keep, F.explode(places).alias("c")).select("g", "k", "x", "y", *keep, "c.cx", "c.cy", "c.copy")
+    return p.select("g", "k", "x", "y", *keep, F.explode(places).alias("c")).select("g", "k", "x", "y", *keep, "c.cx", "c.cy", "c.copy")
+
+
+def pairs_within(points: DataFrame, radius: float, keep: list[str] | None = None, above: float | None = None, cell_factor: float = 4.0) -> DataFrame:
+    """Pairs of points of one group at most ``radius`` apart, each once: ``k_1, k_2, d`` and both sides' ``keep``.
+
+    ``points`` has ``g, k, x, y`` and the columns ``keep``, without nulls in the first four and with finite
+    positions. With ``above``, only distances strictly between ``above`` and ``radius`` count. Every point goes to its
+    own grid cell (side ``cell_factor * radius``) and, if it lies within ``radius`` of the border, as a copy to the
+    cells before it, so each pair meets in exactly one cell: that of its earlier member. Own points and copies are one
+    shuffle, which both sides of the self-join read. Which end is ``_1`` is not defined; repeated rows count once.
+    """
+    keep = keep or []
+    placed = in_cells(points, radius, keep, cell_factor)
     # Partitioned by cell once; dropping repeated rows needs no further shuffle, and both sides reuse the exchange.
     placed = placed.repartition("g", "cx", "cy").dropDuplicates(["g", "cx", "cy", "k", "x", "y", "copy"])
     a, b = placed.alias("a"), placed.alias("b")

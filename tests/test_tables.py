@@ -92,6 +92,36 @@ def test_curve_of_random_points_is_flat(spark):
         assert r["curve"][0] == 0 and np.mean(r["curve"][15:]) == pytest.approx(1, abs=0.15)
 
 
+def test_curves_equal_all_pairs(spark, monkeypatch):
+    monkeypatch.setattr(pcf, "AT_A_TIME", 50)  # sums are made of several parts
+    rng = np.random.default_rng(3)
+    rows = [(g, i, float(x), float(y), "ABC"[i % 3]) for g in ("s", "t") for i, (x, y) in enumerate(rng.uniform(-90, 90, (80, 2)))]
+    cells = spark.createDataFrame([*rows, rows[0]], "g string, k long, x double, y double, celltype string").repartition(3)
+    plain = spark.createDataFrame(rows, cells.schema)
+    box = {r["g"]: (r["x0"], r["x1"], r["y0"], r["y1"]) for r in pcf.windows(plain).collect()}
+    lam = {(r["g"], r["celltype"], r["bx"], r["by"]): r for r in pcf.intensities(cells, pcf.windows(plain)).collect()}
+    r_max, steps, want = 20.0, 10, {}
+    for g, i, x, y, t in rows:
+        x0, x1, y0, y1 = box[g]
+        at = lambda u, v: (int((u - x0) / (x1 - x0) * 32), int((v - y0) / (y1 - y0) * 32))  # noqa: B023, E731
+        for _, j, u, v, q in (r for r in rows if r[0] == g and r[1] > i):
+            d = math.hypot(x - u, y - v)
+            if d <= r_max:
+                angle = np.linspace(0, 2 * np.pi, 20_000, endpoint=False)
+                shares = [np.mean((a + d * np.cos(angle) > x0) & (a + d * np.cos(angle) < x1) & (b + d * np.sin(angle) > y0) & (b + d * np.sin(angle) < y1)) for a, b in ((x, y), (u, v))]
+                one, two = lam[g, t, *at(x, y)], lam[g, q, *at(u, v)]
+                for (a, la), (b, lb) in (((t, one["lam"]), (q, two["lam"])), ((t, one["lam"]), ("All", two["lam_all"])), (("All", one["lam_all"]), (q, two["lam"])), (("All", one["lam_all"]), ("All", two["lam_all"]))):
+                    w = (1 + (a == b)) * (1 / shares[0] + 1 / shares[1]) / 2 / (la * lb)
+                    want.setdefault((g, min(a, b), max(a, b)), np.zeros(steps + 1))[int(d / 2)] += w
+    got = {(r["g"], r["ref"], r["query"]): r for r in pcf.pair_curves(cells, r_max, steps).collect()}
+    assert set(want) <= set(got) and len(got) == 20
+    for (g, ref, query), w in want.items():
+        area, r = (box[g][1] - box[g][0]) * (box[g][3] - box[g][2]), got[g, ref, query]
+        h = max(2.0, 0.15 / math.sqrt(math.sqrt((r["n_ref"]) * r["n_query"]) / area))
+        curve = [sum(w[b] * max(0.0, 0.75 * (1 - ((i - b - 0.5) * 2 / h) ** 2) / h) for b in range(steps + 1)) / (2 * math.pi * i * 2 * area) for i in range(1, steps)]
+        assert r["curve"][0] == 0 and r["curve"][1:] == pytest.approx(curve, rel=2e-3)  # the repeated row is in the counts, but has no pairs of its own
+
+
 @pytest.mark.parametrize("block,rows", [(16, 200), (4096, 200), (16, 3)])
 def test_nearest_vectors_equal_brute_force(spark, block, rows):
     rng = np.random.default_rng(6)
