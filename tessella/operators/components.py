@@ -9,6 +9,7 @@ from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyarrow import parquet
 from pyarrow.fs import FileSystem
 from pyspark.ml.feature import PCA, StandardScaler
@@ -22,6 +23,10 @@ from tessella.session import drop, materialize
 CUT_AXES, BOUND_AXES = 6, 12
 #: Queries whose products with a tile are made at a time, so that they stay in the cache.
 ROWS = 512
+#: Tiles each tile of queries asks by itself at first, from the nearest on; tiles of a group; groups and queries then held against each other at a time.
+FIRST, GROUP, TOGETHER, HELD = 16, 8, 64, 2048
+#: Queries, of many tiles, that ask a tile together: most have few that need to.
+MANY = 32_768
 
 
 def gene_vectors(values: DataFrame, genes: DataFrame) -> DataFrame:
@@ -111,6 +116,9 @@ class _Tiles:
         if not hasattr(self, "low"):
             spans, y = [slice(a, b) for a, b in zip(self.starts[:-1], self.starts[1:])], tree.turned(self.x)
             self.low, self.high = np.array([y[s].min(0) for s in spans]), np.array([y[s].max(0) for s in spans])
+            near = np.argsort(self.centres, kind="stable")
+            self.groups = np.array_split(near, -(-len(near) // GROUP))
+            self.group_low, self.group_high = np.array([self.low[g].min(0) for g in self.groups]), np.array([self.high[g].max(0) for g in self.groups])
             self.far = len(tree.mean) * max(np.abs(self.x).max(), np.abs(tree.mean).max())
             self.shift = self.x.mean(0)
             self.narrow = []
@@ -120,17 +128,29 @@ class _Tiles:
                 self.narrow.append((np.ascontiguousarray(np.column_stack([y, n, np.ones(len(y))]).T.astype("float32")), n.max()))
         return self
 
-    def least(self, q: np.ndarray, tree: _Tree) -> np.ndarray:
-        """How near each tile's vectors can be to each of ``q`` at most."""
-        y = tree.turned(q)
-        out, gap, other = np.zeros((len(q), len(self.low))), np.empty((len(q), len(self.low))), np.empty((len(q), len(self.low)))
-        for i in range(y.shape[1]):
-            np.subtract(self.low[:, i], y[:, i, None], out=gap)
-            np.subtract(y[:, i, None], self.high[:, i], out=other)
+    def least(self, q: np.ndarray, tree: _Tree, some: np.ndarray | slice = slice(None), single: bool = False, groups: bool = False) -> np.ndarray:
+        """How near each tile's vectors, those of ``some`` tiles or of groups of tiles, can be to each of ``q`` at most."""
+        least, most = (self.group_low, self.group_high) if groups else (self.low, self.high)
+        y, low, high = (v.T.astype("float32" if single else "float64", order="C") for v in (tree.turned(q), least[some], most[some]))
+        out, gap, other = (np.empty((low.shape[1], len(q)), y.dtype) for _ in range(3))
+        out.fill(0)
+        for i in range(len(y)):
+            np.subtract(low[i, :, None], y[i], out=gap)
+            np.subtract(y[i], high[i, :, None], out=other)
             np.maximum(gap, other, out=gap)
             np.maximum(gap, 0, out=gap)
             out += np.multiply(gap, gap, out=gap)
-        return np.sqrt(out, out=out) - 1e-12 * (self.far + q.shape[1] * np.abs(q).max())  # the rotation's own rounding
+        return (np.sqrt(out, out=out) - y.dtype.type((1e6 if single else 1) * self._rounding(q))).T
+
+    def beside(self, q: np.ndarray, tree: _Tree) -> tuple[np.ndarray, np.ndarray]:
+        """How near each tile's vectors can be to any of ``q`` at most, and the tiles from the nearest on."""
+        y = tree.turned(q)
+        gap = np.maximum(np.maximum(self.low - y.max(0), y.min(0) - self.high), 0)
+        least, between = np.sqrt((gap * gap).sum(1)) - self._rounding(q), (self.low + self.high) / 2 - y.mean(0)
+        return least, np.lexsort(((between * between).sum(1), least))  # many boxes touch the queries' own
+
+    def _rounding(self, q: np.ndarray) -> float:
+        return 1e-12 * (self.far + q.shape[1] * np.abs(q).max())  # the rotation's own
 
 
 @lru_cache(1)
@@ -157,32 +177,33 @@ def _merged(dist: np.ndarray, near: np.ndarray, r: np.ndarray, d: np.ndarray, ke
     dist[some], near[some] = d[order].reshape(-1, k), keys[order].reshape(-1, k)
 
 
-def _search(q: np.ndarray, qkeys: np.ndarray, dist: np.ndarray, near: np.ndarray, tiles: _Tiles, tree: _Tree, allowed: np.ndarray | None) -> None:
+def _search(q: np.ndarray, qkeys: np.ndarray, dist: np.ndarray, near: np.ndarray, tiles: _Tiles, tree: _Tree, allowed: np.ndarray | None, parts: list[slice] | None = None) -> None:
     """Improves the nearest keys ``near`` and distances ``dist`` (infinite where there is none yet) of queries by the tiles' vectors.
 
-    Tiles are asked from the nearest on, and only where their box is near enough to hold a nearer vector than those
-    found. Products are made in single precision; what they leave, with a margin for their rounding, is measured
-    exactly. Where the margin would not be small against the distances, products are made in double precision.
+    The queries of each of ``parts``, which lie near each other, ask the nearest tiles first; then all queries go through
+    the tiles, and those ask whose neighbours may still be in the tile's box. Products are made in single precision;
+    what they leave, with a margin for their rounding, is measured exactly. Where the margin would not be small against
+    the distances, products are made in double precision.
     """
-    k, y = dist.shape[1], q - tiles.shift
-    low = tiles.least(q, tree)
+    k, y, parts = dist.shape[1], q - tiles.shift, parts or [slice(0, len(q))]
     norm = (y * y).sum(1)
     wide = np.column_stack([-2 * y, np.ones(len(y)), norm])
     with np.errstate(over="ignore"):
         slim = wide.astype("float32")
     widest = int(np.diff(tiles.starts).max())
     product, close = np.empty(ROWS * widest, "float32"), np.empty(ROWS * widest, bool)  # used again and again: fresh memory costs as much as the product
-    waiting, held = [], 0
-    order = np.argsort(low.mean(0), kind="stable")
-    low = np.ascontiguousarray(low.T)
-    if allowed is not None:
-        low[~allowed.T] = np.inf
-    least, reach = low.min(1), dist[:, -1] * (1 + 1e-9) + 1e-6
-    for t in order:
-        if least[t] > reach.max():
-            continue
-        asking = np.flatnonzero((low[t] <= reach) & (low[t] < np.inf))
+    reach, waiting = dist[:, -1] * (1 + 1e-9) + 1e-6, []
+
+    def merge() -> None:
+        if waiting:
+            r = np.concatenate([w[0] for w in waiting])
+            _merged(dist, near, r, *(np.concatenate([w[j] for w in waiting]) for j in (1, 2)))
+            reach[r] = dist[r, -1] * (1 + 1e-9) + 1e-6
+            waiting.clear()
+
+    def ask(asking: np.ndarray, t: int) -> int:
         (other, most), x, keys = tiles.narrow[t], tiles.x[tiles.starts[t] : tiles.starts[t + 1]], tiles.keys[tiles.starts[t] : tiles.starts[t + 1]]
+        held = 0
         for at in range(0, len(asking), ROWS):
             i = asking[at : at + ROWS]
             limit, size = dist[i, -1] ** 2, norm[i] + most
@@ -207,11 +228,42 @@ def _search(q: np.ndarray, qkeys: np.ndarray, dist: np.ndarray, near: np.ndarray
             if len(r):
                 waiting.append((r, np.sqrt(((q[r] - x[c]) ** 2).sum(1)), keys[c]))
                 held += len(r)
-        if held and (held > 4 * len(q) or np.isinf(dist[asking, -1]).any()):
-            _merged(dist, near, *map(np.concatenate, zip(*waiting)))
-            waiting, held, reach = [], 0, dist[:, -1] * (1 + 1e-9) + 1e-6
-    if held:
-        _merged(dist, near, *map(np.concatenate, zip(*waiting)))
+        return held
+
+    of, done = np.repeat(np.arange(len(parts)), [part.stop - part.start for part in parts]), np.zeros((len(parts), len(tiles.low)), bool)
+    beside = np.full(len(tiles.low), np.inf)
+    for p, part in enumerate(parts):
+        away, order = tiles.beside(q[part], tree)
+        first, rows = order[:FIRST], np.arange(part.start, part.stop)
+        low = tiles.least(q[part], tree, first)
+        if allowed is not None:
+            low[~allowed[part, first]] = np.inf
+        for j in np.argsort(low.mean(0), kind="stable"):
+            ask(rows[(low[:, j] <= reach[part]) & (low[:, j] < np.inf)], first[j])
+            merge()
+        done[p, first], beside = True, np.minimum(beside, away)
+    known = reach[np.isfinite(reach)]
+    single = len(known) > 0 and 1e6 * tiles._rounding(q) < 0.003 * np.median(known)  # its rounding is small against distances
+    order, held = np.argsort([beside[g].min() for g in tiles.groups], kind="stable"), 0
+    low = np.empty((TOGETHER, len(q)), "float32" if single else "float64")
+    for at in range(0, len(order), TOGETHER):
+        some = order[at : at + TOGETHER]
+        for i in range(0, len(q), HELD):
+            low[: len(some), i : i + HELD] = tiles.least(q[i : i + HELD], tree, some, single, True).T
+        for j, group in enumerate(some):
+            rows = np.flatnonzero(low[j] <= reach)
+            if not len(rows):
+                continue
+            each = tiles.least(q[rows], tree, tiles.groups[group], single)
+            for c, t in enumerate(tiles.groups[group]):
+                may = (each[:, c] <= reach[rows]) & ~done[of[rows], t]
+                asking = rows[may if allowed is None else may & allowed[rows, t]]
+                if len(asking):
+                    held += ask(asking, t)
+                    if held > len(q) or held and np.isinf(dist[asking, -1]).any():
+                        merge()
+                        held = 0
+    merge()
 
 
 def _sample(vectors: DataFrame, n: int, count: int, seed: int) -> np.ndarray:
@@ -220,8 +272,8 @@ def _sample(vectors: DataFrame, n: int, count: int, seed: int) -> np.ndarray:
     return np.array(x or [r["v"] for r in vectors.orderBy("k").limit(count).collect()], float)
 
 
-def nearest_vectors(vectors: DataFrame, k: int, probes: int | None = None, block: int = 1024, most_centres: int = 4096, chunk_bytes: int = 128 << 20, seed: int = 0) -> DataFrame:
-    """The ``k`` nearest other vectors (Euclidean) of each: ``src, dst, d, rank`` (ties by ``dst``).
+def _nearest_lists(vectors: DataFrame, k: int, probes: int | None = None, block: int = 1024, most_centres: int = 4096, chunk_bytes: int = 128 << 20, seed: int = 0) -> DataFrame:
+    """The ``k`` nearest other vectors (Euclidean) of each: ``src, near, d``, nearest first (ties by key).
 
     ``vectors`` has ``k, v`` with unique keys and finite values of one length. Vectors are filed by the leaves
     of a tree of median cuts (at most ``most_centres``) and packed in tiles of up to ``block`` rows. Tasks take tiles of
@@ -233,7 +285,7 @@ def nearest_vectors(vectors: DataFrame, k: int, probes: int | None = None, block
     vectors = materialize(vectors.select("k", "v"), "vectors")
     n = vectors.count()
     if n < 2:
-        return spark.createDataFrame([], f"src {kind}, dst {kind}, d double, rank int")
+        return materialize(spark.createDataFrame([], f"src {kind}, near array<{kind}>, d array<double>"), "nearest")
     tasks = 4 * spark.sparkContext.defaultParallelism
     depth = max(0, math.ceil(math.log2(max(1, min(n / block, most_centres)))))
     cuts = spark.sparkContext.broadcast(_Tree(_sample(vectors, n, 20 * 2**depth, seed), depth))
@@ -276,27 +328,108 @@ def nearest_vectors(vectors: DataFrame, k: int, probes: int | None = None, block
         held += r["rows"]
         places.append((r["file"], places[-1][1] + 1 if places and places[-1][0] == r["file"] else 0))
 
-    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        mine = [places[i] for pdf in batches for i in pdf.id]
-        asking = []
+    def search(ids: list[int]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        mine = [places[i] for i in ids]
+        asking, parts, rows = [], [], 0
         for f in dict.fromkeys(f for f, _ in mine):
             own = _read_tiles((f,), width)
             for i in (i for g, i in mine if g == f):
                 at = slice(own.starts[i], own.starts[i + 1])
-                q, keys = own.x[at], own.keys[at]
-                asking.append((own.centres[i], q, keys, np.full((len(q), k), np.inf), np.repeat(keys, k).reshape(-1, k)))
-        for files in chunks:
+                parts.append((own.x[at], own.keys[at], own.centres[i]))
+                rows += at.stop - at.start
+                if rows >= MANY or (f, i) == mine[-1]:
+                    q, keys, ends = np.concatenate([x for x, _, _ in parts]), np.concatenate([x for _, x, _ in parts]), np.cumsum([0, *(len(x) for _, x, _ in parts)]).tolist()
+                    asking.append((np.repeat([c for _, _, c in parts], np.diff(ends)), q, keys, np.full((len(q), k), np.inf), np.repeat(keys, k).reshape(-1, k), [slice(a, b) for a, b in zip(ends[:-1], ends[1:])]))
+                    parts, rows = [], 0
+        for files in sorted(chunks, key=lambda files: mine[0][0] not in files if mine else 0):  # the own one has neighbours that are near already
             if asking:
                 tiles = _read_tiles(tuple(files), width).prepare(cuts.value)
-            for centre, q, keys, dist, near in asking:
+            for centres, q, keys, dist, near, slices in asking:
                 allowed = None
                 if probes is not None and probes < len(cuts.value.centres):
                     away = _distances(q, cuts.value.centres)
-                    allowed = (away <= np.partition(away, probes - 1, axis=1)[:, probes - 1 : probes])[:, tiles.centres] | (tiles.centres == centre)
-                _search(q, keys, dist, near, tiles, cuts.value, allowed)
-        for _, _, keys, dist, near in asking:
-            there = np.isfinite(dist).ravel()
-            yield pd.DataFrame({"src": np.repeat(keys, k)[there], "dst": near.ravel()[there], "d": dist.ravel()[there], "rank": np.tile(np.arange(1, k + 1, dtype="int32"), len(keys))[there]})
-
-    found = spark.range(0, len(places), 1, tasks).mapInPandas(search, f"src {kind}, dst {kind}, d double, rank int")
-    return materialize(found, "nearest")  # searched once, however often it is read
+                    allowed = (away <= np.partition(away, probes - 1, axis=1)[:, probes - 1 : probes])[:, tiles.centres] | (tiles.centres == centres[:, None])
+                _search(q, keys, dist, near, tiles, cuts.value, allowed, slices)
+        for _, _, keys, dist, near, _ in asking:
+            yield keys, near, dist
+
+    def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for keys, near, dist in search([i for batch in batches for i in batch["id"].to_pylist()]):
+            there = np.isfinite(dist)
+            ends = pa.array(np.cumsum([0, *there.sum(1)]), pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.ListArray.from_arrays(ends, pa.array(near[there])), pa.ListArray.from_arrays(ends, pa.array(dist[there]))], ["src", "near", "d"])
+
+    found = materialize(spark.range(0, len(places), 1, tasks).mapInArrow(lists, f"src {kind}, near array<{kind}>, d array<double>"), "nearest")  # searched once, however often it is read
+    drop(packed)
+    return found
+
+
+def nearest_vectors(vectors: DataFrame, k: int, probes: int | None = None, block: int = 1024, most_centres: int = 4096, chunk_bytes: int = 128 << 20, seed: int = 0) -> DataFrame:
+    """The ``k`` nearest other vectors (Euclidean) of each: ``src, dst, d, rank`` (ties by ``dst``), as ``_nearest_lists`` finds them."""
+    found = _nearest_lists(vectors, k, probes, block, most_centres, chunk_bytes, seed)
+    return found.select("src", F.posexplode(F.arrays_zip("near", "d")).alias("at", "x")).select("src", F.col("x.near").alias("dst"), F.col("x.d").alias("d"), (F.col("at") + 1).alias("rank"))
+
+
+def shared_neighbours(vectors: DataFrame, k: int, symmetric: bool = False, probes: int | None = None, chunk_bytes: int = 128 << 20, **how: int) -> DataFrame:
+    """``src, dst, weight``: edges as ``neighbours.shared_neighbour_edges`` makes them of ``nearest_vectors``, but without a shuffle.
+
+    Tasks take files of neighbour lists and read those of their neighbours from the scratch folder, a chunk of files at a time.
+    """
+    spark, kind = vectors.sparkSession, vectors.schema["k"].dataType.simpleString()
+    found, tasks = _nearest_lists(vectors, k, probes, chunk_bytes=chunk_bytes, **how), 4 * vectors.sparkSession.sparkContext.defaultParallelism
+    chunks, held = [[]], 0
+    for r in found.groupBy(F.input_file_name().alias("file")).count().orderBy("file").collect():  # a file for each task
+        if held and held + r["count"] > chunk_bytes // (8 * (k + 4)):
+            chunks.append([])
+            held = 0
+        chunks[-1].append(r["file"])
+        held += r["count"]
+    files = [f for c in chunks for f in c]
+
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for own in (files[i] for batch in batches for i in batch["id"].to_pylist()):
+            mine, near, size = _read_lists((own,), k)
+            for chunk in chunks:
+                keys, lists, sizes = _read_lists(tuple(chunk), k)
+                for at in range(0, len(mine), ROWS * 8):
+                    # Places of the listed keys among those of the chunk; each that is there is compared with the own list.
+                    here = slice(at, at + ROWS * 8)
+                    r, c = np.nonzero(np.arange(k) < size[here, None])
+                    r += at
+                    dst = near[r, c]
+                    to = np.minimum(np.searchsorted(keys, dst), len(keys) - 1)
+                    held = np.flatnonzero((keys[to] == dst) if len(keys) else np.zeros(len(dst), bool))
+                    r, dst, to = r[held], dst[held], to[held]
+                    src, some = mine[r], np.arange(k)
+                    both = near[r][:, :, None] == lists[to][:, None, :]
+                    both &= (some < size[r, None])[:, :, None] & (some < sizes[to, None])[:, None, :]
+                    shared = both.any(2).sum(1)
+                    keep = src < dst
+                    if symmetric:  # those that only the larger key lists, too
+                        keep |= ~((lists[to] == src[:, None]) & (some < sizes[to, None])).any(1)
+                    keep &= shared > 0
+                    src, dst = src[keep], dst[keep]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(src, dst)), pa.array(np.maximum(src, dst)), pa.array(shared[keep] / float(k))], ["src", "dst", "weight"])
+
+    return spark.range(0, len(files), 1, max(1, min(tasks, len(files)))).mapInArrow(weigh, f"src {kind}, dst {kind}, weight double")
+
+
+@lru_cache(1)
+def _read_lists(files: tuple[str, ...], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys in order, their lists of neighbours filled up to ``k``, and the length of each."""
+    keys, near, size = [], [], []
+    for f in files:
+        store, path = FileSystem.from_uri(f.replace("s3a://", "s3://", 1))
+        for batch in parquet.ParquetFile(store.open_input_file(path)).iter_batches(columns=["src", "near"]):
+            if len(batch):
+                n, values = batch["near"].value_lengths().to_numpy(), batch["near"].flatten().to_numpy(zero_copy_only=False)
+                filled = np.full((len(n), k), values[0] if len(values) else 0, values.dtype)
+                filled[np.arange(k) < n[:, None]] = values
+                keys.append(batch["src"].to_numpy(zero_copy_only=False)), near.append(filled), size.append(n)
+    if not keys:
+        return np.zeros(0, "int64"), np.zeros((0, k), "int64"), np.zeros(0, int)
+    keys, size = np.concatenate(keys), np.concatenate(size)
+    order = np.argsort(keys, kind="stable")
+    whole = np.concatenate(near)
+    near.clear()
+    return keys[order], whole[order], size[order]

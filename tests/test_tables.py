@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessella.functions import names, numeric
-from tessella.operators import annotation, communities, components, expression, gating, niche, pcf, ranks, raster
+from tessella.operators import annotation, communities, components, expression, gating, neighbours, niche, pcf, ranks, raster
 from tessella.plans import table_queries
 
 
@@ -178,6 +178,36 @@ def test_tiles_with_far_rows_rule_out_most_vectors():
         assert [j for _, j in sorted((float(np.sqrt(((q[i] - v) ** 2).sum())), j) for j, v in enumerate(x) if j != key)[:4]] == near[i].tolist()
 
 
+def test_queries_of_many_tiles_ask_together():
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(5000, 6)) * rng.choice([1, 1, 5], 5000)[:, None]
+    tree = components._Tree(x[::2], 4)
+    leaf = tree.leaves(x)
+    rows = np.concatenate([np.flatnonzero(leaf == i) for i in range(16)])
+    ends = np.searchsorted(leaf[rows], np.arange(17)).tolist()
+    tiles = components._Tiles(rows, x[rows], np.array(ends), np.arange(16)).prepare(tree)
+    assert all((tiles.group_low[g] <= tiles.low[t]).all() and (tiles.group_high[g] >= tiles.high[t]).all() for g, ts in enumerate(tiles.groups) for t in ts)
+    parts, dist = [slice(a, b) for a, b in zip(ends[:-1], ends[1:])], np.full((5000, 4), np.inf)
+    near = np.repeat(rows, 4).reshape(-1, 4)
+    components._search(tiles.x, rows, dist, near, tiles, tree, None, parts)
+    for i in range(0, 5000, 50):
+        d = np.sqrt(((x[rows[i]] - x) ** 2).sum(1))
+        d[rows[i]] = np.inf
+        assert near[i].tolist() == np.lexsort((np.arange(5000), d))[:4].tolist()
+
+
+@pytest.mark.parametrize("symmetric,rows", [(False, 300), (True, 300), (True, 3)])
+def test_shared_neighbours_equal_joined_lists(spark, symmetric, rows):
+    x = np.random.default_rng(12).normal(size=(rows, 5))
+    df = spark.createDataFrame([(7 * i, v.tolist()) for i, v in enumerate(x)], "k long, v array<double>")
+    want = neighbours.shared_neighbour_edges(components.nearest_vectors(df, 5).withColumn("g", F.lit(0)), 5, symmetric)
+    found = components.shared_neighbours(df, 5, symmetric, block=16, chunk_bytes=100 * 72)
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    got = [tuple(r) for r in found.select("src", "dst", "weight").collect()]
+    assert len(got) == len(set(got)) and set(got) == {(r["src"], r["dst"], r["weight"]) for r in want.collect()}
+    assert components.shared_neighbours(df.limit(0), 5).count() == 0
+
+
 def test_component_scores(spark):
     rng = np.random.default_rng(7)
     x = rng.normal(size=(50, 4)) @ rng.normal(size=(4, 4))
