@@ -285,7 +285,7 @@ def expression_knn(spark: SparkSession, sf: str) -> DataFrame:
 
 def expression_snn(spark: SparkSession, sf: str) -> DataFrame:
     """Edges between similar profiles, weighted by shared neighbours."""
-    e = neighbours.shared_neighbour_edges(_expression_knn(spark, sf).withColumn("g", F.lit(0)), 10)
+    e = components.shared_neighbours(profiles(spark, sf).select("k", F.col("e").alias("v")), 10)
     return e.select("src", "dst", F.round("weight", 6).alias("weight"))
 
 
