@@ -47,8 +47,10 @@ def _moves(edges: DataFrame, sizes: DataFrame, resolution: float, rounds: int, o
     return labels.select("k", "c")
 
 
-#: Edges up to which one task holds the graph and moves its nodes by itself; it takes about 150 bytes an edge.
-MOST_LOCAL = 4_000_000
+#: Edges up to which one task holds the graph and moves its nodes by itself; it takes about 60 bytes an edge where weights are few.
+MOST_LOCAL = 20_000_000
+#: Edges up to which parts are found in one task after moves in many, and graphs of a sweep are held side by side.
+MOST_PARTS = 4_000_000
 #: Edges of the nodes whose moves are found at a time, of those one task holds.
 AT_A_TIME = 500_000
 #: Resolutions of a sweep that are tried at the same time.
@@ -57,18 +59,24 @@ SIDE_BY_SIDE = 2
 
 def _moves_of(src: np.ndarray, dst: np.ndarray, weight: np.ndarray, turn: np.ndarray, size: np.ndarray, resolution: float, rounds: int, objective: str) -> np.ndarray:
     """As ``_moves``, over nodes 0, 1, ...: each one's community. Bit ``i`` of ``turn`` is the half of a node in rounds 2 ``i`` and 2 ``i`` + 1."""
-    n, apart = len(size), src != dst
-    a = np.concatenate([src[apart], dst[apart]])
-    order = np.argsort(a, kind="stable")
-    a, b = a[order], np.concatenate([dst[apart], src[apart]])[order]
-    w = np.concatenate([weight[apart]] * 2)[order]
-    del order
+    n, values = len(size), np.unique(weight)
+    few = len(values) <= 256  # then a byte tells an edge's weight
+    w = np.searchsorted(values, weight).astype("uint8") if few else weight
     deg = size.astype(float)
     if objective == "modularity":
-        deg = np.bincount(a, w, n) + np.bincount(src[~apart], 2 * weight[~apart], n)
+        deg = np.bincount(src, weight, n) + np.bincount(dst, weight, n)
     total = (deg.sum() or 1.0) if objective == "modularity" else 1.0
-    starts = np.searchsorted(a, np.arange(n + 1))
-    ends = np.unique(np.concatenate([np.searchsorted(starts, np.arange(0, len(a), AT_A_TIME)), [0, n]]))
+    apart = src != dst
+    if not apart.all():
+        src, dst, w = src[apart], dst[apart], w[apart]
+    small = "int32" if n < 1 << 31 else "int64"
+    a = np.concatenate([src, dst], dtype=small, casting="same_kind")
+    starts = np.concatenate([[0], np.cumsum(np.bincount(a, minlength=n))])
+    order = np.argsort(a, kind="stable")
+    del a
+    b, w = np.concatenate([dst, src], dtype=small, casting="same_kind")[order], np.concatenate([w, w])[order]
+    del order
+    ends = np.unique(np.concatenate([np.searchsorted(starts, np.arange(0, len(b), AT_A_TIME)), [0, n]]))
     own, still = np.arange(n), 0
     for i in range(rounds):
         moving = ((turn >> (i // 2)) + i) % 2 == 0
@@ -78,13 +86,15 @@ def _moves_of(src: np.ndarray, dst: np.ndarray, weight: np.ndarray, turn: np.nda
             at, nodes = slice(starts[low], starts[high]), low + np.flatnonzero(moving[low:high])
             if not len(nodes):
                 continue
-            some = moving[a[at]]
+            a = np.repeat(np.arange(low, high), np.diff(starts[low : high + 1]))
+            some = moving[a]
+            a, into = a[some], w[at][some]
             # Weight into each neighbouring community, and none into the own one.
-            key = np.concatenate([a[at][some] * n + own[b[at][some]], nodes * n + own[nodes]])
+            key = np.concatenate([a * n + own[b[at][some]], nodes * n + own[nodes]])
             order = np.argsort(key, kind="stable")
             key = key[order]
             first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-            into = np.add.reduceat(np.concatenate([w[at][some], np.zeros(len(nodes))])[order], first)
+            into = np.add.reduceat(np.concatenate([values[into] if few else into, np.zeros(len(nodes))])[order], first)
             k, c = np.divmod(key[first], n)
             stays = c == own[k]
             gain = np.round(into - resolution * deg[k] * (tot[c] - np.where(stays, deg[k], 0.0)) / total, 12)
@@ -102,34 +112,75 @@ def _moves_of(src: np.ndarray, dst: np.ndarray, weight: np.ndarray, turn: np.nda
 
 
 def _parts_of(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
-    """The smallest node that is connected with each of 0, 1, ..., by edges in both directions."""
+    """The smallest node that is connected with each of 0, 1, ..., by edges in either direction."""
     name = np.arange(n)
     while True:
         before = name.copy()
         np.minimum.at(name, a, before[b])
+        np.minimum.at(name, b, before[a])
         name = name[name]
         if (name == before).all():
             return name
 
 
-def _in_one_task(edges: DataFrame, more: list[str], make: Callable[[pd.DataFrame], tuple[np.ndarray, np.ndarray]]) -> DataFrame:
-    """``k, c`` that ``make`` finds of all edges, with further columns ``more``, in one task."""
+def _in_one_task(edges: DataFrame, more: list[str], make: Callable[..., tuple[np.ndarray, np.ndarray]]) -> DataFrame:
+    """``k, c`` that ``make`` finds of all edges in one task.
+
+    It gets the keys in order, the columns ``more`` of edges, or by node those that are there as ``_s`` and ``_d`` for
+    an edge's ends, and both ends' places among the keys.
+    """
     kind = edges.schema["src"].dataType.simpleString()
+    ends = [c[:-2] for c in more if c.endswith("_s")]
+    each = [c for c in more if c[-2:] not in ("_s", "_d")]
 
-    def joined(rows: list[pd.DataFrame]) -> pd.DataFrame:
-        e = pd.concat(rows, ignore_index=True)
-        rows.clear()  # not held twice
-        return e
+    def named(pdfs: list[pd.DataFrame], keys: np.ndarray | None, of: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
+        held = [v for pdf in pdfs for v in (pdf.src.to_numpy(), pdf.dst.to_numpy())]
+        keys, at = np.unique(np.concatenate([*([] if keys is None else [keys]), *held]), return_index=True)
+        found = [np.concatenate([*(of[j : j + 1]), *(pdf[c + e].to_numpy() for pdf in pdfs for e in ("_s", "_d"))])[at] for j, c in enumerate(ends)]
+        return keys, found
 
     def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = [pdf for pdf in batches if len(pdf)]
-        if rows:
-            k, c = make(joined(rows))
+        # Of the ends only keys are kept, what belongs to nodes is once for each; then places take half of the keys' memory.
+        src, dst, values, waiting, rows, keys, of = [], [], [[] for _ in each], [], 0, None, []
+        for pdf in batches:
+            if len(pdf):
+                src.append(pdf.src.to_numpy().copy()), dst.append(pdf.dst.to_numpy().copy()), waiting.append(pdf)
+                for v, c in zip(values, each):
+                    v.append(pdf[c].to_numpy().copy())
+                rows += len(pdf)
+                if rows >= 2_000_000:
+                    (keys, of), waiting, rows = named(waiting, keys, of), [], 0
+        if waiting:
+            keys, of = named(waiting, keys, of)
+            waiting = []
+        if keys is not None:
+            small = "int32" if len(keys) < 1 << 31 else "int64"
+            for v in (src, dst):
+                for i, x in enumerate(v):
+                    v[i] = np.searchsorted(keys, x).astype(small)
+            places = []
+            for v in (src, dst, *values):
+                places.append(np.concatenate(v))
+                v.clear()
+            k, c = make(keys, *places, *of)
             yield pd.DataFrame({"k": k, "c": c})
 
     return edges.select("src", "dst", *more).coalesce(1).mapInPandas(whole, f"k {kind}, c {kind}")
 
 
+def _merged(s: np.ndarray, d: np.ndarray, weight: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs of communities that edges join, as ``smaller * n + larger`` in order, and their summed weights; by stretches."""
+    pairs, sums = [], []
+    for at in range(0, len(s), 4 * AT_A_TIME):
+        here = slice(at, at + 4 * AT_A_TIME)
+        pair, back = np.unique(np.minimum(s[here], d[here]).astype("int64") * n + np.maximum(s[here], d[here]), return_inverse=True)
+        pairs.append(pair), sums.append(np.bincount(back, weight[here], len(pair)))
+    if len(pairs) == 1:
+        return pairs[0], sums[0]
+    pair, back = np.unique(np.concatenate(pairs), return_inverse=True)
+    return pair, np.bincount(back, np.concatenate(sums), len(pair))
+
+
 def _levels_in_one_task(graph: DataFrame, sizes: DataFrame, resolution: float, rounds: int, levels: int, objective: str, split: bool) -> DataFrame:
     """``k, c`` of all nodes after ``levels`` of moving and merging, in one task; with ``split``, connected parts of those."""
 
@@ -143,12 +194,9 @@ def _levels_in_one_task(graph: DataFrame, sizes: DataFrame, resolution: float, r
     else:
         g = g.join(sizes.select(F.col("k").alias("src"), F.col("size").alias("size_s")), "src").join(sizes.select(F.col("k").alias("dst"), F.col("size").alias("size_d")), "dst")
 
-    def make(e: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-        keys, at = np.unique(np.concatenate([e.src.to_numpy(), e.dst.to_numpy()]), return_index=True)
-        turns, size = np.concatenate([e.turn_s.to_numpy(), e.turn_d.to_numpy()])[at], np.concatenate([e.size_s.to_numpy(), e.size_d.to_numpy()])[at]
-        src, dst, weight, found, node = np.searchsorted(keys, e.src.to_numpy()), np.searchsorted(keys, e.dst.to_numpy()), e.weight.to_numpy(), np.arange(len(keys)), np.arange(len(keys))
+    def make(keys: np.ndarray, src: np.ndarray, dst: np.ndarray, weight: np.ndarray, turns: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        found, node = np.arange(len(keys)), np.arange(len(keys))
         whole_src, whole_dst = src, dst
-        del e
         for _ in range(levels):
             # ``node`` are the communities so far, by their place among all nodes; those of this level are numbered in order.
             moved = node[_moves_of(src, dst, weight, turns[node], size, resolution, rounds, objective)]
@@ -156,15 +204,13 @@ def _levels_in_one_task(graph: DataFrame, sizes: DataFrame, resolution: float, r
             if (moved == node).all():
                 break
             nxt = np.unique(moved)
-            to = np.searchsorted(nxt, moved)
-            s, d = to[src], to[dst]
-            pair, back = np.unique(np.minimum(s, d) * len(nxt) + np.maximum(s, d), return_inverse=True)
-            weight, size = np.bincount(back, weight, len(pair)), np.bincount(to, size, len(nxt)).astype("int64")
+            to = np.searchsorted(nxt, moved).astype(src.dtype)
+            pair, weight = _merged(to[src], to[dst], weight, len(nxt))
+            size = np.bincount(to, size, len(nxt)).astype("int64")
             (src, dst), node = np.divmod(pair, len(nxt)), nxt
         if split:
             inside = found[whole_src] == found[whole_dst]
-            a, b = whole_src[inside], whole_dst[inside]
-            found = _parts_of(np.concatenate([a, b]), np.concatenate([b, a]), len(keys))
+            found = _parts_of(whole_src[inside], whole_dst[inside], len(keys))
         return keys, keys[found]
 
     return _in_one_task(g, ["weight", "turn_s", "turn_d", "size_s", "size_d"], make)
@@ -181,9 +227,8 @@ def connected_parts(edges: DataFrame, labels: DataFrame, most_local: int = MOST_
     inside = materialize(inside.union(inside.select("dst", "src")).distinct(), "inside")
     if inside.count() <= 2 * most_local:
 
-        def make(e: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-            keys = np.unique(e.src.to_numpy())  # each edge is there in both directions
-            return keys, keys[_parts_of(np.searchsorted(keys, e.src.to_numpy()), np.searchsorted(keys, e.dst.to_numpy()), len(keys))]
+        def make(keys: np.ndarray, src: np.ndarray, dst: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            return keys, keys[_parts_of(src, dst, len(keys))]
 
         linked = _in_one_task(inside, [], make)
         return materialize(labels.select("k").join(linked, "k", "left").select("k", F.coalesce("c", "k").alias("c")), "names")
@@ -230,7 +275,7 @@ def _communities(edges: DataFrame, resolution: float = 1.0, rounds: int = 12, le
         a, b = moved.select(F.col("k").alias("src"), F.col("c").alias("s")), moved.select(F.col("k").alias("dst"), F.col("c").alias("d"))
         graph = materialize(graph.join(a, "src").join(b, "dst").groupBy(F.least("s", "d").alias("src"), F.greatest("s", "d").alias("dst")).agg(F.sum("weight").alias("weight")), "graph")
         sizes = materialize(sizes.join(moved, "k").groupBy(F.col("c").alias("k")).agg(F.sum("size").alias("size")), "sizes")
-    parts = found if local and level == 0 else connected_parts(edges, found, most_local)
+    parts = found if local and level == 0 else connected_parts(edges, found, min(most_local, MOST_PARTS))
     counted = parts.groupBy("c").agg(F.count(F.lit(1)).alias("n"))
     return parts.join(numbered_by_size(counted, "c"), "c").select("k", "community")
 
@@ -252,10 +297,11 @@ def resolution_sweep(edges: DataFrame, resolutions: list[float], most: int = 100
     graph, kept, tried, last = _written(edges), None, [], 0
     ordered = sorted(resolutions)
     ahead: list[DataFrame] = []
+    side = SIDE_BY_SIDE
     for i, r in enumerate(ordered):
         if not ahead:  # a few at a time: where a graph is one task's work, they do not wait for each other
-            with ThreadPoolExecutor(SIDE_BY_SIDE) as pool:
-                ahead = list(pool.map(lambda x: materialize(_communities(graph, x, objective=objective), "swept"), ordered[i : i + SIDE_BY_SIDE]))
+            with ThreadPoolExecutor(side) as pool:
+                ahead = list(pool.map(lambda x: materialize(_communities(graph, x, objective=objective), "swept"), ordered[i : i + side]))
         found = ahead.pop(0)
         n = found.agg(F.max("community")).first()[0] or 0
         tried.append((r, n))

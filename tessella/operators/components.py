@@ -42,6 +42,7 @@ def pca_scores(vectors: DataFrame, components: int, scale: bool = True) -> tuple
     Columns are centred and, with ``scale``, divided by their standard deviation; constant columns become zeros. The
     covariance matrix is summed up by Spark; only that matrix, columns by columns, is decomposed on the driver.
     """
+    vectors = materialize(vectors.select("k", "e"), "unscaled")  # read four times
     v = vectors.select("k", array_to_vector("e").alias("e"))
     scaled = StandardScaler(inputCol="e", outputCol="z", withMean=True, withStd=scale).fit(v).transform(v)
     width = len(vectors.select("e").first()[0])
@@ -387,6 +388,7 @@ def shared_neighbours(vectors: DataFrame, k: int, symmetric: bool = False, probe
     files = [f for c in chunks for f in c]
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _read_tiles.cache_clear()  # workers are used again: what the search held would stay
         for own in (files[i] for batch in batches for i in batch["id"].to_pylist()):
             mine, near, size = _read_lists((own,), k)
             for chunk in chunks:
@@ -410,6 +412,7 @@ def shared_neighbours(vectors: DataFrame, k: int, symmetric: bool = False, probe
                     keep &= shared > 0
                     src, dst = src[keep], dst[keep]
                     yield pa.RecordBatch.from_arrays([pa.array(np.minimum(src, dst)), pa.array(np.maximum(src, dst)), pa.array(shared[keep] / float(k))], ["src", "dst", "weight"])
+        _read_lists.cache_clear()
 
     return spark.range(0, len(files), 1, max(1, min(tasks, len(files)))).mapInArrow(weigh, f"src {kind}, dst {kind}, weight double")
 

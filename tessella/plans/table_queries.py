@@ -291,7 +291,7 @@ def expression_snn(spark: SparkSession, sf: str) -> DataFrame:
 
 def leiden_communities(spark: SparkSession, sf: str) -> DataFrame:
     """Communities of the shared-neighbour graph of the cells' component scores, with the clusters they are made of."""
-    e = neighbours.shared_neighbour_edges(components.nearest_vectors(_scores(spark, sf), 10).withColumn("g", F.lit(0)), 10, symmetric=True).select("src", "dst", "weight")
+    e = components.shared_neighbours(_scores(spark, sf), 10, symmetric=True)
     found = communities.communities(e).join(profiles(spark, sf).select("k", "cluster"), "k")
     return found.groupBy("community", "cluster").agg(F.count(F.lit(1)).alias("n"))
 

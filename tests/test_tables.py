@@ -253,6 +253,17 @@ def test_moves_of_some_nodes_at_a_time(monkeypatch):
     assert peak < 130 * m
 
 
+def test_moves_hold_few_bytes_an_edge():
+    rng = np.random.default_rng(13)
+    n, m = 50_000, 1_000_000
+    edges, w = [rng.integers(0, n, m).astype("int32"), rng.integers(0, n, m).astype("int32")], rng.integers(1, 11, m) / 10
+    tracemalloc.start()
+    communities._moves_of(*edges, w, np.arange(n) % 64, np.ones(n, int), 1.0, 2, "modularity")
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 75 * m  # 500,000 edges at a time take some of it
+
+
 def test_communities_find_cliques(spark):
     cliques = [range(0, 6), range(10, 16), range(20, 26)]
     e = [(a, b, 1.0) for c in cliques for a in c for b in c if a < b] + [(5, 10, 0.1), (15, 20, 0.1)]
