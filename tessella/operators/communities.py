@@ -297,7 +297,7 @@ def resolution_sweep(edges: DataFrame, resolutions: list[float], most: int = 100
     graph, kept, tried, last = _written(edges), None, [], 0
     ordered = sorted(resolutions)
     ahead: list[DataFrame] = []
-    side = SIDE_BY_SIDE
+    side = SIDE_BY_SIDE if graph.count() <= MOST_PARTS else 1  # two tasks of one executor might hold the graph
     for i, r in enumerate(ordered):
         if not ahead:  # a few at a time: where a graph is one task's work, they do not wait for each other
             with ThreadPoolExecutor(side) as pool:
